@@ -1,0 +1,4 @@
+"""Streaming: the reference has no streams, watermarks, windows over event
+time or stateful operators (its data are batch CSV tables), so nothing is
+built here.  Scenario scoring (X01) is a batch ``transform``; it runs
+unchanged inside ``foreachBatch`` if scenarios ever arrive as a stream."""
