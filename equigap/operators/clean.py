@@ -6,7 +6,7 @@ shuffles once on its key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
@@ -54,20 +54,24 @@ def drop_incomplete(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=[c for c in cols if c in df.columns])
 
 
-def dedup(df: DataFrame, key: str | None = None, order: list[Column | str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, key: str | None = None, order: list[str] | None = None) -> DataFrame:
     """Keep the first row per key by an explicit order; whole-row
     distinct when there is no key.
 
-    The window partitions by the key, so the shuffle is spread over all key
-    values; a hot key only lengthens its own sort, nothing is collected.
+    "First" is ``min_by(row, order)`` in a hash aggregate: partial
+    aggregation runs map-side, so a key holding a third of all rows is
+    reduced before the shuffle and never sorted or collected as a group.
     """
     if key is None or key not in df.columns:
         return df.distinct()
     if not order:
-        # no order given: any row of the group is "first"; keep a stable one
         return df.dropDuplicates([key])
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    ordkey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
+    return (
+        df.groupBy(key)
+        .agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), ordkey).alias("__r"))
+        .select("__r.*")
+    )
 
 
 def clean_scores(

@@ -40,7 +40,8 @@ def access2(i: str, c: str) -> str:
 
 
 def norm_key(c: str) -> str:
-    return f"regexp_replace(strip_accents(upper(trim({c}))), '[^\\x00-\\x7F]', '', 'g')"
+    # Python / Java upper-case 'ß' as 'SS'; DuckDB keeps it, so expand first
+    return f"regexp_replace(strip_accents(upper(replace(trim({c}), 'ß', 'SS'))), '[^\\x00-\\x7F]', '', 'g')"
 
 
 def fold(c: str) -> str:
