@@ -23,8 +23,8 @@ OID = "estu_consecutivo"
 LID = ["estu_consecutivo", "line_number"]
 
 
-def _proj(name: str, grain: str, cols: dict[str, Column], sql_cols: dict[str, str],
-          where: Column | None = None, sql_where: str | None = None, pre: dict[str, Column] | None = None,
+def _proj(name: str, grain: str, cols, sql_cols: dict[str, str],
+          where=None, sql_where: str | None = None, pre=None,
           sql_pre: dict[str, str] | None = None):
     """Register a row-wise projection over a bound grain: Spark selects the
     id columns plus ``cols``; DuckDB does the same with ``sql_cols``.
@@ -33,11 +33,12 @@ def _proj(name: str, grain: str, cols: dict[str, Column], sql_cols: dict[str, st
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = exam_orders(spark, sf) if grain == "exam_orders" else exam_lines(spark, sf)
+        # Column specs are built lazily: no SparkContext is needed to list queries
         if pre:
-            df = df.select("*", *[c.alias(k) for k, c in pre.items()])
+            df = df.select("*", *[c.alias(k) for k, c in pre().items()])
         if where is not None:
-            df = df.where(where)
-        return df.select(*ids, *[c.alias(k) for k, c in cols.items()])
+            df = df.where(where())
+        return df.select(*ids, *[c.alias(k) for k, c in cols().items()])
 
     src = grain
     if sql_pre:
@@ -85,32 +86,32 @@ def c07b(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------- cleaning ----
 
-_area_raw = F.when(F.col("order_key") % 4 == 0, F.lit("")).when(F.col("order_key") % 4 == 1, F.lit("nan")).otherwise(
+_area_raw = lambda: F.when(F.col("order_key") % 4 == 0, F.lit("")).when(F.col("order_key") % 4 == 1, F.lit("nan")).otherwise(
     F.col("cole_area_ubicacion"))
 _area_raw_sql = "CASE order_key % 4 WHEN 0 THEN '' WHEN 1 THEN 'nan' ELSE cole_area_ubicacion END"
 
 _proj("C02_null_sentinels", "exam_orders",
-      {"area": F.when(F.col("raw").isin(*C.SENTINELS), F.lit(None)).otherwise(F.col("raw"))},
+      lambda: {"area": F.when(F.col("raw").isin(*C.SENTINELS), F.lit(None)).otherwise(F.col("raw"))},
       {"area": "CASE WHEN raw IN ('', 'nan', 'None', 'SIN INFORMACION') THEN NULL ELSE raw END"},
-      pre={"raw": _area_raw}, sql_pre={"raw": _area_raw_sql})
+      pre=lambda: {"raw": _area_raw()}, sql_pre={"raw": _area_raw_sql})
 
-_bil_raw = F.when(F.col("order_key") % 3 == 0, F.lit(None).cast("string")).otherwise(
+_bil_raw = lambda: F.when(F.col("order_key") % 3 == 0, F.lit(None).cast("string")).otherwise(
     F.when(F.col("order_key") % 3 == 1, F.lit("S")).otherwise(F.lit("N")))
 _bil_sql = "CASE order_key % 3 WHEN 0 THEN NULL WHEN 1 THEN 'S' ELSE 'N' END"
-_proj("C03_fill_default", "exam_orders", {"cole_bilingue": F.coalesce(F.col("raw"), F.lit("N"))},
-      {"cole_bilingue": "coalesce(raw, 'N')"}, pre={"raw": _bil_raw}, sql_pre={"raw": _bil_sql})
+_proj("C03_fill_default", "exam_orders", lambda: {"cole_bilingue": F.coalesce(F.col("raw"), F.lit("N"))},
+      {"cole_bilingue": "coalesce(raw, 'N')"}, pre=lambda: {"raw": _bil_raw()}, sql_pre={"raw": _bil_sql})
 
 # text score: every 11th row 'abc', every 13th padded, else integer text
-_txt = (F.when(F.col("order_key") % 11 == 0, F.lit("abc"))
+_txt = lambda: (F.when(F.col("order_key") % 11 == 0, F.lit("abc"))
         .when(F.col("order_key") % 13 == 0, F.lit(" 42 "))
         .otherwise(F.floor(F.col("punt_global") * 10).cast("string")))
 _txt_sql = ("CASE WHEN order_key % 11 = 0 THEN 'abc' WHEN order_key % 13 = 0 THEN ' 42 ' "
             "ELSE CAST(CAST(floor(punt_global * 10) AS BIGINT) AS VARCHAR) END")
-_proj("C04_to_number", "exam_orders", {"score": C.to_number("raw")}, {"score": "TRY_CAST(trim(raw) AS DOUBLE)"},
-      pre={"raw": _txt}, sql_pre={"raw": _txt_sql})
+_proj("C04_to_number", "exam_orders", lambda: {"score": C.to_number("raw")}, {"score": "TRY_CAST(trim(raw) AS DOUBLE)"},
+      pre=lambda: {"raw": _txt()}, sql_pre={"raw": _txt_sql})
 
 _proj("C05_guard_range", "exam_lines",
-      {"punt_ingles": C.guard_range("punt_ingles", 0, 100),
+      lambda: {"punt_ingles": C.guard_range("punt_ingles", 0, 100),
        "punt_sociales_ciudadanas": C.guard_range("punt_sociales_ciudadanas", 0, 100),
        "punt_global": C.guard_range(F.col("punt_global") + 100, 0, 500)},
       {"punt_ingles": "CASE WHEN punt_ingles BETWEEN 0 AND 100 THEN punt_ingles END",
@@ -157,53 +158,54 @@ def e0(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ recodes ----
 
-_proj("C09_upper_key", "exam_orders", {"key": upper_key(F.lower("cole_mcpio_ubicacion"))},
+_proj("C09_upper_key", "exam_orders", lambda: {"key": upper_key(F.lower("cole_mcpio_ubicacion"))},
       {"key": "upper(trim(lower(cole_mcpio_ubicacion)))"})
 
-_proj("C11_zone_residence", "exam_orders", {"Area": L.zone_residence("cole_area_ubicacion")},
+_proj("C11_zone_residence", "exam_orders", lambda: {"Area": L.zone_residence("cole_area_ubicacion")},
       {"Area": S.zone_residence("cole_area_ubicacion")},
-      where=L.zone_residence_keep("cole_area_ubicacion"),
+      where=lambda: L.zone_residence_keep("cole_area_ubicacion"),
       sql_where="cole_area_ubicacion IS NOT NULL AND upper(cole_area_ubicacion) NOT IN "
                 "('SIN INFORMACIÓN', 'SIN INFORMACION', 'NAN')")
 
-_proj("C12_zone_strict", "exam_orders", {"ZONA": L.zone_strict("cole_area_ubicacion")},
+_proj("C12_zone_strict", "exam_orders", lambda: {"ZONA": L.zone_strict("cole_area_ubicacion")},
       {"ZONA": S.zone_strict("cole_area_ubicacion")})
 
-_cab_raw = F.when(F.col("order_key") % 7 == 0, F.lit("CABECERA MUNICIPAL")).otherwise(F.col("cole_area_ubicacion"))
+_cab_raw = lambda: F.when(F.col("order_key") % 7 == 0, F.lit("CABECERA MUNICIPAL")).otherwise(F.col("cole_area_ubicacion"))
 _cab_sql = "CASE WHEN order_key % 7 = 0 THEN 'CABECERA MUNICIPAL' ELSE cole_area_ubicacion END"
-_proj("C13_zone_cabecera", "exam_orders", {"zona": L.zone_cabecera("raw")}, {"zona": S.zone_cabecera("raw")},
-      pre={"raw": _cab_raw}, sql_pre={"raw": _cab_sql})
+_proj("C13_zone_cabecera", "exam_orders", lambda: {"zona": L.zone_cabecera("raw")}, {"zona": S.zone_cabecera("raw")},
+      pre=lambda: {"raw": _cab_raw()}, sql_pre={"raw": _cab_sql})
 
-_proj("C14_school_type", "exam_orders", {"TIPO_COLEGIO": L.school_type("cole_naturaleza")},
+_proj("C14_school_type", "exam_orders", lambda: {"TIPO_COLEGIO": L.school_type("cole_naturaleza")},
       {"TIPO_COLEGIO": S.school_type("cole_naturaleza")})
 
-_proj("C15_relabel", "exam_orders", {"naturaleza": L.relabel("cole_naturaleza", L.SCHOOL_RELABEL)},
+_proj("C15_relabel", "exam_orders", lambda: {"naturaleza": L.relabel("cole_naturaleza", L.SCHOOL_RELABEL)},
       {"naturaleza": "CASE cole_naturaleza WHEN 'OFICIAL' THEN 'Público' WHEN 'NO OFICIAL' THEN 'Privado' "
                      "ELSE cole_naturaleza END"})
 
 _proj("C16_yes_no_flag", "exam_lines",
-      {"internet_flag": L.yes_no_flag("fami_tieneinternet"), "computador_flag": L.yes_no_flag("fami_tienecomputador")},
+      lambda: {"internet_flag": L.yes_no_flag("fami_tieneinternet"), "computador_flag": L.yes_no_flag("fami_tienecomputador")},
       {"internet_flag": S.yes_no("fami_tieneinternet"), "computador_flag": S.yes_no("fami_tienecomputador")})
 
-_proj("C17_form_flag", "exam_lines", {"computador": L.form_flag("fami_tienecomputador")},
+_proj("C17_form_flag", "exam_lines", lambda: {"computador": L.form_flag("fami_tienecomputador")},
       {"computador": "CASE WHEN upper(trim(fami_tienecomputador)) = 'SI' THEN 1 ELSE 0 END"})
 
-_i, _c = L.yes_no_flag("fami_tieneinternet"), L.yes_no_flag("fami_tienecomputador")
+_i = lambda: L.yes_no_flag("fami_tieneinternet")
+_c = lambda: L.yes_no_flag("fami_tienecomputador")
 _si, _sc = S.yes_no("fami_tieneinternet"), S.yes_no("fami_tienecomputador")
-_proj("C18_access2", "exam_lines", {"ACCESO_INTERNET": L.access2(_i, _c)}, {"ACCESO_INTERNET": S.access2(_si, _sc)})
+_proj("C18_access2", "exam_lines", lambda: {"ACCESO_INTERNET": L.access2(_i(), _c())}, {"ACCESO_INTERNET": S.access2(_si, _sc)})
 
-_proj("C19_access4", "exam_lines", {"Acceso_TIC": L.access4("fami_tieneinternet", "fami_tienecomputador")},
+_proj("C19_access4", "exam_lines", lambda: {"Acceso_TIC": L.access4("fami_tieneinternet", "fami_tienecomputador")},
       {"Acceso_TIC": "CASE WHEN fami_tieneinternet IS NOT DISTINCT FROM 'Si' AND fami_tienecomputador IS NOT DISTINCT "
                      "FROM 'Si' THEN 'Internet y Computador' WHEN fami_tieneinternet IS NOT DISTINCT FROM 'Si' THEN "
                      "'Solo Internet' WHEN fami_tienecomputador IS NOT DISTINCT FROM 'Si' THEN 'Solo Computador' "
                      "ELSE 'Sin Acceso TIC' END"})
 
-_proj("C20_internet_label", "exam_lines", {"Tiene_Internet": L.internet_label("fami_tienecomputador")},
+_proj("C20_internet_label", "exam_lines", lambda: {"Tiene_Internet": L.internet_label("fami_tienecomputador")},
       {"Tiene_Internet": "CASE WHEN fami_tienecomputador IS NOT DISTINCT FROM 'Si' THEN 'Con Internet' "
                          "ELSE 'Sin Internet' END"})
 
 _proj("C21_tic_score", "exam_lines",
-      {"tic_score": L.tic_score(_i, _c), "tic_interaccion": L.tic_interaction(_i, _c)},
+      lambda: {"tic_score": L.tic_score(_i(), _c()), "tic_interaccion": L.tic_interaction(_i(), _c())},
       {"tic_score": f"CASE WHEN {_si} IS NULL AND {_sc} IS NULL THEN NULL ELSE coalesce({_si}, 0) + coalesce({_sc}, 0) END",
        "tic_interaccion": f"{_si} * {_sc}"})
 
@@ -222,18 +224,18 @@ def c22(spark: SparkSession, sf: str) -> DataFrame:
                     "tipo_colegio", "genero", "periodo_year", "municipio")
 
 
-_per_raw = F.when(F.col("order_key") % 9 == 0, F.concat(F.lit("x"), F.col("periodo").cast("string"))).when(
+_per_raw = lambda: F.when(F.col("order_key") % 9 == 0, F.concat(F.lit("x"), F.col("periodo").cast("string"))).when(
     F.col("order_key") % 9 == 1, F.substring(F.col("periodo").cast("string"), 1, 4)).otherwise(F.col("periodo").cast("string"))
 _per_sql = ("CASE WHEN order_key % 9 = 0 THEN 'x' || CAST(periodo AS VARCHAR) WHEN order_key % 9 = 1 "
             "THEN substr(CAST(periodo AS VARCHAR), 1, 4) ELSE CAST(periodo AS VARCHAR) END")
-_proj("C23_period_year", "exam_orders", {"anio": L.period_year("raw")},
+_proj("C23_period_year", "exam_orders", lambda: {"anio": L.period_year("raw")},
       {"anio": "CASE WHEN regexp_full_match(substr(raw, 1, 4), '[0-9]+') THEN CAST(substr(raw, 1, 4) AS INT) END"},
-      pre={"raw": _per_raw}, sql_pre={"raw": _per_sql})
-_proj("C24_period_label", "exam_orders", {"periodo_label": L.period_label("raw")},
+      pre=lambda: {"raw": _per_raw()}, sql_pre={"raw": _per_sql})
+_proj("C24_period_label", "exam_orders", lambda: {"periodo_label": L.period_label("raw")},
       {"periodo_label": "CASE WHEN length(raw) >= 5 THEN substr(raw, 1, 4) || '-' || substr(raw, 5) ELSE raw END"},
-      pre={"raw": _per_raw}, sql_pre={"raw": _per_sql})
+      pre=lambda: {"raw": _per_raw()}, sql_pre={"raw": _per_sql})
 
-_str_raw = (F.when(F.col("order_key") % 5 == 0, F.substring("fami_estratovivienda", 9, 1))
+_str_raw = lambda: (F.when(F.col("order_key") % 5 == 0, F.substring("fami_estratovivienda", 9, 1))
             .when(F.col("order_key") % 5 == 1, F.lit(" Sin Estrato "))
             .when(F.col("order_key") % 5 == 2, F.lit("9")).otherwise(F.col("fami_estratovivienda")))
 _str_sql = ("CASE order_key % 5 WHEN 0 THEN substr(fami_estratovivienda, 9, 1) WHEN 1 THEN ' Sin Estrato ' "
@@ -241,11 +243,11 @@ _str_sql = ("CASE order_key % 5 WHEN 0 THEN substr(fami_estratovivienda, 9, 1) W
 _lab_sql = ("CASE WHEN trim(raw) IN ('Estrato 1','Estrato 2','Estrato 3','Estrato 4','Estrato 5','Estrato 6','Sin Estrato') "
             "THEN trim(raw) WHEN trim(raw) IN ('1','2','3','4','5','6') THEN 'Estrato ' || trim(raw) END")
 _proj("C25_stratum_norm", "exam_orders",
-      {"estrato": L.stratum_label("raw"), "orden": L.stratum_order(L.stratum_label("raw"))},
+      lambda: {"estrato": L.stratum_label("raw"), "orden": L.stratum_order(L.stratum_label("raw"))},
       {"estrato": _lab_sql,
        "orden": f"CASE WHEN ({_lab_sql}) = 'Sin Estrato' THEN 7 ELSE TRY_CAST(substr({_lab_sql}, 9, 1) AS INT) END"},
-      where=L.stratum_label("raw").isNotNull(), sql_where=f"({_lab_sql}) IS NOT NULL",
-      pre={"raw": _str_raw}, sql_pre={"raw": _str_sql})
+      where=lambda: L.stratum_label("raw").isNotNull(), sql_where=f"({_lab_sql}) IS NOT NULL",
+      pre=lambda: {"raw": _str_raw()}, sql_pre={"raw": _str_sql})
 
 
 def _with_quartiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,7 +277,7 @@ def c27(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(OID, L.at_risk(s, F.col("q25")).alias("riesgo"))
 
 
-_proj("C28_low_performance", "exam_orders", {"bajo": L.low_performance("punt_global")},
+_proj("C28_low_performance", "exam_orders", lambda: {"bajo": L.low_performance("punt_global")},
       {"bajo": "CAST(punt_global < 250 AS INT)"})
 
 
@@ -285,24 +287,24 @@ def c29(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(OID, L.priority_label("punt_global", F.col("q25")).alias("prioridad"))
 
 
-_proj("C30_level_targets", "exam_orders", {"desemp_ingles": F.col("desemp_ingles"), "nivel_b": L.level_binary("desemp_ingles")},
+_proj("C30_level_targets", "exam_orders", lambda: {"desemp_ingles": F.col("desemp_ingles"), "nivel_b": L.level_binary("desemp_ingles")},
       {"desemp_ingles": "desemp_ingles", "nivel_b": "CAST(desemp_ingles IN ('B1', 'B+') AS INT)"},
-      where=L.level_keep("desemp_ingles"), sql_where="desemp_ingles IN ('A-', 'A1', 'A2', 'B1', 'B+')")
+      where=lambda: L.level_keep("desemp_ingles"), sql_where="desemp_ingles IN ('A-', 'A1', 'A2', 'B1', 'B+')")
 
-_proj("C31_effect_label", "exam_orders", {"efecto": L.effect_label((F.col("punt_global") - 250) / 250)},
+_proj("C31_effect_label", "exam_orders", lambda: {"efecto": L.effect_label((F.col("punt_global") - 250) / 250)},
       {"efecto": S.effect("(punt_global - 250) / 250")})
 
-_proj("C32_p_label", "exam_orders", {"interpretacion": L.p_label(F.col("punt_global") / 500 - 0.9)},
+_proj("C32_p_label", "exam_orders", lambda: {"interpretacion": L.p_label(F.col("punt_global") / 500 - 0.9)},
       {"interpretacion": "CASE WHEN punt_global / 500 - 0.9 < 0.001 THEN 'p<0.001 *** (altamente significativo)' "
                          "WHEN punt_global / 500 - 0.9 < 0.01 THEN 'p<0.01 ** (muy significativo)' "
                          "WHEN punt_global / 500 - 0.9 < 0.05 THEN 'p<0.05 * (significativo)' "
                          "ELSE printf('p=%.4f (no significativo al 5%%)', punt_global / 500 - 0.9) END"})
 
-_proj("C33_scenario_label", "exam_orders", {"etiqueta": L.scenario_label(F.col("punt_global") / 500)},
+_proj("C33_scenario_label", "exam_orders", lambda: {"etiqueta": L.scenario_label(F.col("punt_global") / 500)},
       {"etiqueta": "CASE WHEN punt_global / 500 >= 0.5 THEN 'Prioridad ALTA' ELSE 'Prioridad estándar' END"})
 
 _proj("C34_clip_pred", "exam_lines",
-      {"pred_score": L.clip_pred(F.col("punt_global") * 1.2 - 50, 0, 500, 1),
+      lambda: {"pred_score": L.clip_pred(F.col("punt_global") * 1.2 - 50, 0, 500, 1),
        "pred_subject": L.clip_pred(F.col("punt_ingles") - 3, 0, 500, 1),
        "proba": L.clip_pred(F.col("punt_lectura_critica") / 80 - 0.1, 0, 1, 4)},
       {"pred_score": "round_even(least(greatest(punt_global * 1.2 - 50, 0), 500), 1)",
@@ -311,7 +313,7 @@ _proj("C34_clip_pred", "exam_lines",
 
 # Display labels of the English levels (C37 example mapping).
 LEVEL_LABELS = {"A-": "Pre A1", "A1": "Principiante", "A2": "Basico", "B1": "Intermedio"}
-_proj("C37_label_map", "exam_orders", {"nivel": L.label_map("desemp_ingles", LEVEL_LABELS)},
+_proj("C37_label_map", "exam_orders", lambda: {"nivel": L.label_map("desemp_ingles", LEVEL_LABELS)},
       {"nivel": "CASE desemp_ingles " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LEVEL_LABELS.items())
                 + " ELSE desemp_ingles END"})
 
@@ -337,7 +339,7 @@ def f02(spark: SparkSession, sf: str) -> DataFrame:
     return d.groupBy("periodo").agg(F.count("*").cast("long").alias("n"))
 
 
-_f03_raw = F.when(F.col("order_key") % 6 == 0, F.lit("SIN INFORMACION")).when(
+_f03_raw = lambda: F.when(F.col("order_key") % 6 == 0, F.lit("SIN INFORMACION")).when(
     F.col("order_key") % 6 == 1, F.lit(None).cast("string")).otherwise(F.col("fami_estratovivienda"))
 _f03_sql = "CASE order_key % 6 WHEN 0 THEN 'SIN INFORMACION' WHEN 1 THEN NULL ELSE fami_estratovivienda END"
 
@@ -345,7 +347,7 @@ _f03_sql = "CASE order_key % 6 WHEN 0 THEN 'SIN INFORMACION' WHEN 1 THEN NULL EL
 @register("F03_known_stratum", f"""SELECT estu_consecutivo, raw AS estrato FROM (SELECT *, {_f03_sql} AS raw FROM exam_orders)
 WHERE raw IS NOT NULL AND upper(raw) NOT IN ('SIN INFORMACION', 'SIN INFORMACIÓN')""")
 def f03(spark: SparkSession, sf: str) -> DataFrame:
-    d = exam_orders(spark, sf).withColumn("raw", _f03_raw)
+    d = exam_orders(spark, sf).withColumn("raw", _f03_raw())
     return FL.known_stratum(d, "raw").select(OID, F.col("raw").alias("estrato"))
 
 

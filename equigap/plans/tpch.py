@@ -70,7 +70,8 @@ GROUP BY n.n_name
 """
 
 COORDS_SQL = """
-SELECT n.n_name AS cole_mcpio_ubicacion, n.n_nationkey * 0.1 AS lat, n.n_nationkey * -0.2 AS lon
+SELECT n.n_name AS cole_mcpio_ubicacion, CAST(n.n_nationkey AS DOUBLE) * 0.1 AS lat,
+       CAST(n.n_nationkey AS DOUBLE) * -0.2 AS lon
 FROM {nation} n
 """
 
