@@ -114,15 +114,16 @@ def anova(df: DataFrame, metric: str, group: str, groups: list[str] | None = Non
     aggregation runs over at most len(groups) rows."""
     g = anova_groups(df, metric, group, groups)
     tot = g.agg(
-        F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"), F.count("*").alias("k")
+        F.sum("n").alias("n_total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+        F.count("*").alias("k")
     )
     j = g.crossJoin(F.broadcast(tot))  # one row
-    r = j.groupBy("N", "k").agg(
+    r = j.groupBy("n_total", "k").agg(
         F.sum(F.col("n") * (F.col("mean") - F.col("grand")) * (F.col("mean") - F.col("grand"))).alias("ssb"),
         F.sum(F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0))).alias("ssw"),
     )
     d1 = F.col("k") - 1
-    d2 = F.col("N") - F.col("k")
+    d2 = F.col("n_total") - F.col("k")
     f = (F.col("ssb") / d1) / (F.col("ssw") / d2)
     r = r.select(f.alias("F"), d1.cast("long").alias("df_between"), d2.cast("long").alias("df_within"))
     return r.withColumn("p_valor", f_pvalue(F.col("F"), F.col("df_between"), F.col("df_within")))

@@ -63,7 +63,7 @@ def t_sf2(t: float | None, df: float | None) -> float | None:
         return None
     if np.isinf(t):
         return 0.0
-    return betainc_reg(df / 2.0, 0.5, df / (df + t * t))
+    return float(betainc_reg(df / 2.0, 0.5, df / (df + t * t)))
 
 
 def f_sf(f: float | None, d1: float | None, d2: float | None) -> float | None:
@@ -74,7 +74,7 @@ def f_sf(f: float | None, d1: float | None, d2: float | None) -> float | None:
         return 1.0
     if np.isinf(f):
         return 0.0
-    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    return float(betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f)))
 
 
 def _vec(fn, *cols: pd.Series) -> pd.Series:
