@@ -1 +1,245 @@
-"""Registered queries."""
+"""Registered ML, metric and scenario queries (M*, X*, S12-S13).
+
+Metric queries score deterministic predictions derived from the bound data,
+so DuckDB can recompute them; training labs and scenario scoring depend on
+Spark ML and are rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from equigap.functions import labels as L
+from equigap.ml import labs
+from equigap.ml.metrics import binary_metrics, multiclass_metrics, regression_metrics
+from equigap.ml.prep import class_weights, fit_prep_stages, split
+from equigap.operators import scenario as X
+from equigap.plans.catalog import register
+from equigap.plans.q_aggregates import r6
+from equigap.plans.tpch import exam_lines, exam_orders
+from equigap.session import scratch_path
+
+_YHAT = "punt_matematicas * 2.5 + 120"
+
+
+@register("M14_regression_metrics", f""", p AS (SELECT punt_global AS y, {_YHAT} AS yh FROM exam_lines)
+SELECT round(sqrt(avg((yh - y) * (yh - y))), 6) AS rmse, round(avg(abs(yh - y)), 6) AS mae,
+  round(1 - sum((yh - y) * (yh - y)) / (var_pop(y) * count(*)), 6) AS r2 FROM p""")
+def m14(spark, sf):
+    p = exam_lines(spark, sf).select(F.col("punt_global").alias("label"), F.expr(_YHAT).alias("prediction"))
+    return r6(regression_metrics(p), "rmse", "mae", "r2")
+
+
+_BIN_SQL = """, p AS (SELECT CAST(punt_global < 250 AS INT) AS y, round(punt_matematicas / 100, 2) AS s,
+  CAST(round(punt_matematicas / 100, 2) >= 0.5 AS INT) AS yh FROM exam_lines),
+c AS (SELECT count(*) AS n, sum(CASE WHEN y = 1 AND yh = 1 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN y = 0 AND yh = 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN y = 1 AND yh = 0 THEN 1 ELSE 0 END) AS fn, sum(CASE WHEN y = yh THEN 1 ELSE 0 END) AS ok FROM p),
+d AS (SELECT s, sum(y) AS pos, sum(1 - y) AS neg FROM p GROUP BY s),
+r AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM d),
+a AS (SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS roc_auc FROM r)
+SELECT round(ok / n, 6) AS accuracy, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, 6) AS precision,
+  round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1, round(roc_auc, 6) AS roc_auc FROM c, a"""
+
+
+@register("M15_binary_metrics", _BIN_SQL)
+def m15(spark, sf):
+    s = F.round(F.col("punt_matematicas") / 100, 2)
+    p = exam_lines(spark, sf).select(L.low_performance("punt_global").alias("label"), s.alias("score"),
+                                     (s >= 0.5).cast("int").alias("prediction"))
+    m = binary_metrics(p)
+    return r6(m, *m.columns)
+
+
+@register("M16_multiclass_metrics", """, p AS (SELECT desemp_ingles AS y, CASE WHEN punt_ingles < 20 THEN 'A-' WHEN punt_ingles < 40 THEN 'A1'
+  WHEN punt_ingles < 60 THEN 'A2' WHEN punt_ingles < 80 THEN 'B1' ELSE 'B+' END AS yh FROM exam_lines),
+conf AS (SELECT y, yh, count(*) AS c FROM p GROUP BY 1, 2),
+pt AS (SELECT y AS k, sum(c) AS support FROM conf GROUP BY 1), pp AS (SELECT yh AS k, sum(c) AS predicted FROM conf GROUP BY 1),
+tp AS (SELECT y AS k, c AS tp FROM conf WHERE y = yh),
+lab AS (SELECT coalesce(pt.k, pp.k) AS k, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted FROM pt FULL JOIN pp ON pt.k = pp.k),
+l2 AS (SELECT lab.*, coalesce(tp.tp, 0) AS tp FROM lab LEFT JOIN tp ON lab.k = tp.k)
+SELECT round(sum(tp) / sum(support), 6) AS accuracy,
+  round(avg(CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0.0 END), 6) AS f1_macro FROM l2""")
+def m16(spark, sf):
+    e = F.col("punt_ingles")
+    yh = F.when(e < 20, "A-").when(e < 40, "A1").when(e < 60, "A2").when(e < 80, "B1").otherwise("B+")
+    p = exam_lines(spark, sf).select(F.col("desemp_ingles").alias("label"), yh.alias("prediction"))
+    return r6(multiclass_metrics(p), "accuracy", "f1_macro")
+
+
+@register("M06_class_weights", """SELECT y AS label, round(n_total / (k * n), 6) AS weight FROM
+(SELECT y, count(*) AS n, sum(count(*)) OVER () AS n_total, count(*) OVER () AS k FROM
+  (SELECT CAST(punt_global < 250 AS INT) AS y FROM exam_orders) GROUP BY y)""")
+def m06(spark, sf):
+    d = exam_orders(spark, sf).select(L.low_performance("punt_global").alias("label"))
+    return r6(class_weights(d, "label").select("label", "weight").distinct(), "weight")
+
+
+@register("M02_prep_statistics", """SELECT round(quantile_cont(punt_matematicas, 0.5), 6) AS median,
+  round(avg(punt_matematicas), 6) AS mean, round(stddev_pop(punt_matematicas), 6) AS std_pop,
+  (SELECT fami_estratovivienda FROM exam_lines GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode FROM exam_lines""")
+def m02(spark, sf):
+    d = exam_lines(spark, sf)
+    return r6(d.agg(F.percentile("punt_matematicas", 0.5).alias("median"), F.avg("punt_matematicas").alias("mean"),
+                    F.stddev_pop("punt_matematicas").alias("std_pop"),
+                    F.mode("fami_estratovivienda", deterministic=True).alias("mode")), "median", "mean", "std_pop")
+
+
+@register("M04_split")
+def m04(spark, sf):
+    d = split(exam_orders(spark, sf), ["estu_consecutivo"], 0.8, 42)
+    return d.groupBy("is_train", L.low_performance("punt_global").alias("clase")).agg(F.count("*").alias("n"))
+
+
+# ------------------------------------------------------------ labs (R) ----
+
+_FS = {"basico": (["punt_matematicas", "punt_lectura_critica"], []),
+       "contexto": (["punt_matematicas", "punt_c_naturales"], ["cole_naturaleza", "fami_estratovivienda", "fami_tieneinternet"])}
+
+
+@register("M10_train_regression")
+def m10(spark, sf):
+    runs, _, _ = labs.run_lab(spark, exam_lines(spark, sf), "regresion", "punt_global", ["estu_consecutivo", "line_number"],
+                              _FS, configs={k: v for k, v in labs.regression_catalogue().items()
+                                            if k in ("LinearRegression", "Ridge", "Lasso", "GradientBoostingRegressor")},
+                              run_prefix="p1_reg")
+    return runs
+
+
+@register("M11_train_binary")
+def m11(spark, sf):
+    d = exam_lines(spark, sf).withColumn("bajo", L.low_performance("punt_global"))
+    runs, _, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"],
+                              {"contexto": _FS["contexto"]}, run_prefix="p2_clf")
+    return runs
+
+
+@register("M12_train_multiclass")
+def m12(spark, sf):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer
+
+    d = exam_lines(spark, sf).where(L.level_keep("desemp_ingles"))
+    d = StringIndexer(inputCol="desemp_ingles", outputCol="nivel", stringOrderType="alphabetAsc").fit(d).transform(d)
+    runs, _, _ = labs.run_lab(spark, d, "clasificacion_multiclase", "nivel", ["estu_consecutivo", "line_number"],
+                              {"tic": (["punt_ingles"], ["fami_tieneinternet", "fami_tienecomputador"])},
+                              configs={"LogisticRegression": LogisticRegression(maxIter=100)}, run_prefix="p3_multi")
+    return runs
+
+
+@register("M13_train_custom")
+def m13(spark, sf):
+    sel = ["punt_c_naturales", "cole_naturaleza"]
+    d = exam_lines(spark, sf)
+    runs, _, _ = labs.run_lab(spark, d, "regresion", "punt_global", ["estu_consecutivo", "line_number"],
+                              {"custom": ([c for c in sel if c.startswith("punt")], [c for c in sel if not c.startswith("punt")])},
+                              configs={"LinearRegression": LinearRegression(), "nonsense": LinearRegression(labelCol="missing")},
+                              run_prefix="p3_custom_reg")
+    return runs
+
+
+# -------------------------------------------------------- scenarios (R) ----
+
+def _fit_orders_model(spark: SparkSession, sf: str):
+    d = exam_orders(spark, sf).withColumn("Area", F.when(F.col("cole_area_ubicacion") == "URBANO", "Urbano")
+                                          .otherwise("Rural"))
+    num, cat = ["punt_sociales_ciudadanas"], ["Area", "cole_naturaleza", "fami_estratovivienda"]
+    stages = fit_prep_stages(d, num, cat)
+    model = Pipeline(stages=stages + [LinearRegression(labelCol="punt_global")]).fit(d)
+    return d, model
+
+
+@register("X01_score_scenarios")
+def x01(spark, sf):
+    d, model = _fit_orders_model(spark, sf)
+    sc = X.flip(d.select("estu_consecutivo", "punt_sociales_ciudadanas", "Area", "cole_naturaleza",
+                         "fami_estratovivienda").withColumnRenamed("estu_consecutivo", "scenario_id"),
+                "cole_naturaleza", "OFICIAL", "NO OFICIAL")
+    return X.score_scenarios(model, sc)
+
+
+@register("X03_flip")
+def x03(spark, sf):
+    d = exam_orders(spark, sf).select("estu_consecutivo", "cole_naturaleza")
+    return X.flip(d.withColumnRenamed("estu_consecutivo", "scenario_id"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")
+
+
+@register("X04_zone_impact")
+def x04(spark, sf):
+    d, model = _fit_orders_model(spark, sf)
+    return X.zone_impact(model, d.select("punt_sociales_ciudadanas", "Area", "cole_naturaleza", "fami_estratovivienda"))
+
+
+@register("X05_tic_impact")
+def x05(spark, sf):
+    from equigap.operators.clean import modeling_frame
+    from equigap.roles import Roles
+
+    m = modeling_frame(exam_lines(spark, sf), Roles()).select("punt_ingles", "internet_flag", "computador_flag",
+                                                              "tic_score", "tic_interaccion")
+    stages = fit_prep_stages(m, ["internet_flag", "computador_flag", "tic_score", "tic_interaccion"], [])
+    model = Pipeline(stages=stages + [LinearRegression(labelCol="punt_ingles")]).fit(m)
+    return X.tic_impact(model, m)
+
+
+@register("X06_adjusted_gap_table")
+def x06(spark, sf):
+    from equigap.operators import joins as J
+
+    d = exam_lines(spark, sf)
+    targets = ["punt_global", "punt_matematicas"]
+    models = {}
+    for t in targets:
+        stages = fit_prep_stages(d, [], ["cole_naturaleza", "fami_estratovivienda", "estu_genero"])
+        models[t] = Pipeline(stages=stages + [LinearRegression(labelCol=t)]).fit(d)
+    grid = J.scenario_grid(spark.createDataFrame([(t,) for t in targets], "target string"),
+                           d.select("fami_estratovivienda").distinct(), d.select("cole_naturaleza").distinct(),
+                           {"estu_genero": "F"})
+    return X.adjusted_gap_table(models, grid)
+
+
+@register("X07_predicted_level")
+def x07(spark, sf):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer
+
+    d = exam_orders(spark, sf).where(L.level_keep("desemp_ingles"))
+    idx = StringIndexer(inputCol="desemp_ingles", outputCol="label", stringOrderType="alphabetAsc").fit(d)
+    d = idx.transform(d)
+    stages = fit_prep_stages(d, ["punt_global"], ["cole_naturaleza"])
+    model = Pipeline(stages=stages + [LogisticRegression(maxIter=50)]).fit(d)
+    return X.predicted_level(model.transform(d), list(idx.labels)).groupBy("nivel_predicho").count()
+
+
+@register("X02_scenario_inputs")
+def x02(spark, sf):
+    from equigap.operators import joins as J
+    from equigap.plans.tpch import region_gdp
+
+    lines = exam_lines(spark, sf)
+    form = lines.select(F.col("cole_mcpio_ubicacion").alias("municipio"), "fami_tieneinternet", "fami_tienecomputador")
+    f = lines.join(region_gdp(spark, sf), F.col("cole_mcpio_ubicacion") == F.col("municipio"), "left")
+    gdp = J.gdp_lookup(f, form.select("municipio").distinct(), "cole_mcpio_ubicacion", "pib_miles_millones", None)
+    return X.scenario_inputs(form, gdp).groupBy("municipio", "tic_score", "pib").count()
+
+
+@register("X08_result_facts")
+def x08(spark, sf):
+    from equigap.operators.runs import best_runs
+    from equigap.plans.q_runs import runs_table
+
+    d, model = _fit_orders_model(spark, sf)
+    imp = X.zone_impact(model, d.select("punt_sociales_ciudadanas", "Area", "cole_naturaleza", "fami_estratovivienda"))
+    return X.result_facts(best_runs(runs_table(spark, sf)), imp)
+
+
+@register("S12_S13_save_load_best")
+def s12(spark, sf):
+    d, model = _fit_orders_model(spark, sf)
+    path = scratch_path(spark, "models/pregunta_1/regresion")
+    labs.save_best(model, {"target": "punt_global", "features": ["punt_sociales_ciudadanas", "Area"]}, path)
+    loaded, meta = labs.load_best(path)
+    return loaded.transform(d).agg(F.count("*").alias("n"), F.lit(meta["target"]).alias("target"))
