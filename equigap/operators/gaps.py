@@ -7,7 +7,7 @@ keys with null values are dropped first, as pandas does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
@@ -41,8 +41,9 @@ def region_map(df: DataFrame, metric: str, region: str, lat: str = "lat", lon: s
     if gdp:
         aggs.append(F.max(gdp).alias("pib"))
     per = df.where(_nn(region, lat, lon)).groupBy(region, lat, lon).agg(*aggs)
-    rng = per.agg(F.min(metric).alias("min_value"), F.max(metric).alias("max_value"))
-    return per.crossJoin(F.broadcast(rng))  # one-row frame
+    everything = Window.partitionBy()  # over the per-region table only
+    return per.withColumn("min_value", F.min(metric).over(everything)).withColumn(
+        "max_value", F.max(metric).over(everything))
 
 
 def region_gap(df: DataFrame, metric: str, region: str, zone: str, a: str = "Urbano", b: str = "Rural",
@@ -127,11 +128,11 @@ def region_type_gap(df: DataFrame, metric: str, region: str, group: str, lat: st
         F.avg(F.when(F.col(group) == a, F.col(metric))).alias("__a"),
         F.avg(F.when(F.col(group) == b, F.col(metric))).alias("__b"),
         F.avg(metric).alias("__all"),
+        F.max((F.col(group) == a).cast("int")).alias("__has_a"),
+        F.max((F.col(group) == b).cast("int")).alias("__has_b"),
     )
-    present = base.agg(
-        (F.max((F.col(group) == a).cast("int")) + F.max((F.col(group) == b).cast("int"))).alias("__types")
-    )
-    j = per.crossJoin(F.broadcast(present))  # one-row frame
+    everything = Window.partitionBy()  # over the per-region table only
+    j = per.withColumn("__types", F.max("__has_a").over(everything) + F.max("__has_b").over(everything))
     both = F.col("__types") == 2
     out = j.select(
         region, lat, lon,
@@ -170,8 +171,7 @@ def level_by_access(df: DataFrame, level: str, access: str) -> DataFrame:
 def share_by(df: DataFrame, col: str) -> DataFrame:
     """Count and share of each category (null category dropped)."""
     g = df.where(_nn(col)).groupBy(col).agg(F.count("*").cast("long").alias("n"))
-    tot = g.agg(F.sum("n").alias("__t"))
-    return g.crossJoin(F.broadcast(tot)).select(col, "n", (F.col("n") / F.col("__t")).alias("share"))
+    return g.select(col, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
 
 
 def histogram(df: DataFrame, metric: str, bins: int = 40) -> DataFrame:
@@ -235,8 +235,6 @@ def region_ranking(df: DataFrame, metric: str, region: str) -> DataFrame:
 
     The rank is a global window over the per-region aggregate (one row per
     region), never over fact rows."""
-    from pyspark.sql import Window
-
     g = mean_by(df, metric, [region], out=metric)
     return g.withColumn("rank", F.row_number().over(Window.orderBy(F.col(metric).asc_nulls_last(), F.col(region))))
 

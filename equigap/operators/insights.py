@@ -119,10 +119,11 @@ def region_priority(gap: DataFrame, gap_col: str = "brecha_rural_urbana",
     GDP cut exists, GDP <= q25(GDP) (null GDP -> false).  The cuts are
     exact percentiles over the region table (one row per region)."""
     g = gap.where(F.col(gap_col).isNotNull())
-    aggs = [F.percentile(gap_col, 0.75).alias("__gap_cut")]
-    aggs.append(F.percentile(gdp_col, 0.25).alias("__pib_cut") if gdp_col else F.lit(None).cast("double").alias("__pib_cut"))
-    cuts = g.agg(*aggs)
-    j = g.crossJoin(F.broadcast(cuts))  # one row
+    # cut points as whole-table windows over the region table: the fact plan
+    # under it runs once (no self cross join re-evaluating it)
+    everything = Window.partitionBy()
+    j = g.withColumn("__gap_cut", F.percentile(gap_col, 0.75).over(everything)).withColumn(
+        "__pib_cut", F.percentile(gdp_col, 0.25).over(everything) if gdp_col else F.lit(None).cast("double"))
     flag = F.col(gap_col) >= F.col("__gap_cut")
     if gdp_col:
         flag = F.when(F.col("__pib_cut").isNull(), flag).otherwise(
@@ -159,10 +160,9 @@ def digital_potential(df: DataFrame, english: str, region: str, internet_flag: C
 
 def potential_class(pot: DataFrame) -> DataFrame:
     """ALTO / MEDIO / BAJO from the q75 cuts of gap and share."""
-    cuts = pot.agg(
-        F.percentile("gap_ingles_digital", 0.75).alias("__gc"), F.percentile("share_sin_acceso", 0.75).alias("__sc")
-    )
-    j = pot.crossJoin(F.broadcast(cuts))  # one row
+    everything = Window.partitionBy()  # the region table: one row per region
+    j = pot.withColumn("__gc", F.percentile("gap_ingles_digital", 0.75).over(everything)).withColumn(
+        "__sc", F.percentile("share_sin_acceso", 0.75).over(everything))
     g, s = F.col("gap_ingles_digital"), F.col("share_sin_acceso")
     cls = (
         F.when((g >= F.col("__gc")) & (s >= F.col("__sc")), "ALTO")

@@ -7,7 +7,7 @@ result, and p-values come from :mod:`equigap.stats.tails` on the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
@@ -113,11 +113,10 @@ def anova(df: DataFrame, metric: str, group: str, groups: list[str] | None = Non
     SSB = sum n_i (mean_i - grand)^2, SSW = sum (n_i - 1) var_i; the second
     aggregation runs over at most len(groups) rows."""
     g = anova_groups(df, metric, group, groups)
-    tot = g.agg(
-        F.sum("n").alias("n_total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
-        F.count("*").alias("k")
-    )
-    j = g.crossJoin(F.broadcast(tot))  # one row
+    everything = Window.partitionBy()  # over the <= len(groups) group rows
+    j = g.withColumn("n_total", F.sum("n").over(everything)).withColumn(
+        "grand", F.sum(F.col("n") * F.col("mean")).over(everything) / F.col("n_total")).withColumn(
+        "k", F.count("*").over(everything))
     r = j.groupBy("n_total", "k").agg(
         F.sum(F.col("n") * (F.col("mean") - F.col("grand")) * (F.col("mean") - F.col("grand"))).alias("ssb"),
         F.sum(F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0))).alias("ssw"),
