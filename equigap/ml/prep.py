@@ -18,6 +18,8 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from equigap.operators.util import small_side
+
 
 def feature_sets(columns: list[str], catalogue: dict[str, list[str]]) -> dict[str, list[str]]:
     """Every feature set restricted to the columns present."""
@@ -110,4 +112,4 @@ def class_weights(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count("*").alias("__k"))
     w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(col))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(small_side(w, 100_000), label, "left")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import metric_order, unpivot_metrics
+from equigap.operators.util import metric_order, small_side, unpivot_metrics
 
 
 def _nn(*cols: str) -> Column:
@@ -213,7 +213,7 @@ def box_summary(df: DataFrame, metrics: list[str], group: str | None) -> DataFra
     ).withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     )
-    w = long.join(F.broadcast(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
+    w = long.join(small_side(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
         F.min(F.when(F.col("v") >= F.col("lower_fence"), F.col("v"))).alias("whisker_low"),
         F.max(F.when(F.col("v") <= F.col("upper_fence"), F.col("v"))).alias("whisker_high"),
         F.sum(((F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))).cast("long")).alias("outliers"),

@@ -98,18 +98,33 @@ def display_name(df: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
+def _by_normalised_region(base: DataFrame, region: str, sums: dict[str, Column], counts: dict[str, Column]) -> DataFrame:
+    """Two-stage aggregation: first by the raw region name (partial
+    aggregation, one row per distinct spelling), then the C10 key is computed
+    once per spelling and the partial sums are merged per key.  The text
+    fold runs on distinct names, not on fact rows.  The display name is the
+    most frequent spelling, smallest on ties (A20)."""
+    aggs = [F.sum(v).alias(f"s_{k}") for k, v in sums.items()]
+    aggs += [F.count(v).alias(f"c_{k}") for k, v in counts.items()]
+    aggs.append(F.count("*").alias("__n"))
+    per_name = base.groupBy(region).agg(*aggs).withColumn("MUNICIPIO_NORM", normalize_key(region))
+    merged = [F.sum(f"s_{k}").alias(f"s_{k}") for k in sums] + [F.sum(f"c_{k}").alias(f"c_{k}") for k in counts]
+    merged += [F.sum("__n").alias("__n"),
+               F.min_by(region, F.struct(-F.col("__n"), F.col(region))).alias("municipio_display")]
+    return per_name.groupBy("MUNICIPIO_NORM").agg(*merged)
+
+
 def region_zone_gap(df: DataFrame, metric: str, region: str, zone: str) -> DataFrame:
     """Q1 table: |URBANO - RURAL| mean per normalised region key + display
     name; regions lacking a side have a null gap."""
     base = df.select(
         F.col(region), L.zone_strict(zone).alias("ZONA"), F.col(metric).cast("double").alias(metric)
     ).where(F.col(region).isNotNull() & F.col("ZONA").isNotNull() & F.col(metric).isNotNull())
-    base = base.withColumn("MUNICIPIO_NORM", normalize_key(region))
-    stats = base.groupBy("MUNICIPIO_NORM").agg(
-        F.avg(F.when(F.col("ZONA") == "URBANO", F.col(metric))).alias("URBANO"),
-        F.avg(F.when(F.col("ZONA") == "RURAL", F.col(metric))).alias("RURAL"),
-        F.mode(region, deterministic=True).alias("municipio_display"),
-    )
+    u = F.when(F.col("ZONA") == "URBANO", F.col(metric))
+    r = F.when(F.col("ZONA") == "RURAL", F.col(metric))
+    g = _by_normalised_region(base, region, {"u": u, "r": r}, {"u": u, "r": r})
+    stats = g.select("MUNICIPIO_NORM", (F.col("s_u") / F.col("c_u")).alias("URBANO"),
+                     (F.col("s_r") / F.col("c_r")).alias("RURAL"), "municipio_display")
     return stats.withColumn("brecha_rural_urbana", F.abs(F.col("URBANO") - F.col("RURAL")))
 
 
@@ -148,13 +163,16 @@ def digital_potential(df: DataFrame, english: str, region: str, internet_flag: C
     base = df.select(
         F.col(region), L.access2(internet_flag, computer_flag).alias("ACCESO"), F.col(english).cast("double").alias("__e")
     ).where(F.col(region).isNotNull() & F.col("__e").isNotNull())
-    base = base.withColumn("MUNICIPIO_NORM", normalize_key(region))
-    return base.groupBy("MUNICIPIO_NORM").agg(
-        F.avg(F.when(F.col("ACCESO") == "CON_ACCESO", F.col("__e"))).alias("CON_ACCESO"),
-        F.avg(F.when(F.col("ACCESO") == "SIN_ACCESO", F.col("__e"))).alias("SIN_ACCESO"),
-        F.avg((F.col("ACCESO") == "SIN_ACCESO").cast("double")).alias("share_sin_acceso"),
-        F.count("*").cast("long").alias("estudiantes"),
-        F.mode(region, deterministic=True).alias("municipio_display"),
+    con = F.when(F.col("ACCESO") == "CON_ACCESO", F.col("__e"))
+    sin = F.when(F.col("ACCESO") == "SIN_ACCESO", F.col("__e"))
+    g = _by_normalised_region(base, region, {"con": con, "sin": sin}, {"con": con, "sin": sin})
+    return g.select(
+        "MUNICIPIO_NORM",
+        (F.col("s_con") / F.col("c_con")).alias("CON_ACCESO"),
+        (F.col("s_sin") / F.col("c_sin")).alias("SIN_ACCESO"),
+        (F.col("c_sin") / F.col("__n")).alias("share_sin_acceso"),
+        F.col("__n").cast("long").alias("estudiantes"),
+        "municipio_display",
     ).withColumn("gap_ingles_digital", F.coalesce(F.col("CON_ACCESO") - F.col("SIN_ACCESO"), F.lit(0.0)))
 
 
@@ -175,3 +193,37 @@ def potential_class(pot: DataFrame) -> DataFrame:
 def priority_lists(tab: DataFrame, key: str = "MUNICIPIO_NORM", n: int = 25) -> DataFrame:
     """First ``n`` rows of a region table in key order (a top-k payload)."""
     return tab.orderBy(key).limit(n)
+
+
+def kpis(df: DataFrame, roles, gdp: DataFrame | None = None, region_priority_table: DataFrame | None = None) -> DataFrame:
+    """The KPI record as one row: risk rate and threshold, urban - rural
+    median gap, largest stratum-adjusted private - public gap and its metric,
+    digital English median gap, number of priority regions.  Each part is a
+    one-row aggregate; a missing role gives a null KPI."""
+    from equigap.operators.gaps import median_gap
+
+    parts = []
+    if roles.score:
+        cuts = cut_points(df, roles.score)
+        parts.append(risk_rate(with_risk(df, roles.score, cuts)).withColumnRenamed("tasa_riesgo", "tasa_riesgo_departamental"))
+        parts.append(cuts.select("umbral_riesgo"))
+    if roles.score and roles.zone:
+        z = df.withColumn("__z", L.zone_strict(roles.zone))
+        parts.append(median_gap(z, roles.score, "__z", "URBANO", "RURAL", "brecha_rural_urbana_p50")
+                     .select("brecha_rural_urbana_p50"))
+    if roles.school_type and roles.stratum and roles.subjects:
+        t = df.withColumn("__t", L.school_type(roles.school_type))
+        g = adjusted_gaps(t, roles.subjects, "__t", roles.stratum).where("is_max")
+        parts.append(g.select(F.col("gap_privado_menos_publico").alias("impacto_estimado_publico_privado_max"),
+                              F.col("metric").alias("impacto_estimado_publico_privado_metric")))
+    if roles.english and roles.internet and roles.computer:
+        a = df.withColumn("__a", L.access2(L.yes_no_flag(roles.internet), L.yes_no_flag(roles.computer)))
+        parts.append(median_gap(a, roles.english, "__a", "CON_ACCESO", "SIN_ACCESO", "impacto_digital_ingles_gap")
+                     .select("impacto_digital_ingles_gap"))
+    if region_priority_table is not None:
+        parts.append(region_priority_table.agg(
+            F.sum(F.col("prioridad_alta").cast("long")).alias("municipios_prioridad_alta")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(p)  # every part is a one-row aggregate
+    return out

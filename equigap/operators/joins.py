@@ -89,7 +89,7 @@ def gdp_lookup(df: DataFrame, regions: DataFrame, region_col: str, gdp_col: str,
 def scenario_grid(targets: DataFrame, strata: DataFrame, types: DataFrame, profile: dict) -> DataFrame:
     """Targets x strata x school types on a fixed profile.  All three
     inputs are small fixed lists, so the cross join is bounded."""
-    grid = targets.crossJoin(F.broadcast(strata)).crossJoin(F.broadcast(types))
+    grid = targets.crossJoin(small_side(strata, 10_000)).crossJoin(small_side(types, 10_000))
     for k, v in profile.items():
         grid = grid.withColumn(k, F.lit(v))
     return grid

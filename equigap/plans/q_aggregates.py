@@ -550,3 +550,31 @@ def j09(spark, sf):
     return J.scenario_grid(d.select(F.col("desemp_ingles").alias("target")).distinct(),
                            d.select("fami_estratovivienda").distinct(), d.select("cole_naturaleza").distinct(),
                            {"cole_genero": "MIXTO", "cole_jornada": "COMPLETA"})
+
+
+def _kpi_sql() -> str:
+    risk = _RISK_SQL.replace("cuts", "kcuts")
+    q1 = Q1_SQL.replace("FROM exam_orders", "FROM exam_lines")
+    q1 = q1[: q1.index("SELECT MUNICIPIO_NORM, municipio_display, round(URBANO")].replace("cuts AS", "qcuts AS")
+    adj = _ADJ_SQL
+    return (risk + q1 + adj + f""", zz AS (SELECT *, {S.zone_strict('cole_area_ubicacion')} AS z, {_ACC} AS acc FROM exam_lines)
+SELECT round((SELECT avg(prioridad_binaria) * 100 FROM risk), 6) AS tasa_riesgo_departamental,
+  round((SELECT coalesce(q25, 250.0) FROM kcuts), 6) AS umbral_riesgo,
+  round((SELECT quantile_cont(CASE WHEN z = 'URBANO' THEN punt_global END, 0.5) - quantile_cont(CASE WHEN z = 'RURAL' THEN punt_global END, 0.5) FROM zz), 6) AS brecha_rural_urbana_p50,
+  round((SELECT gap FROM ranked WHERE rk = 1), 6) AS impacto_estimado_publico_privado_max,
+  (SELECT metric FROM ranked WHERE rk = 1) AS impacto_estimado_publico_privado_metric,
+  round((SELECT quantile_cont(CASE WHEN acc = 'CON_ACCESO' THEN punt_ingles END, 0.5) - quantile_cont(CASE WHEN acc = 'SIN_ACCESO' THEN punt_ingles END, 0.5) FROM zz), 6) AS impacto_digital_ingles_gap,
+  (SELECT CAST(sum(CASE WHEN CASE WHEN pib_cut IS NULL THEN brecha_rural_urbana >= gap_cut ELSE brecha_rural_urbana >= gap_cut
+     AND coalesce(pib_miles_millones <= pib_cut, false) END THEN 1 ELSE 0 END) AS BIGINT) FROM gap, qcuts) AS municipios_prioridad_alta""")
+
+
+@register("A33_kpis", _kpi_sql())
+def a33(spark, sf):
+    from equigap.roles import Roles
+
+    lines = exam_lines(spark, sf)
+    gap = I.region_zone_gap(lines, "punt_global", "cole_mcpio_ubicacion", "cole_area_ubicacion")
+    gap = J.region_with_gdp(gap, region_gdp(spark, sf), "MUNICIPIO_NORM", "municipio", ["pib_miles_millones"])
+    k = I.kpis(lines, Roles(), region_priority_table=I.region_priority(gap))
+    return r6(k, "tasa_riesgo_departamental", "umbral_riesgo", "brecha_rural_urbana_p50",
+              "impacto_estimado_publico_privado_max", "impacto_digital_ingles_gap")
