@@ -31,7 +31,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all():
     # importing the modules registers their queries
-    from equigap.plans import q_functions, q_aggregates, q_stats, q_runs, q_ml  # noqa: F401
+    from equigap.plans import q_functions, q_aggregates, q_stats, q_runs, q_ml, q_sources  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

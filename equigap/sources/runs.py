@@ -110,16 +110,17 @@ def infer_run_tags(runs: DataFrame, name: str = "run_name", tag_task: str = "tag
     return out.where(F.col("task").isNotNull() | p3)
 
 
-def read_history(spark: SparkSession, root: str, runs: DataFrame | None = None, max_runs: int | None = None) -> DataFrame:
+def read_history(spark: SparkSession, root: str, runs: DataFrame | None = None, max_runs: int | None = None,
+                 pattern: str = "*/*/artifacts/history/*.csv",
+                 run_regex: str = r"/[^/]+/([^/]+)/artifacts/history/[^/]+$") -> DataFrame:
     """One row per (run, epoch) with loss and val_loss from each run's
     history CSV; the epoch is the 1-based line number inside the file (read
     whole, so the order is the file's).  Runs without a file are absent."""
-    raw = spark.read.text(f"{root.rstrip('/')}/*/*/artifacts/history/*.csv", wholetext=True).select(
+    raw = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True).select(
         F.col("value").alias("c"), F.col("_metadata.file_path").alias("path")
     )
-    rx = r"/([^/]+)/([^/]+)/artifacts/history/[^/]+$"
     lines = raw.select(
-        F.regexp_extract("path", rx, 2).alias("run_id"),
+        F.regexp_extract("path", run_regex, 1).alias("run_id"),
         F.posexplode(F.filter(F.split("c", "\r?\n"), lambda x: F.trim(x) != "")).alias("pos", "line"),
         F.split(F.split("c", "\r?\n")[0], ",").alias("header"),
     ).where(F.col("pos") > 0)
