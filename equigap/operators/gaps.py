@@ -145,12 +145,21 @@ def region_type_gap(df: DataFrame, metric: str, region: str, group: str, lat: st
     return out.where(~F.col("__both") | F.col("brecha").isNotNull()).drop("__both")
 
 
-def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str = "gap") -> DataFrame:
-    """median(a) - median(b) over one scan; null if a side is missing.
-
-    Exact ``percentile`` keeps a value->count map per group; for continuous
-    scores use :func:`equigap.operators.insights.quantiles` with
-    ``exact=False``."""
+def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str = "gap",
+               strategy: str = "auto") -> DataFrame:
+    """median(a) - median(b); null if a side is missing.
+
+    ``exact`` is one scan with an in-plan ``percentile`` (a value -> count map
+    per side: right for bounded score domains and moderate row counts);
+    ``auto`` switches to the distributed exact refinement of
+    :mod:`equigap.operators.quantiles` for large inputs."""
+    if strategy != "exact":
+        from equigap.operators.quantiles import quantile_row
+
+        ma = quantile_row(df.where(F.col(group) == a), metric, [0.5], strategy=strategy)
+        mb = quantile_row(df.where(F.col(group) == b), metric, [0.5], strategy=strategy)
+        both = ma.select(F.col("q50").alias("median_a")).crossJoin(mb.select(F.col("q50").alias("median_b")))
+        return both.withColumn(out, F.col("median_a") - F.col("median_b"))
     return df.agg(
         F.percentile(F.when(F.col(group) == a, F.col(metric)), 0.5).alias("median_a"),
         F.percentile(F.when(F.col(group) == b, F.col(metric)), 0.5).alias("median_b"),

@@ -22,7 +22,7 @@ RISK_FALLBACK = 250.0
 
 
 def cut_points(df: DataFrame, metric: str, qs: tuple[float, ...] = DEFAULT_QS, fallback: float = RISK_FALLBACK,
-               strategy: str = "exact") -> DataFrame:
+               strategy: str = "auto") -> DataFrame:
     """One row with q10..q90 (linear interpolation) and the risk
     threshold (q25, or ``fallback`` when there is no score)."""
     row = quantile_row(df, metric, qs, strategy=strategy)

@@ -39,3 +39,31 @@ def metric_order(name_col: Column, metrics: list[str]) -> Column:
     for i, m in enumerate(metrics):
         out = F.when(name_col == m, i) if out is None else out.when(name_col == m, i)
     return out
+
+
+def ordinal_within(df: DataFrame, key: str, order: list[str], out: str = "ordinal", partitions: int | None = None) -> DataFrame:
+    """1-based position of each row inside its ``key`` group by ``order``
+    (``row_number() over (partition by key order by ...)``) without sending
+    a whole group to one task: the rows are range-partitioned on
+    (key, order), so a group holding a third of all rows is spread over
+    many contiguous partitions; per-(partition, key) counts (a table of at
+    most partitions x keys-per-partition rows) give each slice its offset.
+    Requires ``order`` to make rows unique within a key (add an id)."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    srt = df.repartitionByRange(n, key, *order).withColumn("__pid", F.spark_partition_id())
+    # materialise once in the shared checkpoint folder: the partition id is
+    # then a stored value, identical for the count and the ranking branch
+    # (recomputing the range exchange could re-coalesce partitions under AQE)
+    from equigap.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    srt = srt.checkpoint(eager=True)
+    slices = srt.groupBy("__pid", key).agg(F.count("*").alias("__c"))
+    from pyspark.sql import Window
+
+    prior = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = slices.withColumn("__off", F.coalesce(F.sum("__c").over(prior), F.lit(0))).select("__pid", key, "__off")
+    local = Window.partitionBy("__pid", key).orderBy(*order)
+    ranked = srt.withColumn("__rn", F.row_number().over(local))
+    return ranked.join(offs, ["__pid", key]).withColumn(out, F.col("__off") + F.col("__rn")).drop("__pid", "__rn", "__off")

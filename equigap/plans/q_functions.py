@@ -251,10 +251,10 @@ _proj("C25_stratum_norm", "exam_orders",
 
 
 def _with_quartiles(spark: SparkSession, sf: str) -> DataFrame:
+    from equigap.operators.quantiles import quantile_row
+
     df = exam_orders(spark, sf)
-    # one-row aggregate, broadcast back: the cut points never leave Spark
-    q = df.agg(F.percentile("punt_global", [0.25, 0.75]).alias("__q"))
-    q = q.select(F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q75"))
+    q = quantile_row(df, "punt_global", [0.25, 0.75], strategy="auto")  # one row
     return df.crossJoin(F.broadcast(q))
 
 

@@ -182,11 +182,13 @@ def w04(spark, sf):
 
 
 def _history(spark, sf):
-    ev = load(spark, sf, "events")
-    from pyspark.sql import Window
+    """Per-run training curve derived from events: epoch = position of the
+    event inside its run by time (distributed ordinal, no per-run task)."""
+    from equigap.operators.util import ordinal_within
 
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return ev.select(F.col("user_id").cast("string").alias("run_id"), F.row_number().over(w).alias("epoch"),
+    ev = load(spark, sf, "events").select("user_id", "ts", "event_id", "value", "event_type")
+    ev = ordinal_within(ev, "user_id", ["ts", "event_id"], out="epoch")
+    return ev.select(F.col("user_id").cast("string").alias("run_id"), F.col("epoch").cast("int").alias("epoch"),
                      F.col("value").alias("loss"),
                      F.when(F.col("event_type") != "error", F.col("value") * 1.1).alias("val_loss"))
 
