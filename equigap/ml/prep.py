@@ -76,7 +76,7 @@ def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], f
                                     outputCols=[c + "__idx" for c in categorical], handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[c + "__idx" for c in categorical],
-                                    outputCols=[c + "__ohe" for c in categorical], dropLast=True, handleInvalid="keep"))
+                                    outputCols=[c + "__ohe" for c in categorical], dropLast=True))
         vec_inputs += [c + "__ohe" for c in categorical]
     stages.append(VectorAssembler(inputCols=vec_inputs, outputCol=features_col, handleInvalid="keep"))
     return stages

@@ -123,8 +123,8 @@ def region_zone_gap(df: DataFrame, metric: str, region: str, zone: str) -> DataF
     u = F.when(F.col("ZONA") == "URBANO", F.col(metric))
     r = F.when(F.col("ZONA") == "RURAL", F.col(metric))
     g = _by_normalised_region(base, region, {"u": u, "r": r}, {"u": u, "r": r})
-    stats = g.select("MUNICIPIO_NORM", (F.col("s_u") / F.col("c_u")).alias("URBANO"),
-                     (F.col("s_r") / F.col("c_r")).alias("RURAL"), "municipio_display")
+    stats = g.select("MUNICIPIO_NORM", F.try_divide(F.col("s_u"), F.col("c_u")).alias("URBANO"),
+                     F.try_divide(F.col("s_r"), F.col("c_r")).alias("RURAL"), "municipio_display")
     return stats.withColumn("brecha_rural_urbana", F.abs(F.col("URBANO") - F.col("RURAL")))
 
 
@@ -168,8 +168,8 @@ def digital_potential(df: DataFrame, english: str, region: str, internet_flag: C
     g = _by_normalised_region(base, region, {"con": con, "sin": sin}, {"con": con, "sin": sin})
     return g.select(
         "MUNICIPIO_NORM",
-        (F.col("s_con") / F.col("c_con")).alias("CON_ACCESO"),
-        (F.col("s_sin") / F.col("c_sin")).alias("SIN_ACCESO"),
+        F.try_divide(F.col("s_con"), F.col("c_con")).alias("CON_ACCESO"),
+        F.try_divide(F.col("s_sin"), F.col("c_sin")).alias("SIN_ACCESO"),
         (F.col("c_sin") / F.col("__n")).alias("share_sin_acceso"),
         F.col("__n").cast("long").alias("estudiantes"),
         "municipio_display",

@@ -33,14 +33,15 @@ def _group_stats(df: DataFrame, value: str, group: str, a: str, b: str, keys: li
 def welch_columns() -> dict[str, Column]:
     """t, df (Welch-Satterthwaite) and Cohen's d from the summary columns;
     the sign is a - b for both t and d."""
-    sa = F.col("var_a") / F.col("n_a")
-    sb = F.col("var_b") / F.col("n_b")
-    t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(sa + sb)
-    dfree = (sa + sb) * (sa + sb) / (sa * sa / (F.col("n_a") - 1) + sb * sb / (F.col("n_b") - 1))
-    pooled = F.sqrt(
-        ((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")) / (F.col("n_a") + F.col("n_b") - 2)
-    )
-    d = F.when(pooled == 0, F.lit(0.0)).otherwise((F.col("mean_a") - F.col("mean_b")) / pooled)
+    # try_divide: a zero variance or a one-row side gives null, not an ANSI error
+    sa = F.try_divide(F.col("var_a"), F.col("n_a"))
+    sb = F.try_divide(F.col("var_b"), F.col("n_b"))
+    t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(sa + sb))
+    dfree = F.try_divide((sa + sb) * (sa + sb),
+                         F.try_divide(sa * sa, F.col("n_a") - 1) + F.try_divide(sb * sb, F.col("n_b") - 1))
+    pooled = F.sqrt(F.try_divide((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b"),
+                                 F.col("n_a") + F.col("n_b") - 2))
+    d = F.when(pooled == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("mean_a") - F.col("mean_b"), pooled))
     return {"t": t, "df": dfree, "d": d}
 
 
@@ -123,7 +124,7 @@ def anova(df: DataFrame, metric: str, group: str, groups: list[str] | None = Non
     )
     d1 = F.col("k") - 1
     d2 = F.col("n_total") - F.col("k")
-    f = (F.col("ssb") / d1) / (F.col("ssw") / d2)
+    f = F.try_divide(F.try_divide(F.col("ssb"), d1), F.try_divide(F.col("ssw"), d2))
     r = r.select(f.alias("F"), d1.cast("long").alias("df_between"), d2.cast("long").alias("df_within"))
     return r.withColumn("p_valor", f_pvalue(F.col("F"), F.col("df_between"), F.col("df_within")))
 
