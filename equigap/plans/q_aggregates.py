@@ -578,3 +578,24 @@ def a33(spark, sf):
     k = I.kpis(lines, Roles(), region_priority_table=I.region_priority(gap))
     return r6(k, "tasa_riesgo_departamental", "umbral_riesgo", "brecha_rural_urbana_p50",
               "impacto_estimado_publico_privado_max", "impacto_digital_ingles_gap")
+
+
+@register("J07_local_vs_all", _AREA_SQL + """SELECT Area, round(avg(punt_global), 6) AS mean, round(stddev_samp(punt_global), 6) AS std,
+'NATION_11' AS cole_mcpio_ubicacion FROM p1 WHERE cole_mcpio_ubicacion = 'NATION_11' GROUP BY Area
+UNION ALL SELECT Area, round(avg(punt_global), 6), round(stddev_samp(punt_global), 6), 'PROMEDIO ANTIOQUIA' FROM p1 GROUP BY Area""")
+def j07(spark, sf):
+    d = _p1_frame(spark, sf)
+    local = G.mean_std_by(d.where(F.col("cole_mcpio_ubicacion") == "NATION_11"), "punt_global", ["Area"]).withColumn(
+        "cole_mcpio_ubicacion", F.lit("NATION_11"))
+    total = G.mean_std_by(d, "punt_global", ["Area"]).withColumn("cole_mcpio_ubicacion", F.lit("PROMEDIO ANTIOQUIA"))
+    return r6(J.local_vs_all(local, total), "mean", "std")
+
+
+@register("W06_ordered", _P2_SQL + """SELECT estrato_clean, naturaleza, round(avg(v), 6) AS punt_global FROM
+(SELECT 'Estrato ' || substr(fami_estratovivienda, 9, 1) AS estrato_clean, naturaleza, punt_global AS v FROM p2)
+GROUP BY 1, 2 ORDER BY 1, 2""")
+def w06(spark, sf):
+    from equigap.operators.runs import ordered
+
+    g = G.stratum_type_mean(_p2_frame(spark, sf), "punt_global", "fami_estratovivienda", "naturaleza")
+    return r6(ordered(g, ["estrato_orden", "naturaleza"]).drop("estrato_orden"), "punt_global")

@@ -243,3 +243,107 @@ def s12(spark, sf):
     labs.save_best(model, {"target": "punt_global", "features": ["punt_sociales_ciudadanas", "Area"]}, path)
     loaded, meta = labs.load_best(path)
     return loaded.transform(d).agg(F.count("*").alias("n"), F.lit(meta["target"]).alias("target"))
+
+
+# ----------------------------------------------- catalogues and selection ----
+
+@register("M01_feature_sets", """SELECT fs AS feature_set, col AS "column", CAST(nn AS BIGINT) AS non_null FROM (
+  SELECT 'basico' AS fs, 'punt_matematicas' AS col, count(punt_matematicas) AS nn FROM exam_lines
+  UNION ALL SELECT 'basico', 'punt_lectura_critica', count(punt_lectura_critica) FROM exam_lines
+  UNION ALL SELECT 'contexto', 'punt_matematicas', count(punt_matematicas) FROM exam_lines
+  UNION ALL SELECT 'contexto', 'fami_tienecomputador', count(fami_tienecomputador) FROM exam_lines)""")
+def m01(spark, sf):
+    """Feature sets restricted to the columns present in the bound table,
+    with each column's non-null count (one aggregate over the whole table)."""
+    from equigap.ml.prep import feature_sets
+
+    d = exam_lines(spark, sf)
+    catalogue = {"basico": ["punt_matematicas", "punt_lectura_critica", "fami_educacionmadre"],
+                 "contexto": ["punt_matematicas", "fami_tienecomputador", "cole_jornada"]}
+    fs = feature_sets(d.columns, catalogue)
+    cols = sorted({c for v in fs.values() for c in v})
+    nn = d.agg(*[F.count(c).alias(c) for c in cols])
+    rows = F.array(*[F.struct(F.lit(k).alias("feature_set"), F.lit(c).alias("column"), F.col(c).cast("long").alias("non_null"))
+                     for k, v in fs.items() for c in v])
+    return nn.select(F.inline(rows))
+
+
+@register("M03_harmonise_missing", """SELECT estu_consecutivo, CASE WHEN trim(raw) IN ('', 'nan', 'None', 'NaN') THEN NULL ELSE raw END AS jornada
+FROM (SELECT estu_consecutivo, CASE order_key % 4 WHEN 0 THEN ' ' WHEN 1 THEN 'nan' ELSE desemp_ingles END AS raw FROM exam_orders)""")
+def m03(spark, sf):
+    from equigap.ml.prep import harmonise_missing
+
+    d = exam_orders(spark, sf)
+    raw = F.when(F.col("order_key") % 4 == 0, F.lit(" ")).when(F.col("order_key") % 4 == 1, F.lit("nan")).otherwise(
+        F.col("desemp_ingles"))
+    return harmonise_missing(d.select("estu_consecutivo", raw.alias("jornada")), ["jornada"])
+
+
+@register("M05_validation_flag")
+def m05(spark, sf):
+    from equigap.ml.prep import validation_flag
+
+    d = validation_flag(split(exam_lines(spark, sf), ["estu_consecutivo", "line_number"]), ["estu_consecutivo", "line_number"])
+    return d.groupBy("is_train", F.col("is_train") & F.col("is_val")).count()
+
+
+def _small_features(spark, sf):
+    return exam_lines(spark, sf), {"tic": (["punt_ingles"], ["fami_tieneinternet", "cole_naturaleza"])}
+
+
+@register("M07_regression_catalogue")
+def m07(spark, sf):
+    d, fs = _small_features(spark, sf)
+    runs, _, _ = labs.run_lab(spark, d, "regresion", "punt_global", ["estu_consecutivo", "line_number"], fs,
+                              configs=labs.regression_catalogue(), run_prefix="reg")
+    return runs
+
+
+@register("M08_classifier_catalogue")
+def m08(spark, sf):
+    d, fs = _small_features(spark, sf)
+    d = d.withColumn("bajo", L.low_performance("punt_global"))
+    runs, _, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"], fs,
+                              configs=labs.classifier_catalogue(), run_prefix="clf")
+    return runs
+
+
+@register("M09_network_catalogue")
+def m09(spark, sf):
+    d, fs = _small_features(spark, sf)
+    d = d.withColumn("bajo", L.low_performance("punt_global"))
+    num, cat = fs["tic"]
+    width = labs.feature_size(d.withColumnRenamed("bajo", "label"), fit_prep_stages(d, num, cat))
+    runs, _, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"], fs,
+                              configs=labs.network_catalogue("clasificacion_binaria", width), run_prefix="p1_bin")
+    reg, _, _ = labs.run_lab(spark, d, "regresion", "punt_global", ["estu_consecutivo", "line_number"], fs,
+                             configs=labs.network_catalogue("regresion", width), run_prefix="p1_reg")
+    return runs.unionByName(reg)
+
+
+@register("M17_M18_M19_select_and_log")
+def m17(spark, sf):
+    """Best-run choice (first wins ties), replacement gate against the
+    previously logged best, and the run log appended in the shared folder."""
+    d, fs = _small_features(spark, sf)
+    d = d.withColumn("bajo", L.low_performance("punt_global"))
+    from pyspark.ml.classification import LogisticRegression
+
+    runs, best, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"], fs,
+                                 configs={"lr": LogisticRegression(maxIter=50), "lr_l2": LogisticRegression(maxIter=50, regParam=0.1)},
+                                 run_prefix="p2_clf")
+    path = scratch_path(spark, "run_log")
+    labs.log_runs(runs, path)
+    logged = spark.read.parquet(path)
+    prev = logged.where(F.col("f1").isNotNull()).agg(F.max("f1")).first()[0]
+    gate = labs.accept_update(best["f1"], prev)
+    return runs.select("run_name", "f1", (F.col("run_name") == best["run_name"]).alias("is_best"),
+                       F.lit(gate).alias("accept_update"))
+
+
+@register("X03_flip_oracle", """SELECT estu_consecutivo AS scenario_id, cole_naturaleza, 'A' AS side FROM exam_orders
+UNION ALL SELECT estu_consecutivo, CASE cole_naturaleza WHEN 'OFICIAL' THEN 'NO OFICIAL' WHEN 'NO OFICIAL' THEN 'OFICIAL'
+  ELSE cole_naturaleza END, 'B' FROM exam_orders""")
+def x03o(spark, sf):
+    d = exam_orders(spark, sf).select("estu_consecutivo", "cole_naturaleza")
+    return X.flip(d.withColumnRenamed("estu_consecutivo", "scenario_id"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")
