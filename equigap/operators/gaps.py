@@ -73,24 +73,32 @@ def top_gap_regions(df: DataFrame, metric: str, region: str, zone: str, n: int =
     """Mean and std by (region, zone) for the ``n`` regions with the
     largest a - b gap among regions that have both zones.
 
-    The top-n is a limit over the per-region aggregate (bounded by the number
-    of regions), the detail rows come from a semi join on it."""
+    One pass over the fact: the (region, zone) table is aggregated once and
+    the gap, the top-n (a limit over one row per region) and the semi join
+    all run on that small table."""
     detail = mean_std_by(df, metric, [region, zone])
-    gaps = region_gap(df, metric, region, zone, a, b, out="Diferencia").where(F.col("Diferencia").isNotNull())
-    top = gaps.orderBy(F.desc("Diferencia"), F.asc(region)).limit(n).select(region, "Diferencia")
-    return detail.join(top, region, "left_semi")
+    gaps = detail.groupBy(region).agg(
+        (F.max(F.when(F.col(zone) == a, F.col("mean"))) - F.max(F.when(F.col(zone) == b, F.col("mean"))))
+        .alias("Diferencia"))
+    top = gaps.where(F.col("Diferencia").isNotNull()).orderBy(F.desc("Diferencia"), F.asc(region)).limit(n)
+    return detail.join(top.select(region), region, "left_semi")
 
 
 def region_vs_all(df: DataFrame, metric: str, region_col: str, zone: str, region: str,
                   label: str = "PROMEDIO ANTIOQUIA") -> DataFrame:
     """Per-zone mean/std of one region stacked on the department-wide
-    per-zone mean/std (labelled ``label``).  One scan, grouping on
-    (is_region, zone) with the department total as a second aggregate."""
-    total = df.where(_nn(zone)).groupBy(zone).agg(F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std"))
-    local = df.where(_nn(zone) & (F.col(region_col) == region)).groupBy(zone).agg(
-        F.avg(metric).alias("mean"), F.stddev_samp(metric).alias("std")
+    per-zone mean/std (labelled ``label``).  One scan: both statistics are
+    conditional aggregates of the same ``groupBy(zone)``, stacked afterwards
+    on the (one row per zone) result."""
+    local_v = F.when(F.col(region_col) == region, F.col(metric))
+    g = df.where(_nn(zone)).groupBy(zone).agg(
+        F.avg(local_v).alias("l_mean"), F.stddev_samp(local_v).alias("l_std"), F.count(local_v).alias("l_n"),
+        F.avg(metric).alias("t_mean"), F.stddev_samp(metric).alias("t_std"),
     )
-    return local.withColumn(region_col, F.lit(region)).unionByName(total.withColumn(region_col, F.lit(label)))
+    local = g.where(F.col("l_n") > 0).select(zone, F.col("l_mean").alias("mean"), F.col("l_std").alias("std"),
+                                             F.lit(region).alias(region_col))
+    total = g.select(zone, F.col("t_mean").alias("mean"), F.col("t_std").alias("std"), F.lit(label).alias(region_col))
+    return local.unionByName(total)
 
 
 def subject_gaps(df: DataFrame, subjects: dict[str, str], group: str, a: str = "Privado", b: str = "Público") -> DataFrame:

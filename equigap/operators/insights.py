@@ -201,7 +201,14 @@ def kpis(df: DataFrame, roles, gdp: DataFrame | None = None, region_priority_tab
     digital English median gap, number of priority regions.  Each part is a
     one-row aggregate; a missing role gives a null KPI."""
     from equigap.operators.gaps import median_gap
-
+    from equigap.session import materialize
+
+    # the KPI record takes several passes (cut points, risk, medians,
+    # adjusted gaps): write the needed columns once instead of recomputing
+    # the joins under ``df`` for every pass
+    needed = [c for c in dict.fromkeys([roles.score, roles.zone, roles.school_type, roles.stratum, roles.english,
+                                        roles.internet, roles.computer, *roles.subjects]) if c and c in df.columns]
+    df = materialize(df.select(*needed), "kpi_fact")
     parts = []
     if roles.score:
         cuts = cut_points(df, roles.score)

@@ -60,3 +60,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return the re-read table: later passes scan columnar files instead of
+    recomputing the joins under ``df``, and a lost executor re-reads the
+    files rather than the sources."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
