@@ -49,10 +49,6 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(src), "".join(dst), multi
 
 
-def _java_class(chars: list[str]) -> str:
-    return "[" + "".join("\\x{%X}" % ord(c) for c in chars) + "]"
-
-
 def ascii_fold(col: Column | str) -> Column:
     """NFKD + drop non-ASCII (no trimming)."""
     c = F.col(col) if isinstance(col, str) else col

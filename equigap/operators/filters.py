@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions.text import py_strip
-from equigap.operators.util import small_side
 
 # Fixed values: "all regions" selector values.
 ALL_VALUES = ("TODOS", "Todos")

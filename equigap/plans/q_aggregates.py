@@ -279,9 +279,8 @@ ranked AS (SELECT *, row_number() OVER (ORDER BY abs(gap) DESC, mo) AS rk FROM g
 @register("A17_adjusted_gaps", _ADJ_SQL + """SELECT metric, round(privado_ajustado, 6) AS privado_ajustado,
 round(publico_ajustado, 6) AS publico_ajustado, round(gap, 6) AS gap_privado_menos_publico, rk = 1 AS is_max FROM ranked""")
 def a17(spark, sf):
-    a = I.adjusted_gaps(exam_lines(spark, sf), METRICS, "TIPO_COLEGIO", "fami_estratovivienda") if False else \
-        I.adjusted_gaps(exam_lines(spark, sf).withColumn("TIPO_COLEGIO", L.school_type("cole_naturaleza")), METRICS,
-                        "TIPO_COLEGIO", "fami_estratovivienda")
+    d = exam_lines(spark, sf).withColumn("TIPO_COLEGIO", L.school_type("cole_naturaleza"))
+    a = I.adjusted_gaps(d, METRICS, "TIPO_COLEGIO", "fami_estratovivienda")
     return r6(a.select("metric", "privado_ajustado", "publico_ajustado", "gap_privado_menos_publico", "is_max"),
               "privado_ajustado", "publico_ajustado", "gap_privado_menos_publico")
 

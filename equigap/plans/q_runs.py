@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.operators import runs as R
 from equigap.plans.catalog import register
-from equigap.plans.q_aggregates import r6
 from equigap.plans.tpch import load
 from equigap.sources.runs import infer_run_tags, pivot_runs, run_variables
 

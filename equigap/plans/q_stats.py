@@ -7,7 +7,6 @@ rows-only queries and unit-tested against closed forms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
