@@ -44,13 +44,15 @@ def _q(name: str) -> str:
 def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], features_col: str = "features"):
     """Fit the preprocessing; returns pipeline stages (fitted stats are
     literals of the SQL stage, indexers are fitted with the model)."""
-    aggs = []
-    for c in numeric:
-        x = F.col(c).cast("double")
-        aggs += [F.percentile(x, 0.5).alias(f"med_{c}")]
-    for c in categorical:
-        aggs.append(F.mode(F.col(c).cast("string"), deterministic=True).alias(f"mode_{c}"))
-    st = df.agg(*aggs).first() if aggs else None
+    from equigap.operators.quantiles import column_medians
+
+    # exact medians (interpolated, like the reference's imputer); the
+    # strategy switches to the distributed refinement on large inputs
+    st = {f"med_{c}": v for c, v in column_medians(df, numeric).items()}
+    if categorical:
+        modes = df.agg(*[F.mode(F.col(c).cast("string"), deterministic=True).alias(f"mode_{c}")
+                         for c in categorical]).first()
+        st.update(modes.asDict())
     # mean / std_pop of the imputed numeric values (second small aggregate)
     sel = []
     for c in numeric:

@@ -208,28 +208,41 @@ def histogram(df: DataFrame, metric: str, bins: int = 40) -> DataFrame:
     )
 
 
-def box_summary(df: DataFrame, metrics: list[str], group: str | None) -> DataFrame:
+def box_summary(df: DataFrame, metrics: list[str], group: str | None, strategy: str = "auto",
+                auto_rows: int = 5_000_000, max_groups: int = 200) -> DataFrame:
     """min/q1/median/q3/max, 1.5 IQR fences, whiskers (most extreme
     values inside the fences) and outlier counts per (metric, group).
 
-    Two passes: quartiles per group, then a join back (broadcast: one row
-    per metric x group) for whiskers and outliers."""
+    Two passes: quartiles per group, then a join back (broadcast after a
+    size check: one row per metric x group) for whiskers and outliers.
+    Quartiles are exact: in-plan ``percentile`` for moderate inputs, the
+    distributed refinement per (metric, group) cell above ``auto_rows``."""
     keys = ["metric"] + ([group] if group else [])
     long = unpivot_metrics(df, [group] if group else [], metrics, "metric", "v").where(F.col("v").isNotNull())
     if group:
         long = long.where(F.col(group).isNotNull())
-    q = long.groupBy(*keys).agg(
-        F.min("v").alias("min"),
-        F.percentile("v", [0.25, 0.5, 0.75]).alias("__q"),
-        F.max("v").alias("max"),
-        F.count("*").cast("long").alias("n"),
-    ).select(
-        *keys, "min",
-        F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"),
-        "max", "n",
-    ).withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
-        "upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    )
+    stats = long.groupBy(*keys).agg(F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").cast("long").alias("n"))
+    big = strategy == "refine" or (strategy == "auto" and long.count() > auto_rows)
+    if not big:
+        qs = long.groupBy(*keys).agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("__q"))
+        qs = qs.select(*keys, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
+    else:
+        from equigap.operators.quantiles import exact_quantiles
+
+        cells = [tuple(r) for r in stats.select(*keys).limit(max_groups + 1).collect()]
+        if len(cells) > max_groups:
+            raise ValueError(f"more than {max_groups} (metric, group) cells")
+        rows = []
+        for cell in cells:
+            cond = F.lit(True)
+            for k, v in zip(keys, cell):
+                cond = cond & (F.col(k) == F.lit(v))
+            rows.append((*cell, *exact_quantiles(long.where(cond), "v", [0.25, 0.5, 0.75])))
+        schema = ", ".join([f"`{k}` string" for k in keys] + ["q1 double", "median double", "q3 double"])
+        qs = df.sparkSession.createDataFrame(rows, schema)
+    q = stats.join(qs, keys).withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
+        "upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    q = q.select(*keys, "min", "q1", "median", "q3", "max", "n", "lower_fence", "upper_fence")
     w = long.join(small_side(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
         F.min(F.when(F.col("v") >= F.col("lower_fence"), F.col("v"))).alias("whisker_low"),
         F.max(F.when(F.col("v") <= F.col("upper_fence"), F.col("v"))).alias("whisker_high"),

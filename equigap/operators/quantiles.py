@@ -31,6 +31,20 @@ def _names(qs) -> list[str]:
     return [f"q{int(round(q * 100))}" for q in qs]
 
 
+def column_medians(df: DataFrame, cols: list[str], strategy: str = "auto", auto_rows: int = 5_000_000) -> dict:
+    """Exact interpolated median of several columns: one in-plan aggregate
+    for moderate inputs, the distributed refinement per column above
+    ``auto_rows`` rows."""
+    if not cols:
+        return {}
+    if strategy == "auto":
+        strategy = "exact" if df.count() <= auto_rows else "refine"
+    if strategy == "exact":
+        r = df.agg(*[F.percentile(F.col(c).try_cast("double"), 0.5).alias(c) for c in cols]).first()
+        return {c: r[c] for c in cols}
+    return {c: exact_quantiles(df.select(F.col(c).try_cast("double").alias(c)), c, [0.5])[0] for c in cols}
+
+
 def quantile_row(df: DataFrame, metric: str, qs, strategy: str = "exact", accuracy: int = 100_000,
                  auto_rows: int = 5_000_000) -> DataFrame:
     """One-row DataFrame with a column ``qNN`` per requested quantile."""

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from equigap.stats.tails import f_sf, t_sf2
 
 MAX_DISTINCT_LEVELS = 1000
-MAX_COMBO_VARS = 10
 
 
 @dataclass
@@ -48,7 +47,6 @@ class OlsFit:
 
     @property
     def adj_r2(self) -> float:
-        k = self.rank - 1
         return 1.0 - (1.0 - self.r2) * (self.n - 1) / self.df_resid if self.df_resid > 0 else float("nan")
 
     def t_table(self) -> list[tuple[str, float, float, float]]:
@@ -88,10 +86,9 @@ def design(df: DataFrame, y: str, numeric: list[str], categorical: list[str]):
     """Design columns (const, numeric with median imputation, drop-first
     dummies in lexicographic order) and the variable -> columns map."""
     base = df.where(F.col(y).try_cast("double").isNotNull())
-    meds = {}
-    if numeric:
-        r = base.agg(*[F.percentile(F.col(c).try_cast("double"), 0.5).alias(c) for c in numeric]).first()
-        meds = {c: r[c] for c in numeric}
+    from equigap.operators.quantiles import column_medians
+
+    meds = column_medians(base, numeric)
     cols: dict[str, Column] = {"const": F.lit(1.0)}
     groups: dict[str, list[str]] = {}
     for c in numeric:
@@ -142,15 +139,15 @@ def fit_from_gram(xtx, xty, syy, sy, n, names, keep: list[str] | None = None) ->
 
 
 def ols(spark: SparkSession, df: DataFrame, y: str, numeric: list[str], categorical: list[str],
-        selected: list[str], max_combo_vars: int = MAX_COMBO_VARS):
+        selected: list[str], max_combo_vars: int | None = None):
     """T08 + T10.  Returns (summary, t-tests, F-tests) as small DataFrames.
 
     * summary: n_obs, r2, adj_r2 of the model on the selected variables;
     * t-tests: coef, t, p, Si/No for each selected numeric variable;
     * F-tests: per variable group on the full model (incluida Si/No), then
-      every combination of 2..N selected variables joined with ' + '.
-      N is capped at ``max_combo_vars`` (2^N tests); the cap is reported in
-      the summary row.
+      every combination of 2..N selected variables joined with ' + '
+      (2^N tests, all on the driver-side p x p matrices; ``max_combo_vars``
+      can bound N explicitly, the default tests every combination).
     """
     x, names, groups = design(df, y, numeric, categorical)
     xtx, xty, syy, sy, n = gram(x, names)
@@ -158,7 +155,8 @@ def ols(spark: SparkSession, df: DataFrame, y: str, numeric: list[str], categori
     sel_cols = list(dict.fromkeys(c for v in selected for c in groups.get(v, [])))
     sel = fit_from_gram(xtx, xty, syy, sy, n, names, ["const"] + sel_cols)
     summary = spark.createDataFrame(
-        [(int(n), float(sel.r2), float(sel.adj_r2), int(min(len(selected), max_combo_vars)))],
+        [(int(n), float(sel.r2), float(sel.adj_r2),
+          int(len(selected) if max_combo_vars is None else min(len(selected), max_combo_vars)))],
         "n_obs long, r2 double, adj_r2 double, combo_vars int",
     )
     trows = []
@@ -170,7 +168,9 @@ def ols(spark: SparkSession, df: DataFrame, y: str, numeric: list[str], categori
     for var, cols in groups.items():
         p = full.f_test(cols)
         frows.append((var, p, "Si" if var in selected else "No", "Si" if p is not None and p < 0.05 else "No"))
-    comb = [v for v in selected if v in groups][:max_combo_vars]
+    comb = [v for v in selected if v in groups]
+    if max_combo_vars is not None:
+        comb = comb[:max_combo_vars]
     for k in range(2, len(comb) + 1):
         for combo in itertools.combinations(comb, k):
             cols = [c for v in combo for c in groups[v]]
