@@ -84,3 +84,17 @@ def test_partitioning_invariance(spark):
         d.repartition(16).withColumn("t", d.cole_naturaleza), metrics, "t", "fami_estratovivienda",
         a="NO OFICIAL", b="OFICIAL").collect()}
     assert a == b
+
+
+def test_enriched_fact_prunes_periods(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from equigap.operators.filters import by_period_range
+    from equigap.plans.tpch import exam_lines, write_enriched
+
+    enr = write_enriched(spark, SF, str(tmp_path / "enriched"))
+    a = by_period_range(enr, "periodo", 1, 3).groupBy("periodo").count().orderBy("periodo").collect()
+    b = by_period_range(exam_lines(spark, SF), "periodo", 1, 3).groupBy("periodo").count().orderBy("periodo").collect()
+    assert a == b
+    plan = enr.where(F.col("periodo") == a[0]["periodo"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(periodo" in plan
