@@ -48,10 +48,21 @@ def known_stratum(df: DataFrame, col: str) -> DataFrame:
 OPTION_SENTINELS = ("NAN", "SIN INFORMACION", "")
 
 
-def option_lists(df: DataFrame, cols: list[str], region_col: str | None = None, all_value: str = "TODOS") -> DataFrame:
+# Option lists used when a column has no usable value.
+OPTION_DEFAULTS = {
+    "estrato": ["ESTRATO 1", "ESTRATO 2"], "zona": ["URBANO", "RURAL"], "tipo_colegio": ["PUBLICO", "PRIVADO"],
+    "jornada": ["COMPLETA", "MANANA"], "genero": ["MASCULINO", "FEMENINO", "MIXTO"],
+    "edu_padre": ["SECUNDARIA", "TECNICA"], "edu_madre": ["SECUNDARIA", "TECNICA"],
+}
+
+
+def option_lists(df: DataFrame, cols: list[str], region_col: str | None = None, all_value: str = "TODOS",
+                 defaults: dict[str, list[str]] | None = None) -> DataFrame:
     """(column, value, pos) of the distinct, trimmed, sentinel-free values
     of every listed categorical, in one pass (unpivot + distinct).  The region
-    list gets the all-value in front (pos 0)."""
+    list gets the all-value in front (pos 0); a column left without values
+    gets its fixed default list (``defaults``), via an anti join on the
+    (tiny) set of columns that do have values."""
     present = [c for c in cols if c in df.columns]
     long = df.select(*[F.col(c).cast("string").alias(c) for c in present]).unpivot(
         [], present, "column", "value"
@@ -65,7 +76,14 @@ def option_lists(df: DataFrame, cols: list[str], region_col: str | None = None,
     if region_col and region_col in present:
         head = df.sparkSession.createDataFrame([(region_col, all_value, 0)], "column string, value string, pos int")
         ranked = ranked.unionByName(head)
-    return ranked.select("column", "value", F.col("pos").cast("int").alias("pos"))
+    out = ranked.select("column", "value", F.col("pos").cast("int").alias("pos"))
+    if defaults:
+        fallback = df.sparkSession.createDataFrame(
+            [(c, v, i + 1) for c, vals in defaults.items() if c in cols for i, v in enumerate(vals)],
+            "column string, value string, pos int")
+        have = out.select("column").distinct()
+        out = out.unionByName(fallback.join(have, "column", "left_anti"))
+    return out
 
 
 def min_group(counts: DataFrame, count_cols: list[str], n: int) -> DataFrame:

@@ -131,3 +131,14 @@ def test_median_gap_strategies_agree(spark):
     assert ex.gap == pytest.approx(au.gap)
     u = [v for g, v in rows if g == "U"]
     assert ex.median_a == pytest.approx(float(np.median(u)))
+
+
+def test_option_lists_defaults_and_all_value(spark):
+    from equigap.operators.filters import option_lists
+
+    df = spark.createDataFrame([(" B ", None), ("A", "nan"), ("SIN INFORMACION", None), ("A", "")],
+                               "municipio string, jornada string")
+    got = sorted(tuple(r) for r in option_lists(df, ["municipio", "jornada"], region_col="municipio",
+                                                  defaults={"jornada": ["COMPLETA", "MANANA"]}).collect())
+    assert got == [("jornada", "COMPLETA", 1), ("jornada", "MANANA", 2),
+                   ("municipio", "A", 1), ("municipio", "B", 2), ("municipio", "TODOS", 0)]
