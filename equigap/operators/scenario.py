@@ -104,7 +104,13 @@ def adjusted_gap_table(models: dict[str, PipelineModel], grid: DataFrame, target
     t = allp.groupBy(target_col, stratum).agg(
         F.max(F.when(F.col(group) == public, F.col("pred"))).alias("pred_oficial"),
         F.max(F.when(F.col(group) == private, F.col("pred"))).alias("pred_privado"))
-    return t.withColumn("brecha_ajustada", F.bround(F.col("pred_privado") - F.col("pred_oficial"), 2))
+    return t.select(
+        F.col(target_col).alias("target"),
+        F.regexp_replace(F.col(target_col), "^punt_", "").alias("slug"),
+        F.col(stratum).alias("estrato"),
+        "pred_oficial", "pred_privado",
+        F.bround(F.col("pred_privado") - F.col("pred_oficial"), 2).alias("brecha_ajustada"),
+    )
 
 
 def predicted_level(pred: DataFrame, labels: list[str], out: str = "nivel_predicho") -> DataFrame:
