@@ -217,10 +217,14 @@ def box_summary(df: DataFrame, metrics: list[str], group: str | None, strategy:
     size check: one row per metric x group) for whiskers and outliers.
     Quartiles are exact: in-plan ``percentile`` for moderate inputs, the
     distributed refinement per (metric, group) cell above ``auto_rows``."""
+    from pyspark import StorageLevel
+
     keys = ["metric"] + ([group] if group else [])
     long = unpivot_metrics(df, [group] if group else [], metrics, "metric", "v").where(F.col("v").isNotNull())
     if group:
         long = long.where(F.col(group).isNotNull())
+    # several passes (size, quartiles, whiskers): cache the long form once
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
     stats = long.groupBy(*keys).agg(F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").cast("long").alias("n"))
     big = strategy == "refine" or (strategy == "auto" and long.count() > auto_rows)
     if not big:
@@ -248,7 +252,15 @@ def box_summary(df: DataFrame, metrics: list[str], group: str | None, strategy:
         F.max(F.when(F.col("v") <= F.col("upper_fence"), F.col("v"))).alias("whisker_high"),
         F.sum(((F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))).cast("long")).alias("outliers"),
     )
-    return q.join(w, keys)
+    out = q.join(w, keys)
+    # the summary has one row per (metric, group) cell: materialise it (a
+    # bounded collect), then release the cached long form
+    rows = out.limit(max_groups * max(len(metrics), 1) + 1).collect()
+    schema = out.schema
+    long.unpersist()
+    if len(rows) > max_groups * max(len(metrics), 1):
+        raise ValueError("too many (metric, group) cells for a box summary")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def yearly_mean(df: DataFrame, metric: str, period: str, key: str | None = None) -> DataFrame:

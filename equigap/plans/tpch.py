@@ -76,8 +76,21 @@ FROM {nation} n
 """
 
 
+# Fact tables whose scans feed row-level work (the rest are dimensions).
+FACT_TABLES = {"lineitem", "orders", "documents", "events", "conversations"}
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input partitions than the cluster has
+    cores (e.g. one large Parquet row group) over all of them.  A no-op at
+    scale, where the files already give thousands of splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in FACT_TABLES else df
 
 
 def tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:

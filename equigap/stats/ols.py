@@ -149,8 +149,17 @@ def ols(spark: SparkSession, df: DataFrame, y: str, numeric: list[str], categori
       (2^N tests, all on the driver-side p x p matrices; ``max_combo_vars``
       can bound N explicitly, the default tests every combination).
     """
-    x, names, groups = design(df, y, numeric, categorical)
-    xtx, xty, syy, sy, n = gram(x, names)
+    # the design takes a few passes (medians, levels, Gram): keep the needed
+    # columns cached for their duration (recomputable from lineage if lost)
+    from pyspark import StorageLevel
+
+    cols = list(dict.fromkeys([y, *numeric, *categorical]))
+    base = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        x, names, groups = design(base, y, numeric, categorical)
+        xtx, xty, syy, sy, n = gram(x, names)
+    finally:
+        base.unpersist()
     full = fit_from_gram(xtx, xty, syy, sy, n, names)
     sel_cols = list(dict.fromkeys(c for v in selected for c in groups.get(v, [])))
     sel = fit_from_gram(xtx, xty, syy, sy, n, names, ["const"] + sel_cols)
