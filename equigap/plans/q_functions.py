@@ -146,12 +146,16 @@ def c08(spark: SparkSession, sf: str) -> DataFrame:
     f"CASE WHEN {c} BETWEEN 0 AND 100 THEN {c} END AS {c}" for c in _SUBJ100) + """,
   CASE WHEN punt_global BETWEEN 0 AND 500 THEN punt_global END AS punt_global FROM exam_lines),
 k AS (SELECT * FROM c WHERE """ + " AND ".join(f"{c} IS NOT NULL" for c in _SUBJ100 + ["punt_global"]) + """),
-r AS (SELECT *, row_number() OVER (PARTITION BY estu_consecutivo ORDER BY line_number) AS rn FROM k)
+r AS (SELECT *, row_number() OVER (PARTITION BY estu_consecutivo
+  ORDER BY line_number, punt_ingles, punt_matematicas, punt_global) AS rn FROM k)
 SELECT estu_consecutivo, line_number, round(punt_ingles + punt_matematicas + punt_global, 6) AS total FROM r WHERE rn = 1
 """)
 def e0(spark: SparkSession, sf: str) -> DataFrame:
     df = exam_lines(spark, sf).select(*LID, *_SUBJ100, "punt_global", "cole_mcpio_ubicacion")
-    out = C.clean_scores(df, Roles(), text_cols=["cole_mcpio_ubicacion"], order=["line_number"])
+    # line numbers repeat inside an order in this data: the explicit order
+    # carries tie-breakers so "first" is well defined in both engines
+    out = C.clean_scores(df, Roles(), text_cols=["cole_mcpio_ubicacion"],
+                         order=["line_number", "punt_ingles", "punt_matematicas", "punt_global"])
     return out.select(*LID, F.round(F.col("punt_ingles") + F.col("punt_matematicas") + F.col("punt_global"), 6)
                       .alias("total"))
 
