@@ -16,9 +16,17 @@ from equigap.plans.catalog import register
 from equigap.plans.tpch import exam_lines, exam_orders, region_coords, region_gdp
 
 
+# Output rounding for the oracle comparison: 6 decimals, with exact ties at
+# the 7th decimal broken upward by a 1e-9 nudge (far below the reported
+# precision) so that summation order cannot flip them; the oracle SQL uses
+# the same rule (catalog.register rewrites its round(x, 6) calls).
+TIE_NUDGE = 1e-9
+
+
 def r6(df: DataFrame, *cols: str) -> DataFrame:
     """Round the listed double columns to 6 decimals (oracle-stable)."""
-    return df.select(*[F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[F.round(F.col(c) + F.lit(TIE_NUDGE), 6).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 # ------------------------------------------------------------ flagship ----

@@ -156,8 +156,10 @@ def e0(spark: SparkSession, sf: str) -> DataFrame:
     # carries tie-breakers so "first" is well defined in both engines
     out = C.clean_scores(df, Roles(), text_cols=["cole_mcpio_ubicacion"],
                          order=["line_number", "punt_ingles", "punt_matematicas", "punt_global"])
-    return out.select(*LID, F.round(F.col("punt_ingles") + F.col("punt_matematicas") + F.col("punt_global"), 6)
-                      .alias("total"))
+    from equigap.plans.q_aggregates import r6
+
+    return r6(out.select(*LID, (F.col("punt_ingles") + F.col("punt_matematicas") + F.col("punt_global")).alias("total")),
+              "total")
 
 
 # ------------------------------------------------------------ recodes ----

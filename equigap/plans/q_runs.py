@@ -199,7 +199,8 @@ UNION ALL SELECT run_id, epoch, 'val_loss', round(val_loss, 6) FROM h WHERE val_
 def w05(spark, sf):
     c = R.loss_curves(_history(spark, sf))
     return c.select("run_id", F.col("epoch").cast("long").alias("epoch"), "series",
-                    F.when(F.col("series") == "val_loss", F.round("value", 6)).otherwise(F.col("value")).alias("value"))
+                    F.when(F.col("series") == "val_loss", F.round(F.col("value") + F.lit(1e-9), 6))
+                    .otherwise(F.col("value")).alias("value"))
 
 
 @register("W07_cap_rows")

@@ -68,7 +68,7 @@ def s06(spark, sf):
     from equigap.plans.q_runs import _history
 
     path = _tmp(spark, "runs")
-    h = _history(spark, sf).withColumn("val_loss", F.round("val_loss", 6)).withColumn("exp", F.lit("derived"))
+    h = r6(_history(spark, sf), "val_loss").withColumn("exp", F.lit("derived"))
     # one file per run, lines in epoch order (the run's history CSV)
     (h.repartition("run_id").sortWithinPartitions("run_id", "epoch").select("exp", "run_id", "loss", "val_loss")
      .write.mode("overwrite").partitionBy("exp", "run_id").option("header", True).csv(path))
