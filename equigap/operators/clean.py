@@ -157,3 +157,21 @@ def modeling_frame(df: DataFrame, roles: Roles) -> DataFrame:
         up(roles.region).alias("municipio"),
     ]
     return df.select(*cols)
+
+
+def residence_frame(df: DataFrame, roles: Roles) -> DataFrame:
+    """C11 + F03 as the P1 pages load the table: the residence area column
+    is preferred over the school's area when present; rows with a null /
+    SIN INFORMACION / NAN area are removed, the rest are Urbano / Rural
+    (``Desconocido`` when neither column exists); then unknown strata are
+    dropped (``Sin Estrato`` kept)."""
+    from equigap.operators.filters import known_stratum
+
+    area = roles.residence if roles.residence and roles.residence in df.columns else (
+        roles.zone if roles.zone and roles.zone in df.columns else None)
+    out = df.where(L.zone_residence_keep(area)).withColumn("Area", L.zone_residence(area))
+    if roles.region and roles.region in df.columns:
+        out = out.withColumn(roles.region, py_strip(F.upper(F.col(roles.region))))
+    if roles.stratum and roles.stratum in df.columns:
+        out = known_stratum(out, roles.stratum)
+    return out

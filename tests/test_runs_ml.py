@@ -134,3 +134,24 @@ def test_lab_persist_and_scenarios(spark, tmp_path):
     imp = X.mean_impact(model, df.where("x IS NOT NULL AND c IS NOT NULL"), {"c": "a"}, {"c": "b"}).first()
     assert imp.impacto_medio == pytest.approx(2.0, abs=0.2)  # linear model: equals its coefficient
     assert labs.accept_update(0.70, 0.704) and not labs.accept_update(0.69, 0.70)
+
+
+def test_load_best_per_target_fallback(spark, tmp_path):
+    df = _frame(spark, 300)
+    model = Pipeline(stages=fit_prep_stages(df, ["x"], []) + [LinearRegression(labelCol="y")]).fit(df)
+    labs.save_best(model, {"target": "global"}, str(tmp_path / "global"))
+    got = labs.load_best_per_target(str(tmp_path), ["matematicas", "global"])
+    assert got["matematicas"][1] == {"target": "global"} and got["global"][1] == {"target": "global"}
+    with pytest.raises(FileNotFoundError):
+        labs.load_best(str(tmp_path / "missing"))
+
+
+def test_residence_frame(spark):
+    from equigap.operators.clean import residence_frame
+    from equigap.roles import Roles
+
+    rows = [("CABECERA", "URBANO", "Estrato 1"), ("RURAL", None, "SIN INFORMACION"), ("x", "SIN INFORMACION", "Sin Estrato"),
+            (" medellin ", "RURAL DISPERSO", None)]
+    df = spark.createDataFrame(rows, "cole_mcpio_ubicacion string, estu_areareside string, fami_estratovivienda string")
+    out = residence_frame(df, Roles(residence="estu_areareside"))
+    assert [tuple(r) for r in out.select("cole_mcpio_ubicacion", "Area").collect()] == [("CABECERA", "Urbano")]
