@@ -161,6 +161,9 @@ def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str
     per side: right for bounded score domains and moderate row counts);
     ``auto`` switches to the distributed exact refinement of
     :mod:`equigap.operators.quantiles` for large inputs."""
+    if strategy == "auto":
+        # one count decides for both sides; the exact path is a single scan
+        strategy = "exact" if df.where(F.col(metric).isNotNull()).count() <= 5_000_000 else "refine"
     if strategy != "exact":
         from equigap.operators.quantiles import quantile_row
 

@@ -212,6 +212,8 @@ def kpis(df: DataFrame, roles, gdp: DataFrame | None = None, region_priority_tab
     parts = []
     if roles.score:
         cuts = cut_points(df, roles.score)
+        # one row: compute it once and reuse the values in both parts
+        cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
         parts.append(risk_rate(with_risk(df, roles.score, cuts)).withColumnRenamed("tasa_riesgo", "tasa_riesgo_departamental"))
         parts.append(cuts.select("umbral_riesgo"))
     if roles.score and roles.zone:
