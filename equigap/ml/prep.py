@@ -18,7 +18,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equigap.operators.util import small_side
+from equigap.operators.util import one_row, small_side
 
 
 def feature_sets(columns: list[str], catalogue: dict[str, list[str]]) -> dict[str, list[str]]:
@@ -112,6 +112,6 @@ def class_weights(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
     """Balanced weights n / (k * n_class) attached through a broadcast
     join of the per-class count table (one row per class)."""
     counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
-    tot = counts.agg(F.sum("__nc").alias("__n"), F.count("*").alias("__k"))
-    w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(col))
+    tot = one_row(counts.agg(F.sum("__nc").alias("n"), F.count("*").alias("k")))
+    w = counts.select(label, (F.lit(tot["n"]) / (F.lit(tot["k"]) * F.col("__nc"))).alias(col))
     return df.join(small_side(w, 100_000), label, "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions.text import py_strip
+from equigap.operators.util import one_row
 
 # Fixed values: "all regions" selector values.
 ALL_VALUES = ("TODOS", "Todos")
@@ -31,11 +32,10 @@ def by_period_range(df: DataFrame, period_col: str, i: int, j: int) -> DataFrame
         F.max(F.when(F.col("__r") == F.lit(i), F.col("__p"))).alias("__lo"),
         F.max(F.when(F.col("__r") == F.lit(j), F.col("__p"))).alias("__hi"),
     )
-    return (
-        df.crossJoin(F.broadcast(bounds))  # one-row frame
-        .filter(F.col(period_col).between(F.col("__lo"), F.col("__hi")))
-        .drop("__lo", "__hi")
-    )
+    b = one_row(bounds)  # two scalars, applied as a literal range (prunable)
+    if b["__lo"] is None or b["__hi"] is None:
+        return df.where(F.lit(False))
+    return df.filter(F.col(period_col).between(F.lit(b["__lo"]), F.lit(b["__hi"])))
 
 
 def known_stratum(df: DataFrame, col: str) -> DataFrame:

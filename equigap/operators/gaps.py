@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import metric_order, small_side, unpivot_metrics
+from equigap.operators.util import metric_order, one_row, one_row_frame, small_side, unpivot_metrics
 
 
 def _nn(*cols: str) -> Column:
@@ -169,7 +169,8 @@ def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str
 
         ma = quantile_row(df.where(F.col(group) == a), metric, [0.5], strategy=strategy)
         mb = quantile_row(df.where(F.col(group) == b), metric, [0.5], strategy=strategy)
-        both = ma.select(F.col("q50").alias("median_a")).crossJoin(mb.select(F.col("q50").alias("median_b")))
+        both = one_row_frame(df.sparkSession, [ma.select(F.col("q50").alias("median_a")),
+                                               mb.select(F.col("q50").alias("median_b"))])
         return both.withColumn(out, F.col("median_a") - F.col("median_b"))
     return df.agg(
         F.percentile(F.when(F.col(group) == a, F.col(metric)), 0.5).alias("median_a"),
@@ -196,8 +197,9 @@ def share_by(df: DataFrame, col: str) -> DataFrame:
 
 def histogram(df: DataFrame, metric: str, bins: int = 40) -> DataFrame:
     """Equal-width histogram over [min, max] (last bin closed)."""
-    rng = df.agg(F.min(metric).alias("__lo"), F.max(metric).alias("__hi"))
-    j = df.where(F.col(metric).isNotNull()).select(metric).crossJoin(F.broadcast(rng))
+    r = one_row(df.agg(F.min(metric).alias("__lo"), F.max(metric).alias("__hi")))  # range as literals
+    j = df.where(F.col(metric).isNotNull()).select(metric, F.lit(r["__lo"]).cast("double").alias("__lo"),
+                                                   F.lit(r["__hi"]).cast("double").alias("__hi"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     b = F.when(width == 0, 0).otherwise(
         F.least(F.floor((F.col(metric) - F.col("__lo")) / width), F.lit(bins - 1))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.functions.text import normalize_key
 from equigap.operators.quantiles import quantile_row
-from equigap.operators.util import metric_order, unpivot_metrics
+from equigap.operators.util import metric_order, one_row, one_row_frame, unpivot_metrics
 
 # Default cut points of the insight batch.
 DEFAULT_QS = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -34,12 +34,12 @@ def cut_points(df: DataFrame, metric: str, qs: tuple[float, ...] = DEFAULT_QS, f
 
 def with_risk(df: DataFrame, metric: str, cuts: DataFrame) -> DataFrame:
     """Attach C27 (binary) and C26 (band) targets using the one-row cuts."""
-    j = df.crossJoin(F.broadcast(cuts.select("umbral_riesgo", "q25", "q75")))  # one row
-    q25 = F.coalesce(F.col("q25"), F.col("umbral_riesgo"))
-    q75 = F.coalesce(F.col("q75"), F.col("umbral_riesgo"))
-    return j.withColumn("prioridad_binaria", L.at_risk(metric, F.col("umbral_riesgo"))).withColumn(
-        "prioridad", L.priority_band(metric, q25, q75)
-    ).drop("umbral_riesgo", "q25", "q75")
+    c = one_row(cuts.select("umbral_riesgo", "q25", "q75"))  # scalars, applied as literals
+    thr = F.lit(c["umbral_riesgo"]).cast("double")
+    q25 = F.lit(c["q25"] if c["q25"] is not None else c["umbral_riesgo"]).cast("double")
+    q75 = F.lit(c["q75"] if c["q75"] is not None else c["umbral_riesgo"]).cast("double")
+    return df.withColumn("prioridad_binaria", L.at_risk(metric, thr)).withColumn(
+        "prioridad", L.priority_band(metric, q25, q75))
 
 
 def risk_rate(df_risk: DataFrame) -> DataFrame:
@@ -232,7 +232,4 @@ def kpis(df: DataFrame, roles, gdp: DataFrame | None = None, region_priority_tab
     if region_priority_table is not None:
         parts.append(region_priority_table.agg(
             F.sum(F.col("prioridad_alta").cast("long")).alias("municipios_prioridad_alta")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # every part is a one-row aggregate
-    return out
+    return one_row_frame(df.sparkSession, parts)  # every part is a one-row aggregate

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions.text import normalize_key, upper_key
-from equigap.operators.util import small_side
+from equigap.operators.util import one_row, small_side
 
 
 def region_dim(dim: DataFrame, name_col: str, value_cols: list[str], key: str = "__key",
@@ -76,20 +76,24 @@ def gdp_lookup(df: DataFrame, regions: DataFrame, region_col: str, gdp_col: str,
     by_region = df.groupBy(F.col(region_col).alias(out_region)).agg(
         F.percentile(gdp_col, 0.5).alias("__g"), F.percentile(pc, 0.5).alias("__pc")
     )
-    overall = df.agg(F.percentile(gdp_col, 0.5).alias("__g_all"), F.percentile(pc, 0.5).alias("__pc_all"))
-    req = regions.select(F.col(out_region)).join(by_region, out_region, "left").crossJoin(F.broadcast(overall))
+    o = one_row(df.agg(F.percentile(gdp_col, 0.5).alias("g"), F.percentile(pc, 0.5).alias("pc")))
+    req = regions.select(F.col(out_region)).join(by_region, out_region, "left")
     found = F.col("__g").isNotNull()
     return req.select(
         out_region,
-        F.when(found, F.col("__g")).otherwise(F.coalesce(F.col("__g_all"), F.lit(0.0))).alias("pib"),
-        F.when(found, F.col("__pc")).otherwise(F.col("__pc_all")).alias("pib_per_capita"),
+        F.when(found, F.col("__g")).otherwise(F.lit(o["g"] if o["g"] is not None else 0.0).cast("double")).alias("pib"),
+        F.when(found, F.col("__pc")).otherwise(F.lit(o["pc"]).cast("double")).alias("pib_per_capita"),
     )
 
 
 def scenario_grid(targets: DataFrame, strata: DataFrame, types: DataFrame, profile: dict) -> DataFrame:
-    """Targets x strata x school types on a fixed profile.  All three
-    inputs are small fixed lists, so the cross join is bounded."""
-    grid = targets.crossJoin(small_side(strata, 10_000)).crossJoin(small_side(types, 10_000))
+    """Targets x strata x school types on a fixed profile (the
+    reference's what-if grid).  All three inputs are small lists; the grid
+    size is checked before the product is built."""
+    n = [d.limit(10_001).count() for d in (targets, strata, types)]
+    if n[0] * n[1] * n[2] > 1_000_000:
+        raise ValueError(f"scenario grid too large: {n}")
+    grid = targets.crossJoin(F.broadcast(strata)).crossJoin(F.broadcast(types))
     for k, v in profile.items():
         grid = grid.withColumn(k, F.lit(v))
     return grid

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import small_side
+from equigap.operators.util import one_row, small_side
 
 
 def score(model: PipelineModel, rows: DataFrame, kind: str = "regresion", lo: float = 0.0, hi: float = 500.0) -> DataFrame:
@@ -70,9 +70,9 @@ def mean_impact(model: PipelineModel, df: DataFrame, set_a: dict, set_b: dict, k
             out = out.withColumn("__p", vector_to_array("probability")[1])
         return out.agg(F.avg(val).alias("m"), F.count("*").alias("n"))
 
-    a, b = scored(set_a), scored(set_b)
-    return a.crossJoin(b.select(F.col("m").alias("mb"))).select(
-        (F.col("mb") - F.col("m")).alias("impacto_medio"), F.col("n").cast("long").alias("n"))
+    a, b = one_row(scored(set_a)), one_row(scored(set_b))  # two one-row aggregates
+    diff = None if a["m"] is None or b["m"] is None else float(b["m"] - a["m"])
+    return df.sparkSession.createDataFrame([(diff, int(a["n"]))], "impacto_medio double, n long")
 
 
 def zone_impact(model: PipelineModel, df: DataFrame, zone_col: str = "Area", kind: str = "regresion") -> DataFrame:
@@ -121,4 +121,5 @@ def predicted_level(pred: DataFrame, labels: list[str], out: str = "nivel_predic
 def result_facts(best: DataFrame, impacts: DataFrame) -> DataFrame:
     """Best metrics per task next to the impact estimates (one row per
     task; the impacts frame is one row)."""
-    return best.crossJoin(F.broadcast(impacts))
+    vals = one_row(impacts)  # the impact record is one row
+    return best.select("*", *[F.lit(v).alias(k) for k, v in vals.items()])

@@ -67,3 +67,23 @@ def ordinal_within(df: DataFrame, key: str, order: list[str], out: str = "ordina
     local = Window.partitionBy("__pid", key).orderBy(*order)
     ranked = srt.withColumn("__rn", F.row_number().over(local))
     return ranked.join(offs, ["__pid", key]).withColumn(out, F.col("__off") + F.col("__rn")).drop("__pid", "__rn", "__off")
+
+
+def one_row(df: DataFrame) -> dict:
+    """Values of a one-row aggregate (a bounded collect of a single row) so
+    they can be applied as literals instead of cross-joining the row back."""
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected one row, got {len(rows)}")
+    return rows[0].asDict()
+
+
+def one_row_frame(spark, parts: list[DataFrame]) -> DataFrame:
+    """Side-by-side union of several one-row aggregates as one row."""
+    from pyspark.sql.types import StructType
+
+    values, fields = {}, []
+    for p in parts:
+        values.update(one_row(p))
+        fields.extend(p.schema.fields)
+    return spark.createDataFrame([tuple(values[f.name] for f in fields)], StructType(fields))

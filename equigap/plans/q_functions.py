@@ -14,6 +14,7 @@ from equigap.functions import labels as L
 from equigap.functions.text import fold_text, normalize_key, upper_key
 from equigap.operators import clean as C
 from equigap.operators import filters as FL
+from equigap.operators.util import one_row
 from equigap.plans import sqlbits as S
 from equigap.plans.catalog import register
 from equigap.plans.tpch import exam_lines, exam_orders, load
@@ -260,8 +261,8 @@ def _with_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     from equigap.operators.quantiles import quantile_row
 
     df = exam_orders(spark, sf)
-    q = quantile_row(df, "punt_global", [0.25, 0.75], strategy="auto")  # one row
-    return df.crossJoin(F.broadcast(q))
+    q = one_row(quantile_row(df, "punt_global", [0.25, 0.75], strategy="auto"))  # two scalars
+    return df.withColumn("q25", F.lit(q["q25"]).cast("double")).withColumn("q75", F.lit(q["q75"]).cast("double"))
 
 
 _Q_SQL = ", q AS (SELECT quantile_cont(punt_global, 0.25) AS q25, quantile_cont(punt_global, 0.75) AS q75 FROM exam_orders)\n"
