@@ -142,3 +142,22 @@ def test_option_lists_defaults_and_all_value(spark):
                                                   defaults={"jornada": ["COMPLETA", "MANANA"]}).collect())
     assert got == [("jornada", "COMPLETA", 1), ("jornada", "MANANA", 2),
                    ("municipio", "A", 1), ("municipio", "B", 2), ("municipio", "TODOS", 0)]
+
+
+def test_one_row_helpers_and_grid_bound(spark):
+    from equigap.operators.joins import scenario_grid
+    from equigap.operators.util import one_row, one_row_frame, small_side
+
+    a = spark.createDataFrame([(1.0,)], "x double")
+    b = spark.createDataFrame([("s",)], "y string")
+    assert one_row(a) == {"x": 1.0}
+    assert tuple(one_row_frame(spark, [a, b]).first()) == (1.0, "s")
+    with pytest.raises(ValueError):
+        one_row(spark.range(2))
+    big = spark.range(0, 2000).withColumnRenamed("id", "v")
+    with pytest.raises(ValueError):
+        scenario_grid(big.withColumnRenamed("v", "t"), big.withColumnRenamed("v", "s"), spark.range(1), {})
+    g = scenario_grid(spark.createDataFrame([("g",)], "target string"), spark.range(3).withColumnRenamed("id", "s"),
+                      spark.range(2).withColumnRenamed("id", "k"), {"p": "x"})
+    assert g.count() == 6 and set(g.columns) == {"target", "s", "k", "p"}
+    assert small_side(spark.range(10), max_rows=5).count() == 10  # above the bound: returned unhinted
