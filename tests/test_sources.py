@@ -30,3 +30,14 @@ def test_coords_and_distinct_regions(spark, tmp_path):
     assert c.count() == 2 and dict(c.dtypes)["lat"] == "double"
     regs = spark.createDataFrame([(" b ",), ("a",), ("B",), (None,)], "m string")
     assert [r.m for r in FS.distinct_regions(regs, "m").collect()] == ["A", "B"]
+
+
+def test_region_dim_comma_share_and_total_row(spark, tmp_path):
+    p = tmp_path / "pib2.csv"
+    p.write_text("﻿Municipio ,Peso relativo municipal (%),PIB miles de millones,Poblacion ,PIB per capita,\n"
+                 "Ciudad A,40.34%,401502.76,2518480,159422652,\n"
+                 "Pueblo B,0.24%,2429.08,21030,115505468,\n", encoding="utf-8")
+    d = FS.read_region_dim(spark, str(p))
+    r = {x.Municipio: x for x in d.collect()}
+    assert r["CIUDAD A"]["Peso relativo municipal (%)"] == 40.34
+    assert r["PUEBLO B"]["PIB miles de millones"] == 2429.08 and r["PUEBLO B"]["Poblacion"] == 21030.0
