@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import WORD, Scratch, fresh
+from .util import Scratch, fresh, schema_with
 
 MIN_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -103,10 +103,7 @@ def with_counts(rows: DataFrame, text: str) -> DataFrame:
             got = text_counts(batch.column(text))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(got[c]) for c in COUNTS], names=[*keep, *COUNTS])
 
-    schema = rows.drop(text).schema
-    for c in COUNTS:
-        schema = schema.add(c, "long")
-    return rows.mapInArrow(count, schema)
+    return rows.mapInArrow(count, schema_with(rows.drop(text), **dict.fromkeys(COUNTS, "long")))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,

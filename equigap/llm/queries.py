@@ -8,9 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_dedup, mixing, quality
+from . import bitpack, chunk_dedup, mixing, packing, quality, simhash, token_files
 from .util import documents
 
+#: Vocabulary files of public tokenizers, and the end id of flat token files.
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+WORD_BPE, BYTE_BPE, FLAT_END_ID = "word_bpe_49k.json", "byte_bpe_50k.json", 49407
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -25,6 +34,16 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.document_counts(documents(spark, sf_dir), vocabulary(WORD_BPE), FLAT_END_ID)
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, sf_dir), vocabulary(WORD_BPE))
+
+
 #: Per-text counts and the line-frequency verdict; {docs} is a table expression.
 QUALITY_SQL = r"""
 d as (select row_number() over () r, doc_id, source, coalesce(text, '') t from {docs}),
@@ -95,6 +114,16 @@ def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("row")
 
 
+@query()
+def op7_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked(documents(spark, sf_dir)).drop("row", "component")
+
+
+@query()
+def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.packed(documents(spark, sf_dir), vocabulary(BYTE_BPE))
+
+
 @query("""
 select doc_id, max(doc_id) over g keep_id, count(*) over g group_size, doc_id = max(doc_id) over g kept, sha256(coalesce(text, '')) text_sha256
 from documents window g as (partition by coalesce(text, ''))""")

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from equigap.session import scratch_path
 
@@ -61,3 +62,8 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
             name = f"_{name}"
         out.append(name)
     return out
+
+
+def schema_with(df: DataFrame, **more: str) -> T.StructType:
+    """``df``'s schema with more columns, given as name=type."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in more.items())).fields])
