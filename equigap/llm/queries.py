@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, chunk_dedup, mixing, packing, quality, simhash, token_files
+from . import bitpack, chunk_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, token_files
 from .util import documents
 
 #: Vocabulary files of public tokenizers, and the end id of flat token files.
@@ -39,6 +39,32 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_counts(documents(spark, sf_dir), vocabulary(WORD_BPE), FLAT_END_ID)
 
 
+def _license_sql() -> str:
+    """The canonical form by the same rules, and the known texts as values."""
+
+    def canonical(x: str) -> str:
+        x = rf"regexp_replace(lower(coalesce({x}, '')), '(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$', ' ', 'g')"
+        x = rf"' ' || trim(regexp_replace({x}, '[^\p{{L}}\p{{N}}]+', '  ', 'g'), ' ') || ' '"
+        for old, new in license_scan.SPELLINGS:
+            x = f"replace({x}, ' {old} ', ' {new} ')"
+        return f"trim(replace({x}, '  ', ' '), ' ')"
+
+    texts = [*license_scan.TEXTS.items(), *((k, n.format(name)) for k, names in license_scan.NAMES.items() for name in names for n in license_scan.NOTICES)]
+    values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in texts)
+    return f"""
+with k as (select sha256(c) s, min(i) license_id from (select i, {canonical('t')} c from (values {values}) v(i, t)) where c != '' group by 1),
+d as (select row_number() over () r, doc_id, text from documents),
+l as (select r, count(*) n, string_agg(distinct license_id, ',' order by license_id) names
+  from (select r, sha256({canonical('t')}) s from (select r, unnest(string_split(text, chr(10))) t from d)) join k using (s) group by r)
+select doc_id, d.s canonical_sha256, k.license_id, coalesce(n, 0)::bigint n_license_lines, coalesce(names, '') line_licenses
+from (select *, sha256({canonical('text')}) s from d) d left join k using (s) left join l using (r)"""
+
+
+@query(_license_sql())
+def op2_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 @query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), vocabulary(WORD_BPE))
@@ -124,6 +150,11 @@ def op8_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.packed(documents(spark, sf_dir), vocabulary(BYTE_BPE))
 
 
+@query()
+def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 @query("""
 select doc_id, max(doc_id) over g keep_id, count(*) over g group_size, doc_id = max(doc_id) over g kept, sha256(coalesce(text, '')) text_sha256
 from documents window g as (partition by coalesce(text, ''))""")
