@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, chunk_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, token_files
+from . import bitpack, chunk_dedup, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, token_files
 from .util import documents
 
 #: Vocabulary files of public tokenizers, and the end id of flat token files.
@@ -140,6 +140,13 @@ def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("row")
 
 
+@query()
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = line_dedup.deduped(docs, counts=("n_lines", "n_removed"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 @query()
 def op7_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.linked(documents(spark, sf_dir)).drop("row", "component")

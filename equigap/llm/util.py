@@ -67,3 +67,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def schema_with(df: DataFrame, **more: str) -> T.StructType:
     """``df``'s schema with more columns, given as name=type."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in more.items())).fields])
+
+#: Bytes that a table may take to be broadcast; beyond that it is shuffled.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, a written table of rows of at most ``row_bytes``, marked for
+    broadcast if its size is within BROADCAST_BYTES."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
