@@ -10,6 +10,10 @@ before them (cut before a single space or line end between two words).  A
 text with other white space goes to the library whole, so the ids are always
 those of encoding the whole text.
 
+A piece that is a plain word, with at most a punctuation mark behind it,
+skips the library's splitting rules, which would leave it as it is: its word
+goes straight to the library's model.  Other pieces go through all of it.
+
 The pieces kept are bounded by ``CACHE``; beyond it the worker starts afresh.
 """
 
@@ -17,16 +21,33 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 400_000
+CACHE = 1_000_000
 #: Texts that a byte-level tokenizer gets whole: white space other than single
 #: spaces and line ends inside the text, by the widest definition.
 ODD = (r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}"
        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]")
+#: Pieces of one word (a line end or HEAD before it, a mark behind it).
+HEAD = "\r"  # stands before a text's first piece, which no space precedes
+PLAIN = re.compile(r"([\n\r]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level tokenizers write a byte as a letter: itself if it prints in
+    Latin-1, else the next one from 256 on.  Here of the letters that PLAIN has."""
+    prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in prints]
+    letter = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+LETTERS, SPACE = byte_letters(), chr(256 + 32)
 
 _encoders: dict[str, Encoder] = {}
 
@@ -50,34 +71,60 @@ class Encoder:
         before = kind["pre_tokenizer"]
         self.cuts = self.drops_space or (before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
                                          and kind["normalizer"] is None)
+        one = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.marks, self.line_end = {m: one(m) for m in ".,;:!?"}, one("\n")
         self._empty()
 
     def _empty(self) -> None:
         self.index: dict[str, int] = {}
         self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+        self.pool, self.used, self.slots = np.zeros(1 << 16, np.int32), 0, 0
+
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """Each piece's ids."""
+        model, out, other = self.tokenizer.model.tokenize, [], []
+        for k, piece in enumerate(pieces):
+            plain = PLAIN(piece)
+            if not plain:
+                other.append(k)
+                out.append(None)
+                continue
+            lead, word, mark = plain.groups()
+            if self.drops_space:
+                word = word.lower()
+                found = [t.id for t in model(word if word.isascii() else word.translate(LETTERS))]
+            else:
+                word = word if word.isascii() else word.translate(LETTERS)
+                found = [t.id for t in model(word if lead else SPACE + word)]
+                if lead == "\n":
+                    found = self.line_end + found
+            out.append(found + self.marks[mark] if mark else found)
+        for a in range(0, len(other), 20_000):
+            part = other[a:a + 20_000]
+            texts = [p if self.drops_space or p[:1] == "\n" else p[1:] if p[:1] == HEAD else " " + p for p in map(pieces.__getitem__, part)]
+            for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                out[k] = e.ids
+        return out
 
     def _known(self, pieces: list[str]) -> np.ndarray:
         """The place of each piece, encoded now if it is new."""
-        if len(self.index) > self.cache:
+        if self.slots > self.cache:
             self._empty()
-        at = np.fromiter((self.index.get(p, -1) for p in pieces), np.int64, len(pieces))
+        at = np.array(list(map(self.index.get, pieces, repeat(-1))), np.int64)
         new = np.flatnonzero(at < 0)
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in part], add_special_tokens=False)]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            n, total = len(self.index), int(size.sum())
-            while n + len(ids) > len(self.start):
-                self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-            while self.used + total > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.int32, total)
-            self.start[n:n + len(ids)] = self.used + np.cumsum(size) - size
-            self.length[n:n + len(ids)] = size
-            self.used += total
-            at[part] = np.arange(n, n + len(ids))
-            self.index.update((pieces[i], n + j) for j, i in enumerate(part))
+        ids = self._ids([pieces[i] for i in new])
+        size = np.array(list(map(len, ids)), np.int64)
+        n, total = self.slots, int(size.sum())
+        while n + len(ids) > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
+        self.start[n:n + len(ids)] = self.used + np.cumsum(size) - size
+        self.length[n:n + len(ids)] = size
+        self.used, self.slots = self.used + total, n + len(ids)
+        at[new] = np.arange(n, self.slots)
+        self.index.update(zip((pieces[i] for i in new), range(n, self.slots)))
         return at
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,10 +153,9 @@ class Encoder:
         if self.drops_space:
             at = self._known(pieces)[place]
         else:
-            heads, first = pc.list_element(lists, 0).to_pylist(), offsets[:-1]
-            known = self._known([p if p[:1] == "\n" else " " + p for p in pieces] + heads)
+            known = self._known(pieces + [HEAD + p for p in pc.list_element(lists, 0).to_pylist()])
             at = known[:len(pieces)][place]
-            at[first] = known[len(pieces):]
+            at[offsets[:-1]] = known[len(pieces):]
         ids, size = self._gather(at)
         upto = np.concatenate([[0], np.cumsum(size)])[offsets]
         counts = np.diff(upto)
