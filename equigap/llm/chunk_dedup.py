@@ -80,8 +80,8 @@ def _renamed(scratch: Scratch, rows: DataFrame, recipes: DataFrame, pairs: DataF
     ordinal = Window.partitionBy("d").orderBy("chunk")
     named = scratch.write(pairs.join(clash, "d", "left_semi").select("d", "chunk", F.row_number().over(ordinal).alias("k")), "named")
     # The same scan in the same order gives the same row ids as the recipes have.
-    placed = rows.select(F.monotonically_increasing_id().alias("row"), F.posexplode(cut).alias("pos", "chunk"))
-    placed = placed.select("row", "pos", digest(F.col("chunk")).alias("d"), "chunk").join(named, ["d", "chunk"])
+    placed = rows.withColumn("row", F.monotonically_increasing_id())  # numbered before rows become chunks
+    placed = placed.select("row", F.posexplode(cut).alias("pos", "chunk")).select("row", "pos", digest(F.col("chunk")).alias("d"), "chunk").join(named, ["d", "chunk"])
     fixes = placed.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "k"))).alias("fix"))
     fixed = F.transform("recipe", lambda d, i: F.concat(
         d, F.coalesce(F.concat(F.lit("#"), F.element_at("fix", i).cast("string")), F.lit("")).cast("binary")))
