@@ -77,6 +77,12 @@ def similar(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= most and levenshtein(a, b) <= most
 
 
+def line_hash(line: str) -> int:
+    """SimHash of the 24 distinct words with the least hashes, as signed numbers."""
+    hashes = {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in line.split(" ")}
+    return majority(sorted(hashes, key=lambda h: h - (h >> 63 << 64))[:24])
+
+
 def line_dedup(rows) -> list[tuple[int, int, str]]:
     """(lines, removed lines, text left) of each row; lines under 2,000 characters."""
     occurrences = []
@@ -86,7 +92,7 @@ def line_dedup(rows) -> list[tuple[int, int, str]]:
             if len(line.split(" ")) >= 5:
                 occurrences.append((i, k, line))
     texts = list(dict.fromkeys(line for *_, line in occurrences))
-    fps = [majority([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in t.split(" ")]) for t in texts]
+    fps = [line_hash(t) for t in texts]
     group = groups(len(texts), ((a, b) for a, b in near(fps) if similar(texts[a], texts[b])))
     place, seen, gone = {t: group[i] for i, t in enumerate(texts)}, set(), defaultdict(set)
     for i, k, line in occurrences:
