@@ -41,7 +41,7 @@ from .quality import slices
 from .tokens import encoder, with_end
 from .util import Scratch, shuffle_partitions
 
-END_ID, FILE_IDS, BLOCK_IDS, SLICE = 0, 4 << 20, 1 << 16, 12 << 20
+END_ID, FILE_IDS, BLOCK_IDS, SLICE = 0, 4 << 20, 1 << 16, 7 << 20
 HEAD = struct.Struct("<4sHHIIQQII")
 MAGIC, VERSION = b"IDPK", 1
 

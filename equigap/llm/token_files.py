@@ -30,7 +30,7 @@ from .quality import slices
 from .tokens import encoder
 from .util import Scratch, shuffle_partitions
 
-BLOCK_IDS, RUN, SLICE = 1 << 20, 1024, 12 << 20
+BLOCK_IDS, RUN, SLICE = 1 << 20, 1024, 7 << 20
 
 
 def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int, text_col: str = "text") -> None:
