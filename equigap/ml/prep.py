@@ -18,7 +18,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equigap.operators.util import one_row, small_side
+from equigap.operators.util import one_row
 
 
 def feature_sets(columns: list[str], catalogue: dict[str, list[str]]) -> dict[str, list[str]]:
@@ -46,13 +46,14 @@ def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], f
     literals of the SQL stage, indexers are fitted with the model)."""
     from equigap.operators.quantiles import column_medians
 
-    # exact medians (interpolated, like the reference's imputer); the
-    # strategy switches to the distributed refinement on large inputs
+    # exact medians (interpolated, like the reference's imputer), one job
     st = {f"med_{c}": v for c, v in column_medians(df, numeric).items()}
     if categorical:
-        modes = df.agg(*[F.mode(F.col(c).cast("string"), deterministic=True).alias(f"mode_{c}")
-                         for c in categorical]).first()
-        st.update(modes.asDict())
+        # most frequent value, ties to the least: counts first, then one row per column
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], categorical, "name", "value")
+        counts = long.where("value is not null").groupBy("name", "value").agg(F.count("*").alias("n"))
+        modes = counts.groupBy("name").agg(F.min_by("value", F.struct((-F.col("n")).alias("k"), "value")).alias("mode"))
+        st.update({f"mode_{c}": None for c in categorical} | {f"mode_{r['name']}": r["mode"] for r in modes.collect()})
     # mean / std_pop of the imputed numeric values (second small aggregate)
     sel = []
     for c in numeric:
@@ -114,4 +115,4 @@ def class_weights(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
     tot = one_row(counts.agg(F.sum("__nc").alias("n"), F.count("*").alias("k")))
     w = counts.select(label, (F.lit(tot["n"]) / (F.lit(tot["k"]) * F.col("__nc"))).alias(col))
-    return df.join(small_side(w, 100_000), label, "left")
+    return df.join(w, label, "left")

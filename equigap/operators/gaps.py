@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import metric_order, one_row, one_row_frame, small_side, unpivot_metrics
+from equigap.operators.quantiles import cell_quantiles, quantiles_of, ranked_counts
+from equigap.operators.util import metric_order, one_row, unpivot_metrics
 
 
 def _nn(*cols: str) -> Column:
@@ -153,28 +154,13 @@ def region_type_gap(df: DataFrame, metric: str, region: str, group: str, lat: st
     return out.where(~F.col("__both") | F.col("brecha").isNotNull()).drop("__both")
 
 
-def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str = "gap",
-               strategy: str = "auto") -> DataFrame:
-    """median(a) - median(b); null if a side is missing.
-
-    ``exact`` is one scan with an in-plan ``percentile`` (a value -> count map
-    per side: right for bounded score domains and moderate row counts);
-    ``auto`` switches to the distributed exact refinement of
-    :mod:`equigap.operators.quantiles` for large inputs."""
-    if strategy == "auto":
-        # one count decides for both sides; the exact path is a single scan
-        strategy = "exact" if df.where(F.col(metric).isNotNull()).count() <= 5_000_000 else "refine"
-    if strategy != "exact":
-        from equigap.operators.quantiles import quantile_row
-
-        ma = quantile_row(df.where(F.col(group) == a), metric, [0.5], strategy=strategy)
-        mb = quantile_row(df.where(F.col(group) == b), metric, [0.5], strategy=strategy)
-        both = one_row_frame(df.sparkSession, [ma.select(F.col("q50").alias("median_a")),
-                                               mb.select(F.col("q50").alias("median_b"))])
-        return both.withColumn(out, F.col("median_a") - F.col("median_b"))
-    return df.agg(
-        F.percentile(F.when(F.col(group) == a, F.col(metric)), 0.5).alias("median_a"),
-        F.percentile(F.when(F.col(group) == b, F.col(metric)), 0.5).alias("median_b"),
+def median_gap(df: DataFrame, metric: str, group: str, a: str, b: str, out: str = "gap") -> DataFrame:
+    """median(a) - median(b); null if a side is missing.  Both
+    medians come from one scan."""
+    per = cell_quantiles(df.where(F.col(group).isin(a, b)), [group], metric, [0.5])
+    return per.agg(
+        F.max(F.when(F.col(group) == a, F.col("q50"))).alias("median_a"),
+        F.max(F.when(F.col(group) == b, F.col("q50"))).alias("median_b"),
     ).withColumn(out, F.col("median_a") - F.col("median_b"))
 
 
@@ -213,59 +199,27 @@ def histogram(df: DataFrame, metric: str, bins: int = 40) -> DataFrame:
     )
 
 
-def box_summary(df: DataFrame, metrics: list[str], group: str | None, strategy: str = "auto",
-                auto_rows: int = 5_000_000, max_groups: int = 200) -> DataFrame:
+def box_summary(df: DataFrame, metrics: list[str], group: str | None) -> DataFrame:
     """min/q1/median/q3/max, 1.5 IQR fences, whiskers (most extreme
     values inside the fences) and outlier counts per (metric, group).
 
-    Two passes: quartiles per group, then a join back (broadcast after a
-    size check: one row per metric x group) for whiskers and outliers.
-    Quartiles are exact: in-plan ``percentile`` for moderate inputs, the
-    distributed refinement per (metric, group) cell above ``auto_rows``."""
-    from pyspark import StorageLevel
-
+    The facts are read once, into counts per (metric, group, value); the
+    quartiles, fences, whiskers and outliers all come from these."""
     keys = ["metric"] + ([group] if group else [])
-    long = unpivot_metrics(df, [group] if group else [], metrics, "metric", "v").where(F.col("v").isNotNull())
+    long = unpivot_metrics(df, [group] if group else [], metrics, "metric", "v")
     if group:
         long = long.where(F.col(group).isNotNull())
-    # several passes (size, quartiles, whiskers): cache the long form once
-    long = long.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = long.groupBy(*keys).agg(F.min("v").alias("min"), F.max("v").alias("max"), F.count("*").cast("long").alias("n"))
-    big = strategy == "refine" or (strategy == "auto" and long.count() > auto_rows)
-    if not big:
-        qs = long.groupBy(*keys).agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("__q"))
-        qs = qs.select(*keys, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
-    else:
-        from equigap.operators.quantiles import exact_quantiles
-
-        cells = [tuple(r) for r in stats.select(*keys).limit(max_groups + 1).collect()]
-        if len(cells) > max_groups:
-            raise ValueError(f"more than {max_groups} (metric, group) cells")
-        rows = []
-        for cell in cells:
-            cond = F.lit(True)
-            for k, v in zip(keys, cell):
-                cond = cond & (F.col(k) == F.lit(v))
-            rows.append((*cell, *exact_quantiles(long.where(cond), "v", [0.25, 0.5, 0.75])))
-        schema = ", ".join([f"`{k}` string" for k in keys] + ["q1 double", "median double", "q3 double"])
-        qs = df.sparkSession.createDataFrame(rows, schema)
-    q = stats.join(qs, keys).withColumn("lower_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
-        "upper_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    q = q.select(*keys, "min", "q1", "median", "q3", "max", "n", "lower_fence", "upper_fence")
-    w = long.join(small_side(q.select(*keys, "lower_fence", "upper_fence")), keys).groupBy(*keys).agg(
-        F.min(F.when(F.col("v") >= F.col("lower_fence"), F.col("v"))).alias("whisker_low"),
-        F.max(F.when(F.col("v") <= F.col("upper_fence"), F.col("v"))).alias("whisker_high"),
-        F.sum(((F.col("v") < F.col("lower_fence")) | (F.col("v") > F.col("upper_fence"))).cast("long")).alias("outliers"),
-    )
-    out = q.join(w, keys)
-    # the summary has one row per (metric, group) cell: materialise it (a
-    # bounded collect), then release the cached long form
-    rows = out.limit(max_groups * max(len(metrics), 1) + 1).collect()
-    schema = out.schema
-    long.unpersist()
-    if len(rows) > max_groups * max(len(metrics), 1):
-        raise ValueError("too many (metric, group) cells for a box summary")
-    return df.sparkSession.createDataFrame(rows, schema)
+    ranked = ranked_counts(long, keys, "v")
+    q = quantiles_of(ranked, keys, [0.25, 0.5, 0.75]).withColumnsRenamed({"q25": "q1", "q50": "median", "q75": "q3"})
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    q = q.withColumn("lower_fence", F.col("q1") - reach).withColumn("upper_fence", F.col("q3") + reach)
+    v = F.col("v")
+    inside = v.between(F.col("lower_fence"), F.col("upper_fence"))
+    of_cell = ranked.join(q, keys).groupBy(*keys, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
+        F.min(v).alias("min"), F.max(v).alias("max"), F.sum("n").cast("long").alias("n"),
+        F.min(F.when(v >= F.col("lower_fence"), v)).alias("whisker_low"), F.max(F.when(v <= F.col("upper_fence"), v)).alias("whisker_high"),
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).cast("long").alias("outliers"))
+    return of_cell.select(*keys, "min", "q1", "median", "q3", "max", "n", "lower_fence", "upper_fence", "whisker_low", "whisker_high", "outliers")
 
 
 def yearly_mean(df: DataFrame, metric: str, period: str, key: str | None = None) -> DataFrame:

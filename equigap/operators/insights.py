@@ -21,11 +21,10 @@ DEFAULT_QS = (0.1, 0.25, 0.5, 0.75, 0.9)
 RISK_FALLBACK = 250.0
 
 
-def cut_points(df: DataFrame, metric: str, qs: tuple[float, ...] = DEFAULT_QS, fallback: float = RISK_FALLBACK,
-               strategy: str = "auto") -> DataFrame:
+def cut_points(df: DataFrame, metric: str, qs: tuple[float, ...] = DEFAULT_QS, fallback: float = RISK_FALLBACK) -> DataFrame:
     """One row with q10..q90 (linear interpolation) and the risk
     threshold (q25, or ``fallback`` when there is no score)."""
-    row = quantile_row(df, metric, qs, strategy=strategy)
+    row = quantile_row(df, metric, qs)
     names = [f"q{int(round(q * 100))}" for q in qs]
     out = row.select(*[F.col(n) for n in names])
     return out.withColumn("umbral_riesgo", F.coalesce(F.col("q25"), F.lit(fallback)) if "q25" in names

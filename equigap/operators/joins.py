@@ -1,6 +1,6 @@
-"""Joins J01-J09.  All equi (left outer / semi) or a cross join of small,
-bounded frames (the scenario grid).  Dimension sides are broadcast only after
-their row count is proven small (:func:`small_side`)."""
+"""Joins J01-J09.  All equi (left outer / semi), and the scenario grid.  No
+hints: Spark broadcasts a dimension when its size in bytes allows it, at
+planning or, under adaptive execution, once the size is known."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions.text import normalize_key, upper_key
-from equigap.operators.util import one_row, small_side
+from equigap.operators.util import one_row
+from equigap.session import materialize
 
 
 def region_dim(dim: DataFrame, name_col: str, value_cols: list[str], key: str = "__key",
@@ -24,7 +25,7 @@ def region_dim(dim: DataFrame, name_col: str, value_cols: list[str], key: str =
 def with_gdp(df: DataFrame, dim: DataFrame, region_col: str, name_col: str, value_cols: list[str],
              normalise: bool = False) -> DataFrame:
     """Fact LEFT JOIN GDP on upper(trim(region)); no fan-out."""
-    d = small_side(region_dim(dim, name_col, value_cols, normalise=normalise))
+    d = region_dim(dim, name_col, value_cols, normalise=normalise)
     k = normalize_key(region_col) if normalise else upper_key(region_col)
     return df.join(d, k == F.col("__key"), "left").drop("__key")
 
@@ -36,13 +37,13 @@ def with_coords(df: DataFrame, coords: DataFrame, region_col: str, name_col: str
     vals = [c for c in coords.columns if c != name_col]
     if raw_key:
         d = coords.select(F.col(name_col).alias("__key"), *vals).groupBy("__key").agg(*[F.max(c).alias(c) for c in vals])
-        return df.join(small_side(d), F.col(region_col) == F.col("__key"), "left").drop("__key")
+        return df.join(d, F.col(region_col) == F.col("__key"), "left").drop("__key")
     return with_gdp(df, coords, region_col, name_col, vals, normalise=normalise)
 
 
 def region_with_gdp(agg: DataFrame, dim: DataFrame, key_col: str, name_col: str, value_cols: list[str]) -> DataFrame:
     """Region aggregate (keyed by the C10 key) LEFT JOIN GDP on C10 key."""
-    d = small_side(region_dim(dim, name_col, value_cols, normalise=True))
+    d = region_dim(dim, name_col, value_cols, normalise=True)
     return agg.join(d, F.col(key_col) == F.col("__key"), "left").drop("__key")
 
 
@@ -73,10 +74,14 @@ def gdp_lookup(df: DataFrame, regions: DataFrame, region_col: str, gdp_col: str,
     rows of that region; when the region has no GDP, the medians over all rows.
     Per-capita stays null when the region has GDP but no per-capita."""
     pc = F.col(per_cap_col) if per_cap_col else F.lit(None).cast("double")
-    by_region = df.groupBy(F.col(region_col).alias(out_region)).agg(
-        F.percentile(gdp_col, 0.5).alias("__g"), F.percentile(pc, 0.5).alias("__pc")
-    )
-    o = one_row(df.agg(F.percentile(gdp_col, 0.5).alias("g"), F.percentile(pc, 0.5).alias("pc")))
+    # GDP values are few per region: count them once; both the regions' and
+    # the overall medians come from the counts.
+    counts = df.groupBy(F.col(region_col).alias(out_region), F.col(gdp_col).try_cast("double").alias("__x"), pc.try_cast("double").alias("__y")).agg(
+        F.count("*").alias("__n"))
+    counts = materialize(counts, "gdp_counts")
+    by_region = counts.groupBy(out_region).agg(F.percentile("__x", 0.5, F.col("__n")).alias("__g"), F.percentile("__y", 0.5, F.col("__n")).alias("__pc"))
+    o = one_row(counts.groupBy("__x", "__y").agg(F.sum("__n").alias("__n")).agg(
+        F.percentile("__x", 0.5, F.col("__n")).alias("g"), F.percentile("__y", 0.5, F.col("__n")).alias("pc")))
     req = regions.select(F.col(out_region)).join(by_region, out_region, "left")
     found = F.col("__g").isNotNull()
     return req.select(
@@ -88,12 +93,14 @@ def gdp_lookup(df: DataFrame, regions: DataFrame, region_col: str, gdp_col: str,
 
 def scenario_grid(targets: DataFrame, strata: DataFrame, types: DataFrame, profile: dict) -> DataFrame:
     """Targets x strata x school types on a fixed profile (the
-    reference's what-if grid).  All three inputs are small lists; the grid
-    size is checked before the product is built."""
-    n = [d.limit(10_001).count() for d in (targets, strata, types)]
-    if n[0] * n[1] * n[2] > 1_000_000:
-        raise ValueError(f"scenario grid too large: {n}")
-    grid = targets.crossJoin(F.broadcast(strata)).crossJoin(F.broadcast(types))
+    reference's what-if grid).  The value lists are exploded per target: two
+    arrays exploded over the targets, so the grid may be of any size."""
+    def values(d: DataFrame):
+        """The frame's rows as an array of literals (a list a user typed)."""
+        return F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(d.schema.fields, r)]) for r in d.collect()])
+
+    grid = targets.withColumn("__s", F.explode(values(strata))).withColumn("__t", F.explode(values(types)))
+    grid = grid.select(*targets.columns, "__s.*", "__t.*")
     for k, v in profile.items():
         grid = grid.withColumn(k, F.lit(v))
     return grid

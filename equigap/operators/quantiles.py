@@ -1,162 +1,78 @@
-"""Quantiles with linear interpolation (numpy / pandas default).
-
-Three strategies:
-
-``exact``   Spark's ``percentile``: exact, in-plan (lazy), but its buffer is a
-            value -> count map, so one group's distinct values must fit one
-            task.  Right for bounded-domain scores (0-100 / 0-500 integers)
-            and for per-region tables.
-``approx``  ``percentile_approx`` (GK sketch): bounded memory, rank error
-            1/accuracy.
-``refine``  exact and bounded memory for *global* quantiles of a column with
-            unbounded distinct values: each round takes approximate bounds
-            around the target ranks, counts what lies below / inside, and
-            recurses into the (much smaller) inside set; once a candidate set
-            has at most ``collect_max`` rows it is taken to the driver, or
-            answered directly when all its values are equal (a hot value
-            never needs collecting).  A few scans, no single-task map.
-``auto``    ``exact`` up to ``auto_rows`` rows, else ``refine``.
+"""Exact quantiles with linear interpolation (numpy / pandas default), per
+cell of any keys, by one algorithm at every size.
+
+Rows are counted per (cell, value), combined map-side, so a value that a
+third of all rows share is one row per task.  The counts are range-partitioned
+by (cell, value) and written once with their partition; a value's cumulative
+count is then a running sum within its partition plus the totals of the
+cell's earlier partitions.  A quantile's two ranks fall on the values whose
+cumulative counts span them.  No value, cell or rank visits the driver, and
+no cell is held by one task.
+
+NaN is null, as in pandas, and nulls are left out; a cell without values has
+no row, and over no cell (``keys=[]``) an empty input gives one row of nulls.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigap.session import materialize
+
+
+def quantile_name(q: float) -> str:
+    return f"q{int(round(q * 100))}"
+
+
+def ranked_counts(df: DataFrame, keys: list[str], value: Column | str) -> DataFrame:
+    """``keys``, v, n (rows with it), before (rows of the cell below it), total
+    (rows of the cell)."""
+    v = F.col(value) if isinstance(value, str) else value
+    counts = df.select(*keys, v.try_cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.count("*").alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialize(counts.repartitionByRange(parts, *keys, "v").withColumn("__part", F.spark_partition_id()), "value_counts")
+    of_cell = Window.partitionBy(*keys)
+    earlier = of_cell.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy(*keys, "__part").agg(F.sum("n").alias("__sum"))
+    sums = sums.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__part").alias("__p"),
+                       F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__base"), F.sum("__sum").over(of_cell).alias("total"))
+    same = F.col("__part") == F.col("__p")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    own = Window.partitionBy("__part", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("__own", F.coalesce(F.sum("n").over(own), F.lit(0))).join(sums, same)
+    return placed.select(*keys, "v", "n", (F.col("__base") + F.col("__own")).alias("before"), "total")
+
+
+def quantiles_of(ranked: DataFrame, keys: list[str], qs) -> DataFrame:
+    """``keys`` and a column qNN per quantile, of ``ranked_counts``."""
+    aggs = []
+    for q in qs:
+        at = (F.col("total") - 1) * F.lit(float(q))
+        low = F.floor(at)
+        high = F.least(low + 1, F.col("total") - 1)
+        spans = lambda rank: F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + F.col("n")), F.col("v")))
+        lo, hi = spans(low), spans(high)
+        aggs.append((lo + (hi - lo) * F.max(at - low)).alias(quantile_name(q)))
+    return ranked.groupBy(*keys).agg(*aggs)
+
+
+def cell_quantiles(df: DataFrame, keys: list[str], value: Column | str, qs) -> DataFrame:
+    """``keys`` and a column qNN per quantile of ``value``."""
+    return quantiles_of(ranked_counts(df, keys, value), keys, qs)
+
 
-def _names(qs) -> list[str]:
-    return [f"q{int(round(q * 100))}" for q in qs]
+def quantile_row(df: DataFrame, metric: str, qs) -> DataFrame:
+    """One row with a column qNN per quantile over all rows."""
+    return cell_quantiles(df, [], metric, qs)
 
 
-def column_medians(df: DataFrame, cols: list[str], strategy: str = "auto", auto_rows: int = 5_000_000) -> dict:
-    """Exact interpolated median of several columns: one in-plan aggregate
-    for moderate inputs, the distributed refinement per column above
-    ``auto_rows`` rows."""
+def column_medians(df: DataFrame, cols: list[str]) -> dict:
+    """The median of each column, all in one job; None for a column without values."""
     if not cols:
         return {}
-    if strategy == "auto":
-        strategy = "exact" if df.count() <= auto_rows else "refine"
-    if strategy == "exact":
-        r = df.agg(*[F.percentile(F.col(c).try_cast("double"), 0.5).alias(c) for c in cols]).first()
-        return {c: r[c] for c in cols}
-    return {c: exact_quantiles(df.select(F.col(c).try_cast("double").alias(c)), c, [0.5])[0] for c in cols}
-
-
-def quantile_row(df: DataFrame, metric: str, qs, strategy: str = "exact", accuracy: int = 100_000,
-                 auto_rows: int = 5_000_000) -> DataFrame:
-    """One-row DataFrame with a column ``qNN`` per requested quantile."""
-    qs = list(qs)
-    names = _names(qs)
-    x = F.col(metric).cast("double")
-    if strategy == "auto":
-        n = df.where(x.isNotNull()).count()
-        strategy = "exact" if n <= auto_rows else "refine"
-    if strategy == "exact":
-        r = df.agg(F.percentile(x, qs).alias("__q"))
-    elif strategy == "approx":
-        r = df.agg(F.percentile_approx(x, qs, accuracy).alias("__q"))
-    elif strategy == "refine":
-        vals = exact_quantiles(df, metric, qs, accuracy=accuracy)
-        spark = df.sparkSession
-        return spark.createDataFrame([tuple(vals)], ", ".join(f"{n} double" for n in names))
-    else:
-        raise ValueError(strategy)
-    return r.select(*[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-
-
-def exact_quantiles(df: DataFrame, metric: str, qs, accuracy: int = 100_000, collect_max: int = 200_000,
-                    max_rounds: int = 8) -> list[float | None]:
-    """Exact linear-interpolated global quantiles by iterative refinement.
-
-    Driver state is O(len(qs)) scalars plus at most ``collect_max`` values.
-    """
-    x = df.select(F.col(metric).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = x.count()
-        if n == 0:
-            return [None] * len(qs)
-        ranks = set()
-        for q in qs:
-            pos = q * (n - 1)
-            ranks.add(int(math.floor(pos)))
-            ranks.add(min(int(math.floor(pos)) + 1, n - 1))
-        values = _select_ranks(x, sorted(ranks), n, accuracy, collect_max, max_rounds)
-        out = []
-        for q in qs:
-            pos = q * (n - 1)
-            k0 = int(math.floor(pos))
-            k1 = min(k0 + 1, n - 1)
-            v0, v1 = values[k0], values[k1]
-            out.append(v0 + (v1 - v0) * (pos - k0))
-        return out
-    finally:
-        x.unpersist()
-
-
-def _select_ranks(x: DataFrame, ranks: list[int], n: int, accuracy: int, collect_max: int,
-                  max_rounds: int) -> dict[int, float]:
-    # per rank: [lo, hi, below(lo), inside([lo, hi])]; None bounds = unbounded
-    state = {k: [None, None, 0, n] for k in ranks}
-    done: dict[int, float] = {}
-    delta = 3.0 / accuracy
-    for _ in range(max_rounds):
-        open_ = [k for k in ranks if k not in done]
-        if not open_:
-            break
-        # finish small or constant candidate sets
-        small = [k for k in open_ if state[k][3] <= collect_max or
-                 (state[k][0] is not None and state[k][0] == state[k][1])]
-        for k in small:
-            lo, hi, below, _m = state[k]
-            if lo is not None and lo == hi:
-                done[k] = lo
-                continue
-            vals = sorted(r[0] for r in x.where(_inside(lo, hi)).collect())
-            done[k] = vals[k - below]
-        open_ = [k for k in open_ if k not in done]
-        if not open_:
-            break
-        # approximate bounds inside each candidate set, one job for all ranks
-        aggs = []
-        for i, k in enumerate(open_):
-            lo, hi, below, m = state[k]
-            qk = (k - below) / max(m - 1, 1)
-            ql, qh = max(qk - delta, 0.0), min(qk + delta, 1.0)
-            aggs.append(F.percentile_approx(F.when(_inside(lo, hi), F.col("x")), [ql, qh], accuracy).alias(f"b{i}"))
-        b = x.agg(*aggs).first()
-        cand = {k: (b[f"b{i}"][0], b[f"b{i}"][1]) for i, k in enumerate(open_)}
-        # exact counts for the new bounds, one job for all ranks
-        cnt = []
-        for i, k in enumerate(open_):
-            nl, nh = cand[k]
-            cnt.append(F.sum((F.col("x") < nl).cast("long")).alias(f"c{i}"))
-            cnt.append(F.sum(F.col("x").between(nl, nh).cast("long")).alias(f"m{i}"))
-        c = x.agg(*cnt).first()
-        for i, k in enumerate(open_):
-            nl, nh = cand[k]
-            below, inside = c[f"c{i}"] or 0, c[f"m{i}"] or 0
-            if below <= k < below + inside:
-                state[k] = [nl, nh, below, inside]
-            # else: the sketch missed (should not happen); keep the old set,
-            # the next round retries with the same bounds shrunk no further
-    for k in ranks:
-        if k not in done:
-            lo, hi, below, m = state[k]
-            if m > collect_max:
-                raise RuntimeError(f"quantile refinement did not converge (rank {k}, {m} candidates)")
-            vals = sorted(r[0] for r in x.where(_inside(lo, hi)).collect())
-            done[k] = vals[k - below]
-    return done
-
-
-def _inside(lo, hi):
-    c = F.lit(True)
-    if lo is not None:
-        c = c & (F.col("x") >= lo)
-    if hi is not None:
-        c = c & (F.col("x") <= hi)
-    return c
+    numbers = df.select(*[F.col(c).try_cast("double").alias(c) for c in cols])
+    long = numbers.unpivot([], cols, "__name", "__value")
+    found = {r["__name"]: r["q50"] for r in cell_quantiles(long, ["__name"], "__value", [0.5]).collect()}  # a row per column
+    return {c: found.get(c) for c in cols}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import one_row, small_side
+from equigap.operators.util import one_row
 
 
 def score(model: PipelineModel, rows: DataFrame, kind: str = "regresion", lo: float = 0.0, hi: float = 500.0) -> DataFrame:
@@ -44,7 +44,7 @@ def scenario_inputs(form: DataFrame, gdp: DataFrame | None = None, region_col: s
         out = out.withColumn("internet_flag", i).withColumn("computador_flag", c).withColumn(
             "tic_score", L.tic_score(i, c)).withColumn("tic_interaccion", L.tic_interaction(i, c))
     if gdp is not None and region_col in form.columns:
-        out = out.join(small_side(gdp), region_col, "left")  # one row per requested region
+        out = out.join(gdp, region_col, "left")  # one row per requested region
     return out
 
 

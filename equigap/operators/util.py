@@ -5,23 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we hint for broadcast; beyond it the join is left to
-# the optimiser (sort-merge, or AQE's runtime conversion when the shuffled
-# side turns out small).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so checking a huge table costs at most ``max_rows``
-    rows.  Above the bound the frame is returned unhinted.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -261,7 +261,7 @@ def _with_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     from equigap.operators.quantiles import quantile_row
 
     df = exam_orders(spark, sf)
-    q = one_row(quantile_row(df, "punt_global", [0.25, 0.75], strategy="auto"))  # two scalars
+    q = one_row(quantile_row(df, "punt_global", [0.25, 0.75]))  # two scalars
     return df.withColumn("q25", F.lit(q["q25"]).cast("double")).withColumn("q75", F.lit(q["q75"]).cast("double"))
 
 

@@ -76,21 +76,8 @@ FROM {nation} n
 """
 
 
-# Fact tables whose scans feed row-level work (the rest are dimensions).
-FACT_TABLES = {"lineitem", "orders", "documents", "events", "conversations"}
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input partitions than the cluster has
-    cores (e.g. one large Parquet row group) over all of them.  A no-op at
-    scale, where the files already give thousands of splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
@@ -140,7 +127,8 @@ def write_enriched(spark: SparkSession, sf_dir: str, path: str, grain: str = "li
     filters such as F02 then prune whole directories), then read it back.
     Every operator accepts the returned frame in place of ``exam_lines`` /
     ``exam_orders``; the lineitem x orders shuffle is paid once per refresh
-    instead of once per query."""
+    instead of once per query.  Each task writes its own file per period: a
+    period is never gathered in one task."""
     df = exam_lines(spark, sf_dir) if grain == "lines" else exam_orders(spark, sf_dir)
-    df.repartition("periodo").write.mode("overwrite").partitionBy("periodo").parquet(path)
+    df.write.mode("overwrite").partitionBy("periodo").parquet(path)
     return spark.read.parquet(path)

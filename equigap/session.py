@@ -7,8 +7,12 @@ unset get a fresh folder under /tmp.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +25,9 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
+    # small tables in many splits, so that scans use all cores of one machine
+    "spark.sql.files.maxPartitionBytes": "4m",
 }
 
 
@@ -44,13 +50,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or an already registered checkpoint
-    folder); only when neither is set (local runs, tests) a fresh folder under
-    /tmp is created and registered.
+    folder).  Only a local master that leaves both unset (tests) gets a fresh
+    folder under /tmp, removed when Python ends; on a cluster a machine-local
+    folder would be another one on every executor, so an unset folder is an
+    error there.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -66,10 +77,15 @@ def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return the re-read table: later passes scan columnar files instead of
     recomputing the joins under ``df``, and a lost executor re-reads the
-    files rather than the sources."""
-    import uuid
-
+    files rather than the sources.  ``clear_scratch`` removes what a session
+    has written, once its results are read."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables written under the shared folder by this session."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

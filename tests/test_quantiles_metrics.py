@@ -5,19 +5,39 @@ import pytest
 from pyspark.sql import functions as F
 
 from equigap.ml.metrics import binary_metrics, multiclass_metrics, regression_metrics, roc_auc
-from equigap.operators.quantiles import exact_quantiles, quantile_row
+from equigap.operators.gaps import box_summary
+from equigap.operators.quantiles import column_medians, quantile_row
 from equigap.operators.util import ordinal_within
 
 
-def test_refine_equals_numpy_with_hot_value(spark):
+def test_quantiles_equal_numpy_with_hot_value(spark):
     rng = np.random.default_rng(0)
     vals = np.concatenate([rng.normal(250, 60, 20000), np.full(10000, 213.0)])  # a third of rows one value
     df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(7)
-    qs = [0.1, 0.25, 0.5, 0.75, 0.9]
-    got = exact_quantiles(df, "x", qs, accuracy=1000, collect_max=500)  # forces several rounds
-    assert got == pytest.approx(list(np.percentile(vals, [q * 100 for q in qs])), abs=1e-9)
-    row = quantile_row(df, "x", qs, strategy="exact").first()
-    assert [row[f"q{int(q * 100)}"] for q in qs] == pytest.approx(got, abs=1e-9)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    row = quantile_row(df, "x", qs).first()
+    assert list(row) == pytest.approx(list(np.percentile(vals, [q * 100 for q in qs])), abs=1e-9)
+
+
+def test_nan_is_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (3.0,), (None,)], "x double")
+    assert tuple(quantile_row(df, "x", [0.5, 0.9]).first()) == pytest.approx((2.0, 2.8))
+    assert tuple(quantile_row(df.where("x > 5"), "x", [0.5]).first()) == (None,)
+    assert column_medians(df.withColumn("y", F.lit(None).cast("double")), ["x", "y"]) == {"x": 2.0, "y": None}
+
+
+def test_many_cells(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"g{i % 300}" if i % 7 else None, *map(float, rng.integers(0, 50, 6))) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"m{k} double" for k in range(6)))
+    got = {(r.metric, r.g): r for r in box_summary(df, [f"m{k}" for k in range(6)], "g").collect()}
+    assert len(got) == 1800
+    for (metric, g), r in list(got.items())[::97]:
+        v = np.array([row[1 + int(metric[1])] for row in rows if row[0] == g])
+        q1, q2, q3 = np.percentile(v, [25, 50, 75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert (r.q1, r.median, r.q3, r.n) == (q1, q2, q3, len(v)) and r.outliers == ((v < lo) | (v > hi)).sum()
+        assert (r.whisker_low, r.whisker_high) == (v[v >= lo].min(), v[v <= hi].max())
 
 
 def test_ordinal_within_hot_key(spark):
