@@ -113,16 +113,24 @@ software in a product, an acknowledgment in the product documentation would be a
 }
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, words of letters and digits with one
-    space between, equivalent spellings as one."""
+def canonical_lines(text: Column) -> Column:
+    """The canonical forms of the text's lines, without empty ones: lower case,
+    no copyright lines, words of letters and digits with one space between,
+    equivalent spellings as one."""
     text = F.lower(F.coalesce(text.cast("string"), F.lit("")))
     text = F.regexp_replace(text, r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$", " ")
     # Two spaces between words while spellings are replaced, so that neighbours share none.
-    text = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
+    text = F.replace(F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", "  "), F.lit("\n"), F.lit("  \n  "))
+    text = F.concat(F.lit("  "), text, F.lit("  "))
     for old, new in SPELLINGS:
         text = F.replace(text, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(F.replace(text, F.lit("  "), F.lit(" ")))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.replace(x, F.lit("  "), F.lit(" "))))
+    return F.filter(lines, lambda x: x != "")
+
+
+def canonical(text: Column) -> Column:
+    """The whole text's canonical form."""
+    return F.array_join(canonical_lines(text), " ")
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
@@ -130,11 +138,15 @@ def known_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "license_id string, text string")
 
 
+def known_digests(known: DataFrame) -> DataFrame:
+    digests = known.select("license_id", canonical(F.col("text")).alias("c")).where("c != ''")
+    return digests.groupBy(F.sha2("c", 256).alias("known_sha256")).agg(F.min("license_id").alias("license_id"))
+
+
 def matches(texts: DataFrame, known: DataFrame, text_col: str = "text") -> DataFrame:
     """``texts`` without ``text_col``, with canonical_sha256 and license_id (null
     if its whole text is none of the known)."""
-    digests = known.select("license_id", canonical(F.col("text")).alias("c")).where("c != ''")
-    digests = digests.groupBy(F.sha2("c", 256).alias("known_sha256")).agg(F.min("license_id").alias("license_id"))
+    digests = known_digests(known)
     own = texts.withColumn("canonical_sha256", F.sha2(canonical(F.col(text_col)), 256)).drop(text_col)
     return own.join(digests, F.expr("canonical_sha256 = known_sha256"), "left").drop("known_sha256")
 
@@ -144,11 +156,15 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     ``id_col``, canonical_sha256, license_id, n_license_lines, line_licenses."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "licenses")
     known = scratch.write(known_texts(spark) if known is None else known.select("license_id", "text"), "known")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = rows.select("row", F.explode(F.split("text", "\n")).alias("text"))
-    found = matches(lines, known).where("license_id is not null").groupBy("row").agg(
-        F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("names"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), canonical_lines(F.col(text_col)).alias("l"))
+    # One pass over the texts: digests of the whole and of each line.
+    digests = scratch.write(rows.select("row", "id", F.sha2(F.array_join("l", " "), 256).alias("canonical_sha256"),
+                                        F.transform("l", lambda x: F.sha2(x, 256)).alias("lines")), "digests")
+    known = known_digests(known)
+    lines = digests.select("row", F.explode("lines").alias("line_sha256")).join(known, F.expr("line_sha256 = known_sha256"))
+    found = lines.groupBy("row").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("names"))
     found = scratch.write(found.withColumnRenamed("row", "l_row"), "lines")
-    return matches(rows, known).join(found, F.expr("row = l_row"), "left").select(
+    whole = digests.join(known, F.expr("canonical_sha256 = known_sha256"), "left")
+    return whole.join(found, F.expr("row = l_row"), "left").select(
         F.col("id").alias(id_col), "canonical_sha256", "license_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_license_lines"),
         F.coalesce("names", F.lit("")).alias("line_licenses"))
