@@ -13,9 +13,8 @@ Fitted statistics are computed in one aggregation and frozen into a
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.operators.util import one_row
@@ -41,9 +40,9 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], features_col: str = "features"):
-    """Fit the preprocessing; returns pipeline stages (fitted stats are
-    literals of the SQL stage, indexers are fitted with the model)."""
+def prep_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
+    """med_, mu_, sd_ (of the median-imputed values) per numeric column
+    and mode_ per categorical one."""
     from equigap.operators.quantiles import column_medians
 
     # exact medians (interpolated, like the reference's imputer), one job
@@ -61,6 +60,13 @@ def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], f
         sel.append(F.coalesce(F.col(c).cast("double"), F.lit(float(med))).alias(c))
     mom = df.select(*sel).agg(*[F.avg(c).alias(f"mu_{c}") for c in numeric],
                               *[F.stddev_pop(c).alias(f"sd_{c}") for c in numeric]).first() if numeric else None
+    return st | (mom.asDict() if mom else {})
+
+
+def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], features_col: str = "features"):
+    """Fit the preprocessing; returns pipeline stages (fitted stats are
+    literals of the SQL stage, indexers are fitted with the model)."""
+    st = mom = prep_statistics(df, numeric, categorical)
     exprs = []
     for c in numeric:
         med = float(st[f"med_{c}"]) if st[f"med_{c}"] is not None else 0.0
@@ -85,23 +91,34 @@ def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], f
     return stages
 
 
-def prep_pipeline(df: DataFrame, numeric: list[str], categorical: list[str]) -> Pipeline:
-    return Pipeline(stages=fit_prep_stages(df, numeric, categorical))
-
-
 def _unit_hash(key_cols: list[str], seed: int):
-    """Uniform [0, 1) from xxhash64 of the key: independent of partitioning."""
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    return (F.pmod(h, F.lit(1 << 30)) / float(1 << 30))
-
-
-def split(df: DataFrame, key: list[str], frac: float = 0.8, seed: int = 42, col: str = "is_train") -> DataFrame:
-    """Deterministic train / test flag from a hash of the row key.
-
-    No shuffle, no window, identical under any partitioning; every class
-    (stratum) is split with the same probability, so class shares match in
-    expectation (to O(1/sqrt(n)) in each class)."""
-    return df.withColumn(col, _unit_hash(key, seed) < frac)
+    """Uniform [0, 1) from the first 8 hex digits of the key's md5:
+    independent of partitioning, and of the engine."""
+    digits = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed)))), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / float(1 << 32)
+
+
+def split(df: DataFrame, key: list[str], frac: float = 0.8, seed: int = 42, col: str = "is_train", strata: str | None = None) -> DataFrame:
+    """Deterministic train / test flag from a hash of the row key,
+    identical under any partitioning, without a shuffle.
+
+    With ``strata`` each class is cut at its own threshold: the hash below
+    which ``frac`` of its rows lie (exact to one row; from counts per class
+    and thousandth of the hash, then from the rows of one thousandth)."""
+    u = _unit_hash(key, seed)
+    if strata is None:
+        return df.withColumn(col, u < frac)
+    counts = df.groupBy(F.col(strata).alias("__s"), F.floor(u * 1000).alias("__b")).agg(F.count("*").alias("__n"))
+    of = Window.partitionBy("__s")
+    upto = F.sum("__n").over(of.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    goal = F.round(F.sum("__n").over(of) * frac)
+    edge = counts.select("__s", "__b", (upto - F.col("__n")).alias("__before"), upto.alias("__upto"), goal.alias("__goal"))
+    edge = edge.where("__before < __goal and __goal <= __upto").select("__s", "__b", (F.col("__goal") - F.col("__before")).cast("int").alias("__k"))
+    near = df.select(F.col(strata).alias("__t"), u.alias("__u")).join(edge, F.expr("__t <=> __s and floor(__u * 1000) = __b"))
+    place = F.row_number().over(Window.partitionBy("__s").orderBy("__u"))
+    cuts = near.withColumn("__i", place).where("__i <= __k").groupBy("__s").agg(F.max("__u").alias("__cut"))
+    both = df.withColumn("__u", u).join(cuts, F.col(strata).eqNullSafe(F.col("__s")), "left")
+    return both.withColumn(col, F.coalesce(F.col("__u") <= F.col("__cut"), F.lit(False))).drop("__u", "__s", "__cut")
 
 
 def validation_flag(df: DataFrame, key: list[str], frac: float = 0.2, seed: int = 7, col: str = "is_val") -> DataFrame:
@@ -110,8 +127,8 @@ def validation_flag(df: DataFrame, key: list[str], frac: float = 0.2, seed: int
 
 
 def class_weights(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
-    """Balanced weights n / (k * n_class) attached through a broadcast
-    join of the per-class count table (one row per class)."""
+    """Balanced weights n / (k * n_class) attached by a join with the
+    per-class counts (one row per class)."""
     counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
     tot = one_row(counts.agg(F.sum("__nc").alias("n"), F.count("*").alias("k")))
     w = counts.select(label, (F.lit(tot["n"]) / (F.lit(tot["k"]) * F.col("__nc"))).alias(col))

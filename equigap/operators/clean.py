@@ -6,7 +6,7 @@ shuffles once on its key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
@@ -54,35 +54,24 @@ def drop_incomplete(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=[c for c in cols if c in df.columns])
 
 
-def dedup(df: DataFrame, key: str | None = None, order: list[str] | None = None) -> DataFrame:
-    """Keep the first row per key by an explicit order; whole-row
-    distinct when there is no key.
+def dedup(df: DataFrame, key: str | None = None, order: list[Column | str] | None = None) -> DataFrame:
+    """Keep the first row per key by an explicit order (null order
+    values last, null keys one key); whole-row distinct when there is no key.
 
-    "First" is ``min_by(row, order)`` in a hash aggregate: partial
-    aggregation runs map-side, so a key holding a third of all rows is
-    reduced before the shuffle and never sorted or collected as a group.
-    """
+    ``row_number() = 1`` lets Spark keep one row per key and task before the
+    shuffle, so a key holding a third of all rows costs one row per task."""
     if key is None or key not in df.columns:
         return df.distinct()
     if not order:
-        return df.dropDuplicates([key])
-    ordkey = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    return (
-        df.groupBy(key)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), ordkey).alias("__r"))
-        .select("__r.*")
-    )
+        raise ValueError("an order says which row of a key is the first")
+    by = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
+    first = Window.partitionBy(key).orderBy(*by)
+    return df.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
 
 
-def clean_scores(
-    df: DataFrame,
-    roles: Roles,
-    subjects_100: list[str] | None = None,
-    global_500: list[str] | None = None,
-    text_cols: list[str] | None = None,
-    order: list[Column | str] | None = None,
-) -> DataFrame:
-    """Fold text, sentinels, default, coerce, range, drop, de-dup."""
+def _prepared(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None,
+              text_cols: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """Folded, coerced and range-checked rows, and the score columns."""
     subjects_100 = subjects_100 if subjects_100 is not None else [
         c for c in [roles.english, roles.math, roles.social, roles.science, roles.reading] if c
     ]
@@ -103,26 +92,40 @@ def clean_scores(
             proj.append(guard_range(to_number(c), 0, 500).alias(c))
         else:
             proj.append(F.col(c))
-    out = drop_incomplete(out.select(*proj), scores)
-    return dedup(out, roles.student_id, order)
+    return out.select(*proj), scores
+
+
+def clean_scores(
+    df: DataFrame,
+    roles: Roles,
+    subjects_100: list[str] | None = None,
+    global_500: list[str] | None = None,
+    text_cols: list[str] | None = None,
+    order: list[Column | str] | None = None,
+) -> DataFrame:
+    """Fold text, sentinels, default, coerce, range, drop, de-dup.  The
+    first row of a key is by ``order``, by default all columns in turn."""
+    out, scores = _prepared(df, roles, subjects_100, global_500, text_cols)
+    return dedup(drop_incomplete(out, scores), roles.student_id, order or out.columns)
 
 
 def clean_audit(df: DataFrame, roles: Roles, subjects_100: list[str], global_500: list[str],
                 key: str | None = None) -> DataFrame:
     """One row with the row count before cleaning, after dropping
-    incomplete scores and after de-duplication; one scan + one shuffle."""
-    valid = F.lit(True)
-    for c in subjects_100:
-        valid = valid & guard_range(to_number(c), 0, 100).isNotNull()
-    for c in global_500:
-        valid = valid & guard_range(to_number(c), 0, 500).isNotNull()
+    incomplete scores and after de-duplication as ``clean_scores`` does it
+    (by the cleaned key; whole rows without one); one scan + one shuffle."""
+    out, scores = _prepared(df, roles, subjects_100, global_500, None)
     key = key or roles.student_id
-    base = df.select(valid.alias("ok"), (F.col(key) if key in df.columns else F.lit(None)).alias("k"))
-    per_key = base.groupBy("k").agg(F.count("*").alias("n"), F.sum(F.col("ok").cast("long")).alias("n_ok"))
+    ok = F.lit(True)
+    for c in scores:
+        ok = ok & F.col(c).isNotNull()
+    keys = [F.col(key).alias("k")] if key in out.columns else [F.col(c).alias(f"k{i}") for i, c in enumerate(out.columns)]
+    base = out.select(ok.alias("ok"), *keys)
+    per_key = base.groupBy(*base.columns[1:]).agg(F.count("*").alias("n"), F.sum(F.col("ok").cast("long")).alias("n_ok"))
     return per_key.agg(
-        F.sum("n").cast("long").alias("rows_loaded"),
-        F.sum("n_ok").cast("long").alias("rows_complete"),
-        F.sum(F.when(F.col("n_ok") > 0, 1).otherwise(0)).cast("long").alias("rows_deduplicated"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows_loaded"),
+        F.coalesce(F.sum("n_ok"), F.lit(0)).cast("long").alias("rows_complete"),
+        F.coalesce(F.sum(F.when(F.col("n_ok") > 0, 1).otherwise(0)), F.lit(0)).cast("long").alias("rows_deduplicated"),
     )
 
 

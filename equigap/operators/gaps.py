@@ -222,12 +222,12 @@ def box_summary(df: DataFrame, metrics: list[str], group: str | None) -> DataFra
     return of_cell.select(*keys, "min", "q1", "median", "q3", "max", "n", "lower_fence", "upper_fence", "whisker_low", "whisker_high", "outliers")
 
 
-def yearly_mean(df: DataFrame, metric: str, period: str, key: str | None = None) -> DataFrame:
+def yearly_mean(df: DataFrame, metric: str, period: str, key: str | list[str] | None = None) -> DataFrame:
     """Mean by year (first 4 characters of the period; rows with a
-    non-numeric year dropped), optionally by a second key."""
-    keys = [L.period_year(period).alias("anio")] + ([F.col(key)] if key else [])
-    base = df.select(*keys, F.col(metric))
-    kcols = ["anio"] + ([key] if key else [])
+    non-numeric year dropped), optionally by more keys."""
+    more = [key] if isinstance(key, str) else key or []
+    base = df.select(L.period_year(period).alias("anio"), *more, metric)
+    kcols = ["anio", *more]
     return base.where(_nn(*kcols)).groupBy(*kcols).agg(F.avg(metric).alias(metric))
 
 

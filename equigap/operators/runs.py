@@ -85,13 +85,14 @@ def ordered(df: DataFrame, by: list[Column | str]) -> DataFrame:
 
 def cap_rows(df: DataFrame, n: int | None, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """Reproducible sample of ``n`` rows: the ``n`` smallest
-    ``xxhash64(key, seed)``.  Independent of partitioning; ``None`` (the
+    ``md5(key|seed)``.  Independent of partitioning; ``None`` (the
     default everywhere) means no cap.  This is a sampling operator: the
     limit is the feature."""
     if not n:
         return df
     cols = key or df.columns
-    return df.withColumn("__h", F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))).orderBy("__h").limit(n).drop("__h")
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed))))
+    return df.withColumn("__h", h).orderBy("__h").limit(n).drop("__h")
 
 
 def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -50,29 +50,28 @@ def scenario_inputs(form: DataFrame, gdp: DataFrame | None = None, region_col: s
 
 def flip(df: DataFrame, col: str, a: str, b: str, id_col: str = "scenario_id") -> DataFrame:
     """A = the rows as given, B = the same rows with ``col`` swapped
-    between the two values."""
-    base = df.withColumn(id_col, F.monotonically_increasing_id()) if id_col not in df.columns else df
-    sw = F.when(F.col(col) == a, b).when(F.col(col) == b, a).otherwise(F.col(col))
-    return base.withColumn("side", F.lit("A")).unionByName(base.withColumn(col, sw).withColumn("side", F.lit("B")))
+    between the two values; both from one row, under the key ``id_col``."""
+    if id_col not in df.columns:
+        raise ValueError(f"scenarios need a key: no column {id_col}")
+    swapped = F.when(F.col(col) == a, b).when(F.col(col) == b, a).otherwise(F.col(col))
+    sides = F.explode(F.array(F.struct(F.lit("A").alias("side"), F.col(col).alias("v")), F.struct(F.lit("B").alias("side"), swapped.alias("v"))))
+    both = df.withColumn("__s", sides)
+    return both.select(*[F.col("__s.v").alias(c) if c == col else F.col(c) for c in df.columns], F.col("__s.side").alias("side"))
 
 
 def mean_impact(model: PipelineModel, df: DataFrame, set_a: dict, set_b: dict, kind: str = "regresion") -> DataFrame:
     """Average prediction difference when every row is set to
-    ``set_b`` versus ``set_a`` (same rows, two transforms, one aggregate)."""
-    val = "prediction" if kind == "regresion" else "__p"
-
-    def scored(assign: dict) -> DataFrame:
-        d = df
-        for k, v in assign.items():
-            d = d.withColumn(k, v if not isinstance(v, (str, int, float)) else F.lit(v))
-        out = model.transform(d)
-        if kind != "regresion":
-            out = out.withColumn("__p", vector_to_array("probability")[1])
-        return out.agg(F.avg(val).alias("m"), F.count("*").alias("n"))
-
-    a, b = one_row(scored(set_a)), one_row(scored(set_b))  # two one-row aggregates
-    diff = None if a["m"] is None or b["m"] is None else float(b["m"] - a["m"])
-    return df.sparkSession.createDataFrame([(diff, int(a["n"]))], "impacto_medio double, n long")
+    ``set_b`` versus ``set_a``: each row carries both variants through one
+    transform and one aggregate."""
+    value = lambda v, c: F.col(c) if v is None else v if not isinstance(v, (str, int, float)) else F.lit(v)
+    changed = list(dict.fromkeys([*set_a, *set_b]))
+    variant = lambda side, own: F.struct(F.lit(side).alias("side"), *[value(own.get(c), c).cast(df.schema[c].dataType).alias(c) for c in changed])
+    both = df.withColumn("__v", F.explode(F.array(variant(0, set_a), variant(1, set_b))))
+    both = both.select(*[F.col(f"__v.{c}").alias(c) if c in changed else F.col(c) for c in df.columns], F.col("__v.side").alias("__side"))
+    out = model.transform(both)
+    p = F.col("prediction") if kind == "regresion" else vector_to_array("probability")[1]
+    mean = lambda side: F.avg(F.when(F.col("__side") == side, p))
+    return out.agg((mean(1) - mean(0)).alias("impacto_medio"), F.count_if(F.col("__side") == 0).alias("n"))
 
 
 def zone_impact(model: PipelineModel, df: DataFrame, zone_col: str = "Area", kind: str = "regresion") -> DataFrame:
@@ -80,12 +79,17 @@ def zone_impact(model: PipelineModel, df: DataFrame, zone_col: str = "Area", kin
     return mean_impact(model, df.dropna(), {zone_col: "Rural"}, {zone_col: "Urbano"}, kind)
 
 
-def tic_impact(model: PipelineModel, df: DataFrame, kind: str = "regresion") -> DataFrame:
-    """Both flags set to 1 (score 2, interaction 1) versus the rows as
-    observed; not defined for multiclass."""
-    same = {c: F.col(c) for c in ["internet_flag"] if c in df.columns}
-    alt = {"internet_flag": 1, "computador_flag": 1, "tic_score": 2, "tic_interaccion": 1}
-    return mean_impact(model, df, same, {k: v for k, v in alt.items() if k in df.columns}, kind)
+def tic_impact(model: PipelineModel, df: DataFrame, kind: str = "regresion", features: list[str] | None = None) -> DataFrame:
+    """Every row with complete ``features`` as observed, versus with the
+    flags it has set to 1; an absent flag counts 0, so score and interaction
+    follow from the flags present.  Not defined for multiclass."""
+    flags = [c for c in ("internet_flag", "computador_flag") if c in df.columns]
+    alt = {c: 1 for c in flags}
+    if "tic_score" in df.columns:
+        alt["tic_score"] = len(flags)
+    if "tic_interaccion" in df.columns:
+        alt["tic_interaccion"] = int(len(flags) == 2)
+    return mean_impact(model, df.dropna(subset=features or df.columns), {}, alt, kind)
 
 
 def adjusted_gap_table(models: dict[str, PipelineModel], grid: DataFrame, target_col: str = "target",

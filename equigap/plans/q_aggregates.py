@@ -403,16 +403,15 @@ def a27(spark, sf):
     return r6(G.yearly_mean(exam_orders(spark, sf), "punt_global", "periodo"), "punt_global")
 
 
-@register("A28_yearly_mean_by_access", """SELECT CAST(substr(CAST(periodo AS VARCHAR), 1, 4) AS INT) AS anio, tic,
+@register("A28_yearly_mean_by_access", """SELECT CAST(substr(CAST(periodo AS VARCHAR), 1, 4) AS INT) AS anio, cole_mcpio_ubicacion, tic,
 round(avg(punt_ingles), 6) AS punt_ingles FROM (SELECT *, CASE WHEN fami_tieneinternet IS NOT DISTINCT FROM 'Si' AND
   fami_tienecomputador IS NOT DISTINCT FROM 'Si' THEN 'Internet y Computador' WHEN fami_tieneinternet IS NOT DISTINCT FROM 'Si'
   THEN 'Solo Internet' WHEN fami_tienecomputador IS NOT DISTINCT FROM 'Si' THEN 'Solo Computador' ELSE 'Sin Acceso TIC' END AS tic
-  FROM exam_lines WHERE cole_mcpio_ubicacion = 'NATION_5')
-WHERE regexp_full_match(substr(CAST(periodo AS VARCHAR), 1, 4), '[0-9]+') GROUP BY 1, 2""")
+  FROM exam_lines WHERE cole_mcpio_ubicacion IS NOT NULL)
+WHERE regexp_full_match(substr(CAST(periodo AS VARCHAR), 1, 4), '[0-9]+') GROUP BY 1, 2, 3""")
 def a28(spark, sf):
-    d = FL.by_region(exam_lines(spark, sf), "cole_mcpio_ubicacion", "NATION_5")
-    d = d.withColumn("tic", L.access4("fami_tieneinternet", "fami_tienecomputador"))
-    return r6(G.yearly_mean(d, "punt_ingles", "periodo", key="tic"), "punt_ingles")
+    d = exam_lines(spark, sf).withColumn("tic", L.access4("fami_tieneinternet", "fami_tienecomputador"))
+    return r6(G.yearly_mean(d, "punt_ingles", "periodo", key=["cole_mcpio_ubicacion", "tic"]), "punt_ingles")
 
 
 @register("A29_region_ranking", """SELECT cole_mcpio_ubicacion, round(punt_ingles, 6) AS punt_ingles,

@@ -7,6 +7,8 @@ Spark ML and are rows-only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.ml import labs
 from equigap.ml.metrics import binary_metrics, multiclass_metrics, regression_metrics
-from equigap.ml.prep import class_weights, fit_prep_stages, split
+from equigap.ml.prep import class_weights, fit_prep_stages, prep_statistics, split
 from equigap.operators import scenario as X
 from equigap.plans.catalog import register
 from equigap.plans.q_aggregates import r6
@@ -83,19 +85,22 @@ def m06(spark, sf):
   (SELECT fami_estratovivienda FROM exam_lines GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode FROM exam_lines""")
 def m02(spark, sf):
     d = exam_lines(spark, sf)
-    return r6(d.agg(F.percentile("punt_matematicas", 0.5).alias("median"), F.avg("punt_matematicas").alias("mean"),
-                    F.stddev_pop("punt_matematicas").alias("std_pop"),
-                    F.mode("fami_estratovivienda", deterministic=True).alias("mode")), "median", "mean", "std_pop")
+    st = prep_statistics(d, ["punt_matematicas"], ["fami_estratovivienda"])
+    row = (st["med_punt_matematicas"], st["mu_punt_matematicas"], st["sd_punt_matematicas"], st["mode_fami_estratovivienda"])
+    return r6(spark.createDataFrame([row], "median double, mean double, std_pop double, mode string"), "median", "mean", "std_pop")
 
 
-@register("M04_split")
+@register("M04_split", """, c AS (SELECT CAST(punt_global < 250 AS INT) AS clase, count(*) AS n FROM exam_orders WHERE punt_global IS NOT NULL GROUP BY 1)
+SELECT true AS is_train, clase, CAST(round(n * 0.8) AS BIGINT) AS n FROM c UNION ALL SELECT false, clase, CAST(n - round(n * 0.8) AS BIGINT) FROM c""")
 def m04(spark, sf):
-    d = split(exam_orders(spark, sf), ["estu_consecutivo"], 0.8, 42)
-    return d.groupBy("is_train", L.low_performance("punt_global").alias("clase")).agg(F.count("*").alias("n"))
+    d = exam_orders(spark, sf).where("punt_global is not null").withColumn("clase", L.low_performance("punt_global"))
+    return split(d, ["estu_consecutivo"], 0.8, 42, strata="clase").groupBy("is_train", "clase").agg(F.count("*").alias("n"))
 
 
 # ------------------------------------------------------------ labs (R) ----
 
+_TARGETS = ["punt_global", "punt_ingles", "punt_matematicas", "punt_sociales_ciudadanas", "punt_c_naturales", "punt_lectura_critica"]
+
 _FS = {"basico": (["punt_matematicas", "punt_lectura_critica"], []),
        "contexto": (["punt_matematicas", "punt_c_naturales"], ["cole_naturaleza", "fami_estratovivienda", "fami_tieneinternet"])}
 
@@ -134,11 +139,14 @@ def m12(spark, sf):
 def m13(spark, sf):
     sel = ["punt_c_naturales", "cole_naturaleza"]
     d = exam_lines(spark, sf)
-    runs, _, _ = labs.run_lab(spark, d, "regresion", "punt_global", ["estu_consecutivo", "line_number"],
+    runs, best, models = labs.run_lab(spark, d, "regresion", "punt_global", ["estu_consecutivo", "line_number"],
                               {"custom": ([c for c in sel if c.startswith("punt")], [c for c in sel if not c.startswith("punt")])},
                               configs={"LinearRegression": LinearRegression(), "nonsense": LinearRegression(labelCol="missing")},
-                              run_prefix="p3_custom_reg")
-    return runs
+                              run_prefix="p3_custom_reg", tolerant=True)
+    path = scratch_path(spark, f"models/pregunta_3-{uuid.uuid4().hex[:8]}")
+    labs.save_best(models[best["run_name"]], labs.run_metadata(best, "punt_global"), f"{path}/custom")
+    _, meta = labs.load_best(path)  # the custom model is found first
+    return runs.withColumn("stored", F.col("run_name") == meta["run_name"])
 
 
 # -------------------------------------------------------- scenarios (R) ----
@@ -152,6 +160,52 @@ def _fit_orders_model(spark: SparkSession, sf: str):
     return d, model
 
 
+def _fit_means(d, label: str, by: str):
+    """A linear model on one categorical, which predicts the category's mean."""
+    return Pipeline(stages=[*fit_prep_stages(d, [], [by]), LinearRegression(labelCol=label)]).fit(d)
+
+
+@register("X01_score_by_type", """, m AS (SELECT cole_naturaleza AS k, round_even(least(500, greatest(0, avg(punt_global))), 1) AS m FROM exam_orders GROUP BY 1)
+SELECT estu_consecutivo AS scenario_id, a.m AS a, b.m AS b, round_even(b.m - a.m, 4) AS delta FROM exam_orders o JOIN m a ON a.k = o.cole_naturaleza
+JOIN m b ON b.k = CASE o.cole_naturaleza WHEN 'OFICIAL' THEN 'NO OFICIAL' WHEN 'NO OFICIAL' THEN 'OFICIAL' ELSE o.cole_naturaleza END""")
+def x01a(spark, sf):
+    d = exam_orders(spark, sf)
+    sc = X.flip(d.select(F.col("estu_consecutivo").alias("scenario_id"), "cole_naturaleza"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")
+    return X.score_scenarios(_fit_means(d, "punt_global", "cole_naturaleza"), sc)
+
+
+@register("X01_score_binary")
+def x01b(spark, sf):
+    from pyspark.ml.classification import LogisticRegression
+
+    d = exam_orders(spark, sf).withColumn("bajo", L.low_performance("punt_global"))
+    stages = fit_prep_stages(d, ["punt_sociales_ciudadanas"], ["cole_naturaleza"])
+    model = Pipeline(stages=[*stages, LogisticRegression(labelCol="bajo")]).fit(d)
+    sc = X.flip(d.select(F.col("estu_consecutivo").alias("scenario_id"), "punt_sociales_ciudadanas", "cole_naturaleza"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")
+    return X.score_scenarios(model, sc, kind="clasificacion_binaria")
+
+
+@register("X04_zone_means", """SELECT round(avg(punt_global) FILTER (cole_area_ubicacion = 'URBANO')
+  - avg(punt_global) FILTER (cole_area_ubicacion IS DISTINCT FROM 'URBANO'), 6) AS impacto_medio, CAST(count(*) AS BIGINT) AS n FROM exam_orders""")
+def x04a(spark, sf):
+    d = exam_orders(spark, sf).withColumn("Area", F.when(F.col("cole_area_ubicacion") == "URBANO", "Urbano").otherwise("Rural"))
+    return r6(X.zone_impact(_fit_means(d, "punt_global", "Area"), d.select("Area")), "impacto_medio")
+
+
+@register("X06_adjusted_gaps_by_type", " UNION ALL ".join(f"""SELECT '{t}' AS target, '{t.removeprefix("punt_")}' AS slug, e AS estrato,
+  round_even(o, 2) AS pred_oficial, round_even(p, 2) AS pred_privado, round_even(round_even(p, 2) - round_even(o, 2), 2) AS brecha_ajustada
+FROM (SELECT avg({t}) FILTER (cole_naturaleza = 'OFICIAL') AS o, avg({t}) FILTER (cole_naturaleza = 'NO OFICIAL') AS p FROM exam_lines),
+  (SELECT DISTINCT fami_estratovivienda AS e FROM exam_lines)""" for t in _TARGETS))
+def x06a(spark, sf):
+    """The six targets' gaps by school type on the scenario grid."""
+    from equigap.operators import joins as J
+
+    d = exam_lines(spark, sf)
+    grid = J.scenario_grid(spark.createDataFrame([(t,) for t in _TARGETS], "target string"), d.select("fami_estratovivienda").distinct(),
+                           d.select("cole_naturaleza").distinct(), {})
+    return X.adjusted_gap_table({t: _fit_means(d, t, "cole_naturaleza") for t in _TARGETS}, grid)
+
+
 @register("X01_score_scenarios")
 def x01(spark, sf):
     d, model = _fit_orders_model(spark, sf)
@@ -161,7 +215,12 @@ def x01(spark, sf):
     return X.score_scenarios(model, sc)
 
 
-@register("X03_flip")
+_FLIP_SQL = """SELECT estu_consecutivo AS scenario_id, cole_naturaleza, 'A' AS side FROM exam_orders
+UNION ALL SELECT estu_consecutivo, CASE cole_naturaleza WHEN 'OFICIAL' THEN 'NO OFICIAL' WHEN 'NO OFICIAL' THEN 'OFICIAL'
+  ELSE cole_naturaleza END, 'B' FROM exam_orders"""
+
+
+@register("X03_flip", _FLIP_SQL)
 def x03(spark, sf):
     d = exam_orders(spark, sf).select("estu_consecutivo", "cole_naturaleza")
     return X.flip(d.withColumnRenamed("estu_consecutivo", "scenario_id"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")
@@ -190,7 +249,7 @@ def x06(spark, sf):
     from equigap.operators import joins as J
 
     d = exam_lines(spark, sf)
-    targets = ["punt_global", "punt_matematicas"]
+    targets = _TARGETS
     models = {}
     for t in targets:
         stages = fit_prep_stages(d, [], ["cole_naturaleza", "fami_estratovivienda", "estu_genero"])
@@ -214,7 +273,14 @@ def x07(spark, sf):
     return X.predicted_level(model.transform(d), list(idx.labels)).groupBy("nivel_predicho").count()
 
 
-@register("X02_scenario_inputs")
+@register("X02_scenario_inputs", """, p AS (SELECT municipio, pib_miles_millones AS pib FROM region_gdp),
+a AS (SELECT quantile_cont(p.pib, 0.5) AS pib FROM exam_lines l JOIN p ON l.cole_mcpio_ubicacion = p.municipio)
+SELECT l.cole_mcpio_ubicacion AS municipio,
+  (upper(trim(fami_tieneinternet)) IS NOT DISTINCT FROM 'SI')::INT + (upper(trim(fami_tienecomputador)) IS NOT DISTINCT FROM 'SI')::INT AS tic_score,
+  coalesce(p.pib, (SELECT pib FROM a)) AS pib, CAST(count(*) AS BIGINT) AS count
+FROM exam_lines l LEFT JOIN p ON l.cole_mcpio_ubicacion = p.municipio WHERE l.cole_mcpio_ubicacion IS NOT NULL GROUP BY 1, 2, 3
+UNION ALL SELECT NULL, (upper(trim(fami_tieneinternet)) IS NOT DISTINCT FROM 'SI')::INT + (upper(trim(fami_tienecomputador)) IS NOT DISTINCT FROM 'SI')::INT,
+  NULL, CAST(count(*) AS BIGINT) FROM exam_lines WHERE cole_mcpio_ubicacion IS NULL GROUP BY 2""")
 def x02(spark, sf):
     from equigap.operators import joins as J
     from equigap.plans.tpch import region_gdp
@@ -236,10 +302,10 @@ def x08(spark, sf):
     return X.result_facts(best_runs(runs_table(spark, sf)), imp)
 
 
-@register("S12_S13_save_load_best")
+@register("S12_S13_save_load_best", "SELECT CAST(count(*) AS BIGINT) AS n, 'punt_global' AS target FROM exam_orders")
 def s12(spark, sf):
     d, model = _fit_orders_model(spark, sf)
-    path = scratch_path(spark, "models/pregunta_1/regresion")
+    path = scratch_path(spark, f"models/pregunta_1-{uuid.uuid4().hex[:8]}")
     labs.save_best(model, {"target": "punt_global", "features": ["punt_sociales_ciudadanas", "Area"]}, path)
     loaded, meta = labs.load_best(path)
     return loaded.transform(d).agg(F.count("*").alias("n"), F.lit(meta["target"]).alias("target"))
@@ -279,7 +345,12 @@ def m03(spark, sf):
     return harmonise_missing(d.select("estu_consecutivo", raw.alias("jornada")), ["jornada"])
 
 
-@register("M05_validation_flag")
+def _hash_sql(seed: int) -> str:
+    return f"('0x' || substr(md5(estu_consecutivo || '|' || CAST(line_number AS VARCHAR) || '|{seed}'), 1, 8))::BIGINT / 4294967296.0"
+
+
+@register("M05_validation_flag", f"""SELECT is_train, is_train AND is_val AS "(is_train AND is_val)", CAST(count(*) AS BIGINT) AS count FROM (
+  SELECT {_hash_sql(42)} < 0.8 AS is_train, {_hash_sql(7)} < 0.2 AS is_val FROM exam_lines) GROUP BY 1, 2""")
 def m05(spark, sf):
     from equigap.ml.prep import validation_flag
 
@@ -329,21 +400,23 @@ def m17(spark, sf):
     d = d.withColumn("bajo", L.low_performance("punt_global"))
     from pyspark.ml.classification import LogisticRegression
 
-    runs, best, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"], fs,
+    runs, best, models = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"], fs,
                                  configs={"lr": LogisticRegression(maxIter=50), "lr_l2": LogisticRegression(maxIter=50, regParam=0.1)},
                                  run_prefix="p2_clf")
-    path = scratch_path(spark, "run_log")
-    labs.log_runs(runs, path)
-    logged = spark.read.parquet(path)
-    prev = logged.where(F.col("f1").isNotNull()).agg(F.max("f1")).first()[0]
-    gate = labs.accept_update(best["f1"], prev)
-    return runs.select("run_name", "f1", (F.col("run_name") == best["run_name"]).alias("is_best"),
-                       F.lit(gate).alias("accept_update"))
-
-
-@register("X03_flip_oracle", """SELECT estu_consecutivo AS scenario_id, cole_naturaleza, 'A' AS side FROM exam_orders
-UNION ALL SELECT estu_consecutivo, CASE cole_naturaleza WHEN 'OFICIAL' THEN 'NO OFICIAL' WHEN 'NO OFICIAL' THEN 'OFICIAL'
-  ELSE cole_naturaleza END, 'B' FROM exam_orders""")
+    # An older log: the weaker configuration alone.  The gate compares with it
+    # before the new runs are logged, and guards the save.
+    path = scratch_path(spark, f"run_log-{uuid.uuid4().hex[:8]}")
+    labs.log_runs(runs.where(F.col("run_name") != best["run_name"]), f"{path}/runs")
+    old = spark.read.parquet(f"{path}/runs").agg(F.max("f1")).first()[0]
+    accepted = labs.accept_update(best["f1"], old)
+    if accepted:
+        labs.save_best(models[best["run_name"]], labs.run_metadata(best, "bajo", threshold=0.5), f"{path}/model")
+    labs.log_runs(runs.where(F.col("run_name") == best["run_name"]), f"{path}/runs")
+    return spark.read.parquet(f"{path}/runs").select("run_name", "f1", (F.col("run_name") == best["run_name"]).alias("is_best"),
+                                                     F.lit(old).alias("f1_before"), F.lit(accepted).alias("accept_update"))
+
+
+@register("X03_flip_oracle", _FLIP_SQL)
 def x03o(spark, sf):
     d = exam_orders(spark, sf).select("estu_consecutivo", "cole_naturaleza")
     return X.flip(d.withColumnRenamed("estu_consecutivo", "scenario_id"), "cole_naturaleza", "OFICIAL", "NO OFICIAL")

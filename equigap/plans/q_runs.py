@@ -203,7 +203,7 @@ def w05(spark, sf):
                     .otherwise(F.col("value")).alias("value"))
 
 
-@register("W07_cap_rows")
+@register("W07_cap_rows", "SELECT * FROM events ORDER BY md5(CAST(event_id AS VARCHAR) || '|42') LIMIT 1000")
 def w07(spark, sf):
     """Reproducible sample of 1,000 events (the sampling operator)."""
     return R.cap_rows(load(spark, sf, "events"), 1000, seed=42, key=["event_id"])

@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from equigap.plans.catalog import register
 from equigap.plans.q_aggregates import SUBJECTS, r6
-from equigap.plans.tpch import exam_lines, exam_orders, region_coords, region_gdp
+from equigap.plans.tpch import exam_lines, exam_orders, load, region_coords, region_gdp
 from equigap.session import scratch_path
 from equigap.sources import files as FS
 from equigap.sources.runs import read_history
@@ -58,29 +58,40 @@ def s03(spark, sf):
     return FS.read_coords(spark, path)
 
 
-_HIST_SQL = """, h AS (SELECT CAST(user_id AS VARCHAR) AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS epoch,
-  value AS loss, CASE WHEN event_type <> 'error' THEN round(value * 1.1, 6) END AS val_loss FROM events)
-SELECT run_id, CAST(epoch AS INT) AS epoch, loss, val_loss FROM h"""
+_HIST_SQL = """, d AS (SELECT user_id, CAST(ts AS DATE) AS day, avg(value) AS loss FROM events GROUP BY 1, 2),
+h AS (SELECT CAST(user_id AS VARCHAR) AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY day) AS epoch, round(loss, 6) AS loss FROM d)
+SELECT run_id, CAST(epoch AS INT) AS epoch, loss, round(loss + 0.5, 6) AS val_loss FROM h"""
 
 
 @register("S06_read_history", _HIST_SQL)
 def s06(spark, sf):
-    from equigap.plans.q_runs import _history
-
+    """Each run's curve is its mean value per day, so a run's file has a line
+    per day however many events it has."""
     path = _tmp(spark, "runs")
-    h = r6(_history(spark, sf), "val_loss").withColumn("exp", F.lit("derived"))
-    # one file per run, lines in epoch order (the run's history CSV)
-    (h.repartition("run_id").sortWithinPartitions("run_id", "epoch").select("exp", "run_id", "loss", "val_loss")
+    day = load(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("run_id"), F.to_date("ts").alias("day")).agg(F.avg("value").alias("loss"))
+    h = r6(day, "loss").withColumn("val_loss", F.round(F.col("loss") + 0.5, 6)).withColumn("exp", F.lit("derived"))
+    (h.repartition("run_id").sortWithinPartitions("run_id", "day").select("exp", "run_id", "loss", "val_loss")
      .write.mode("overwrite").partitionBy("exp", "run_id").option("header", True).csv(path))
     return read_history(spark, path, pattern="*/*/*.csv", run_regex=r"/run_id=([^/]+)/[^/]+$")
 
 
-@register("S09_S10_results_roundtrip", None)
+@register("S09_S10_results_roundtrip", """
+SELECT tabla, disponible, filas FROM (VALUES ('brecha_por_materia', true), ('anova_estratos', true), ('brecha_por_estrato', true),
+  ('tendencia_tic', true), ('no_escrita', false)) t(tabla, disponible),
+  LATERAL (SELECT CASE tabla WHEN 'brecha_por_materia' THEN SUBJECT_COUNT WHEN 'anova_estratos' THEN 1
+    WHEN 'brecha_por_estrato' THEN (SELECT count(*) FROM (SELECT fami_estratovivienda FROM exam_orders WHERE punt_global IS NOT NULL
+      AND fami_estratovivienda IN ('Estrato 1','Estrato 2','Estrato 3','Estrato 4','Estrato 5','Estrato 6') GROUP BY 1
+      HAVING count(punt_global) FILTER (cole_naturaleza = 'OFICIAL') >= 30 AND count(punt_global) FILTER (cole_naturaleza = 'NO OFICIAL') >= 30))
+    WHEN 'tendencia_tic' THEN (SELECT count(DISTINCT fami_tieneinternet) FROM exam_lines WHERE fami_tieneinternet IS NOT NULL) ELSE 0 END::BIGINT AS filas)"""
+          .replace("SUBJECT_COUNT", str(len(SUBJECTS))))
 def s09(spark, sf):
-    base = _tmp(spark, "results")
-    t = H.subject_tests(exam_lines(spark, sf), SUBJECTS, "cole_naturaleza")
-    FS.write_result(t, base, "brecha_por_materia")
-    got = FS.read_results(spark, base, ["brecha_por_materia", "anova_estratos"])
-    avail = spark.createDataFrame([(k, v is not None) for k, v in got.items()], "tabla string, disponible boolean")
-    filas = got["brecha_por_materia"].count()
-    return avail.withColumn("filas", F.lit(filas).cast("long"))
+    """The four statistics tables written and read back, with the rows of
+    each; one that was not written is not available."""
+    base, lines, orders = _tmp(spark, "results"), exam_lines(spark, sf), exam_orders(spark, sf)
+    FS.write_result(H.subject_tests(lines, SUBJECTS, "cole_naturaleza"), base, "brecha_por_materia")
+    FS.write_result(H.anova(orders, "punt_global", "fami_estratovivienda"), base, "anova_estratos")
+    FS.write_result(H.stratified_tests(orders, "punt_global", "cole_naturaleza", "fami_estratovivienda"), base, "brecha_por_estrato")
+    FS.write_result(H.trend(lines, "punt_ingles", "punt_global", by="fami_tieneinternet"), base, "tendencia_tic")
+    got = FS.read_results(spark, base, ["brecha_por_materia", "anova_estratos", "brecha_por_estrato", "tendencia_tic", "no_escrita"])
+    rows = [(k, v is not None, v.count() if v is not None else 0) for k, v in got.items()]
+    return spark.createDataFrame(rows, "tabla string, disponible boolean, filas long")

@@ -141,9 +141,18 @@ def t05p(spark, sf):
     return H.anova(exam_orders(spark, sf), "punt_global", "fami_estratovivienda")
 
 
-@register("T06_region_insight")
+@register("T06_region_insight", """, p1 AS (SELECT *, """ + S.zone_residence("cole_area_ubicacion") + """ AS Area FROM exam_orders
+  WHERE cole_area_ubicacion IS NOT NULL AND upper(cole_area_ubicacion) NOT IN ('SIN INFORMACIÓN', 'SIN INFORMACION', 'NAN')),
+g AS (SELECT cole_mcpio_ubicacion, avg(punt_global) FILTER (Area = 'Urbano') - avg(punt_global) FILTER (Area = 'Rural') AS d,
+  count(punt_global) FILTER (Area = 'Urbano') AS n_a, count(punt_global) FILTER (Area = 'Rural') AS n_b FROM p1 GROUP BY 1)
+SELECT cole_mcpio_ubicacion, round_even(d, 1) AS brecha, n_a, n_b FROM g WHERE n_a >= 2 AND n_b >= 2""")
 def t06(spark, sf):
-    return H.region_insight(_p1_frame(spark, sf), "punt_global", "Area", "cole_mcpio_ubicacion", "NATION_2")
+    return H.region_insight(_p1_frame(spark, sf), "punt_global", "Area", "cole_mcpio_ubicacion").drop("p_valor", "significancia")
+
+
+@register("T06_region_significance")
+def t06p(spark, sf):
+    return H.region_insight(_p1_frame(spark, sf), "punt_global", "Area", "cole_mcpio_ubicacion")
 
 
 _OLS_NUM = ["punt_matematicas", "punt_lectura_critica", "punt_c_naturales"]

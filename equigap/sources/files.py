@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -51,7 +52,8 @@ def read_region_dim(spark: SparkSession, path: str, sep: str | None = None) -> D
         elif "%" in c or c.lower().startswith("particip"):
             out.append(F.regexp_replace(py_strip(F.col(f"`{c}`")), "%", "").try_cast("double").alias(c))
         elif c.lower().startswith("pib") or c.lower().startswith("poblacion"):
-            out.append(F.regexp_replace(py_strip(F.col(f"`{c}`")), ",", "").try_cast("double").alias(c))
+            # a decimal comma is no number: null
+            out.append(py_strip(F.col(f"`{c}`")).try_cast("double").alias(c))
         else:
             out.append(F.col(f"`{c}`"))
     return df.select(*out)
@@ -73,24 +75,25 @@ def write_clean(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_result(df: DataFrame, base: str, name: str, fmt: str = "csv") -> str:
-    """Write one statistics table (small: one partition) under ``base``."""
+    """Write one statistics table under ``base``."""
     path = f"{base.rstrip('/')}/{name}"
-    write_clean(df.coalesce(1), path, fmt=fmt)
+    write_clean(df, path, fmt=fmt)
     return path
 
 
 def read_results(spark: SparkSession, base: str, names: list[str], fmt: str = "csv") -> dict[str, DataFrame | None]:
     """Read the statistics tables back; a missing table maps to None
-    (the availability flag)."""
+    (the availability flag); any other failure is raised."""
     out: dict[str, DataFrame | None] = {}
     for n in names:
         path = f"{base.rstrip('/')}/{n}"
         try:
             r = spark.read.option("header", True).option("inferSchema", True).csv(path) if fmt == "csv" \
                 else spark.read.parquet(path)
-            r.schema  # noqa: B018 - forces path resolution
             out[n] = r
-        except Exception:  # AnalysisException: path does not exist
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             out[n] = None
     return out
 
@@ -101,5 +104,5 @@ def distinct_regions(df: DataFrame, col: str) -> DataFrame:
 
 
 def export_regions(df: DataFrame, col: str, path: str) -> None:
-    """S11 sink: the sorted list as one UTF-8 CSV file."""
-    distinct_regions(df, col).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """S11 sink: the sorted list as UTF-8 CSV, its files in order."""
+    distinct_regions(df, col).write.mode("overwrite").option("header", True).csv(path)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Run-log keys read into the run table.
-METRIC_KEYS = ["rmse", "mae", "r2", "accuracy", "f1", "roc_auc", "f1_macro", "log_loss"]
+METRIC_KEYS = ["rmse", "mae", "r2", "accuracy", "precision", "recall", "f1", "roc_auc", "f1_macro", "log_loss", "epochs_run"]
 PARAM_KEYS = ["name", "layers", "dropout", "activation", "optimizer", "learning_rate", "epochs", "batch_size", "loss"]
 TAG_KEYS = ["task", "feature_set", "model_name", "selected_vars"]
 
@@ -23,7 +23,8 @@ _PATH_RE = r"/([^/]+)/([^/]+)/(metrics|params|tags)/([^/]+)$"
 
 def read_run_facts(spark: SparkSession, root: str) -> DataFrame:
     """Long table of every metric / param / tag file.  A metric file holds
-    ``timestamp value step`` lines; its latest value (max timestamp) wins."""
+    ``timestamp value step`` lines; its latest value wins: by timestamp, then
+    step, then place in the file."""
     raw = spark.read.text(f"{root.rstrip('/')}/*/*/{{metrics,params,tags}}/*", wholetext=True).select(
         F.col("value").alias("content"), F.col("_metadata.file_path").alias("path")
     )
@@ -36,9 +37,11 @@ def read_run_facts(spark: SparkSession, root: str) -> DataFrame:
     )
     lines = F.filter(F.split(F.col("content"), "\n"), lambda x: F.trim(x) != "")
     latest = F.array_max(
-        F.transform(lines, lambda ln: F.struct(
+        F.transform(lines, lambda ln, i: F.struct(
             F.split(F.trim(ln), " ")[0].try_cast("long").alias("ts"),
-            F.split(F.trim(ln), " ")[1].alias("v"),
+            F.get(F.split(F.trim(ln), " "), F.lit(2)).try_cast("long").alias("step"),
+            i.alias("place"),
+            F.get(F.split(F.trim(ln), " "), F.lit(1)).alias("v"),
         ))
     )["v"]
     value = F.when(F.col("kind") == "metrics", latest).otherwise(F.col("content"))
@@ -81,9 +84,8 @@ def pivot_runs(facts: DataFrame, meta: DataFrame, metric_keys: list[str] = METRI
     return meta.join(wide, ["experiment_id", "run_id"], "left")
 
 
-def read_runs(spark: SparkSession, root: str, max_runs: int | None = 200, experiment_id: str | None = None) -> DataFrame:
-    """Run table, newest first, at most ``max_runs`` (the reference's
-    search cap: a top-k of runs by start time)."""
+def read_runs(spark: SparkSession, root: str, max_runs: int | None = None, experiment_id: str | None = None) -> DataFrame:
+    """Run table, newest first; of the ``max_runs`` latest if given."""
     runs = pivot_runs(read_run_facts(spark, root), read_run_meta(spark, root))
     if experiment_id is not None:
         runs = runs.where(F.col("experiment_id") == experiment_id)

@@ -132,10 +132,13 @@ def anova(df: DataFrame, metric: str, group: str, groups: list[str] | None = Non
 def region_insight(df: DataFrame, metric: str, zone: str, region_col: str | None = None, region: str | None = None,
                    a: str = "Urbano", b: str = "Rural") -> DataFrame:
     """A - b gap (1 decimal) with Welch p and SIGNIFICATIVA / NO
-    significativa; no row when either side has fewer than 2 rows."""
+    significativa; no row when either side has fewer than 2 rows.  With a
+    region column and no region one row per region, in one pass."""
     base = df if region is None or region in ("TODOS", "Todos") else df.where(F.col(region_col) == region)
-    r = welch(base, metric, zone, a, b).where((F.col("n_a") >= 2) & (F.col("n_b") >= 2))
+    each = region_col if region is None and region_col else None
+    r = welch(base, metric, zone, a, b, [each] if each else None).where((F.col("n_a") >= 2) & (F.col("n_b") >= 2))
     return r.select(
+        *([each] if each else []),
         F.bround(F.col("mean_a") - F.col("mean_b"), 1).alias("brecha"),
         F.col("p_valor"),
         F.when(F.col("p_valor") < 0.05, "SIGNIFICATIVA").otherwise("NO significativa").alias("significancia"),
