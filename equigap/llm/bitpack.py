@@ -41,7 +41,7 @@ from .quality import slices
 from .tokens import encoder, with_end
 from .util import Scratch, shuffle_partitions
 
-END_ID, FILE_IDS, BLOCK_IDS, SLICE = 0, 4 << 20, 1 << 16, 7 << 20
+END_ID, FILE_IDS, BLOCK_IDS, SLICE, CACHE = 0, 4 << 20, 1 << 16, 7 << 20, 750_000
 HEAD = struct.Struct("<4sHHIIQQII")
 MAGIC, VERSION = b"IDPK", 1
 
@@ -128,7 +128,7 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str, id_col: str = "d
     rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
 
     def files(batches):
-        code, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        code, part, seq = encoder(tokenizer, CACHE), TaskContext.get().partitionId(), 0
         bits = bits_for(max(code.tokenizer.get_vocab_size(), end_id + 1))
         names, counts, ids, held = [], [], [], 0
 

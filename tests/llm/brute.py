@@ -73,18 +73,21 @@ def levenshtein(a: str, b: str) -> int:
 
 
 def similar(a: str, b: str) -> bool:
+    if max(len(a), len(b)) > 512:  # word by word; what stands for a word does not matter
+        letters = {}
+        a, b = ("".join(chr(0x3400 + letters.setdefault(w, len(letters))) for w in x.split(" ")) for x in (a, b))
     most = int(max(len(a), len(b)) * (1 - 0.8) + 1e-9)
     return abs(len(a) - len(b)) <= most and levenshtein(a, b) <= most
 
 
 def line_hash(line: str) -> int:
-    """SimHash of the 24 distinct words with the least hashes, as signed numbers."""
+    """SimHash of the 12 distinct words with the least hashes, as signed numbers."""
     hashes = {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in line.split(" ")}
-    return majority(sorted(hashes, key=lambda h: h - (h >> 63 << 64))[:24])
+    return majority(sorted(hashes, key=lambda h: h - (h >> 63 << 64))[:12])
 
 
 def line_dedup(rows) -> list[tuple[int, int, str]]:
-    """(lines, removed lines, text left) of each row; lines under 2,000 characters."""
+    """(lines, removed lines, text left) of each row."""
     occurrences = []
     for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)):
         for k, line in enumerate((rows[i][1] or "").split("\n")):
@@ -93,7 +96,7 @@ def line_dedup(rows) -> list[tuple[int, int, str]]:
                 occurrences.append((i, k, line))
     texts = list(dict.fromkeys(line for *_, line in occurrences))
     fps = [line_hash(t) for t in texts]
-    group = groups(len(texts), ((a, b) for a, b in near(fps) if similar(texts[a], texts[b])))
+    group = groups(len(texts), ((a, b) for a, b in near(fps, 2) if similar(texts[a], texts[b])))
     place, seen, gone = {t: group[i] for i, t in enumerate(texts)}, set(), defaultdict(set)
     for i, k, line in occurrences:
         if place[line] in seen:
