@@ -119,7 +119,7 @@ def test_lab_persist_and_scenarios(spark, tmp_path):
     df = _frame(spark)
     runs, best, models = labs.run_lab(spark, df, "regresion", "y", ["id"], {"s": (["x"], ["c"])},
                                       configs={"LinearRegression": LinearRegression(),
-                                               "broken": LinearRegression(labelCol="nope")})
+                                               "broken": LinearRegression(labelCol="nope")}, tolerant=True)
     rows = {r.model: r for r in runs.collect()}
     assert rows["broken"].error is not None and rows["LinearRegression"].r2 > 0.9  # failures counted, not raised
     assert best["model"] == "LinearRegression"
