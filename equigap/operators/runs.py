@@ -46,7 +46,6 @@ def best_runs(runs: DataFrame, r2_tiebreak: bool = True) -> DataFrame:
 
 
 # Display labels of the ranking metrics.
-METRIC_LABELS = {"rmse": "RMSE", "f1_macro": "F1 macro", "f1": "F1"}
 
 
 def top_runs(runs: DataFrame, n: int = 2) -> DataFrame:
