@@ -45,9 +45,6 @@ def best_runs(runs: DataFrame, r2_tiebreak: bool = True) -> DataFrame:
                     F.bround("__v", 4).alias("metric_value"), "run_id")
 
 
-# Display labels of the ranking metrics.
-
-
 def top_runs(runs: DataFrame, n: int = 2) -> DataFrame:
     """Top-n runs per task with rank and metric label."""
     r = _ranked(runs).where(F.col("rank") <= n)
