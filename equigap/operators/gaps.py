@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
 from equigap.operators.quantiles import cell_quantiles, quantiles_of, ranked_counts
-from equigap.operators.util import metric_order, one_row, unpivot_metrics
+from equigap.operators.util import aggregate_metrics, metric_order, one_row, unpivot_metrics
 
 
 def _nn(*cols: str) -> Column:
@@ -105,26 +105,19 @@ def region_vs_all(df: DataFrame, metric: str, region_col: str, zone: str, region
 def subject_gaps(df: DataFrame, subjects: dict[str, str], group: str, a: str = "Privado", b: str = "Público") -> DataFrame:
     """Per subject private mean, public mean and difference (each rounded
     to 1; the difference from unrounded means); null triple if a side is
-    empty.  One pass: unpivot the subjects, then conditional averages."""
-    names = list(subjects)
-    long = unpivot_metrics(df.withColumnRenamed(group, "__g"), ["__g"], list(subjects.values()), "col", "v")
-    name_of = None
+    empty.  One pass of conditional averages."""
+    side = lambda x: lambda v: F.avg(F.when(F.col(group) == x, v))
+    g = aggregate_metrics(df, [], list(subjects.values()), {"__a": side(a), "__b": side(b)}, "col")
+    materia = None
     for k, v in subjects.items():
-        name_of = F.when(F.col("col") == v, k) if name_of is None else name_of.when(F.col("col") == v, k)
-    g = long.where(F.col("v").isNotNull() & F.col("__g").isNotNull()).groupBy("col").agg(
-        F.avg(F.when(F.col("__g") == a, F.col("v"))).alias("__a"),
-        F.avg(F.when(F.col("__g") == b, F.col("v"))).alias("__b"),
-    )
+        materia = F.when(F.col("col") == v, k) if materia is None else materia.when(F.col("col") == v, k)
     both = F.col("__a").isNotNull() & F.col("__b").isNotNull()
-    out = g.select(
-        name_of.alias("materia"),
+    return g.select(
+        materia.alias("materia"),
         F.when(both, F.bround(F.col("__a") - F.col("__b"), 1)).alias("brecha"),
         F.when(both, F.bround(F.col("__b"), 1)).alias("media_publico"),
         F.when(both, F.bround(F.col("__a"), 1)).alias("media_privado"),
     )
-    # subjects with no rows at all still get a null row
-    all_names = df.sparkSession.createDataFrame([(n,) for n in names], "materia string")
-    return all_names.join(out, "materia", "left")
 
 
 def region_type_gap(df: DataFrame, metric: str, region: str, group: str, lat: str = "lat", lon: str = "lon",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.functions.text import normalize_key
 from equigap.operators.quantiles import quantile_row
-from equigap.operators.util import metric_order, one_row, one_row_frame, unpivot_metrics
+from equigap.operators.util import aggregate_metrics, metric_order, one_row, one_row_frame
 
 # Default cut points of the insight batch.
 DEFAULT_QS = (0.1, 0.25, 0.5, 0.75, 0.9)
@@ -67,6 +67,10 @@ def standardized_means(df: DataFrame, metric: str, group: str, strat: str, by: l
     by = by or []
     base = df.where(F.col(metric).isNotNull() & F.col(group).isNotNull() & F.col(strat).isNotNull())
     cell = base.groupBy(*by, group, strat).agg(F.count("*").alias("__n"), F.avg(metric).alias("__m"))
+    return _standardised(cell, group, strat, by)
+
+
+def _standardised(cell: DataFrame, group: str, strat: str, by: list[str]) -> DataFrame:
     cell = cell.withColumn("__ns", F.sum("__n").over(Window.partitionBy(*by, strat)))
     return cell.groupBy(*by, group).agg(
         (F.sum(F.col("__m") * F.col("__ns")) / F.sum("__ns")).alias("ajustado")
@@ -75,11 +79,12 @@ def standardized_means(df: DataFrame, metric: str, group: str, strat: str, by: l
 
 def adjusted_gaps(df: DataFrame, metrics: list[str], group: str, strat: str, a: str = "PRIVADO",
                   b: str = "PUBLICO") -> DataFrame:
-    """Stratum-adjusted a - b gap for every metric (one pass over the
-    unpivoted metrics), only where both groups exist; ``is_max`` marks the
+    """Stratum-adjusted a - b gap for every metric (one pass of
+    conditional aggregates), only where both groups exist; ``is_max`` marks the
     metric with the largest |gap| (first in metric order on ties)."""
-    long = unpivot_metrics(df, [group, strat], metrics, "metric", "__v")
-    adj = standardized_means(long, "__v", group, strat, by=["metric"])
+    base = df.where(F.col(group).isNotNull() & F.col(strat).isNotNull())
+    cell = aggregate_metrics(base, [group, strat], metrics, {"__n": F.count, "__m": F.avg}).where("__n > 0")
+    adj = _standardised(cell, group, strat, ["metric"])
     g = adj.groupBy("metric").agg(
         F.max(F.when(F.col(group) == a, F.col("ajustado"))).alias("privado_ajustado"),
         F.max(F.when(F.col(group) == b, F.col("ajustado"))).alias("publico_ajustado"),

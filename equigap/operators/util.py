@@ -16,6 +16,15 @@ def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str], name: str
     return cast.unpivot(ids, metrics, name, value)
 
 
+def aggregate_metrics(df: DataFrame, keys: list[str], metrics: list[str], aggs: dict, name: str = "metric") -> DataFrame:
+    """``keys``, metric and one column per aggregate (a function of the metric's
+    column), a row per metric.  Facts are read once as they are; only the
+    aggregated rows are turned into one per metric."""
+    wide = df.groupBy(*keys).agg(*[fn(F.col(m).cast("double")).alias(f"__{i}_{k}") for i, m in enumerate(metrics) for k, fn in aggs.items()])
+    rows = [F.struct(F.lit(m).alias(name), *[F.col(f"__{i}_{k}").alias(k) for k in aggs]) for i, m in enumerate(metrics)]
+    return wide.select(*keys, F.inline(F.array(*rows)))
+
+
 def metric_order(name_col: Column, metrics: list[str]) -> Column:
     """Position (0-based) of a metric name in a fixed list."""
     out = None

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
-from equigap.operators.util import unpivot_metrics
+from equigap.operators.util import aggregate_metrics
 from equigap.stats.tails import f_pvalue, t_pvalue
 
 # Group labels of the P2 statistics script.
@@ -30,6 +30,13 @@ def _group_stats(df: DataFrame, value: str, group: str, a: str, b: str, keys: li
     )
 
 
+def _tested(s: DataFrame) -> DataFrame:
+    """Group statistics with t, df, cohen_d, p_valor and diferencia."""
+    w = welch_columns()
+    s = s.withColumn("t", w["t"]).withColumn("df", w["df"]).withColumn("cohen_d", w["d"])
+    return s.withColumn("p_valor", t_pvalue(F.col("t"), F.col("df"))).withColumn("diferencia", F.col("mean_b") - F.col("mean_a"))
+
+
 def welch_columns() -> dict[str, Column]:
     """t, df (Welch-Satterthwaite) and Cohen's d from the summary columns;
     the sign is a - b for both t and d."""
@@ -48,23 +55,19 @@ def welch_columns() -> dict[str, Column]:
 def welch(df: DataFrame, metric: str, group: str, a: str = PUBLIC, b: str = PRIVATE, keys: list[str] | None = None) -> DataFrame:
     """T01 + T02: Welch t (a - b), df, two-sided p, Cohen's d (a - b) and the
     private - public style difference (b - a), per key (or one row)."""
-    keys = keys or []
-    s = _group_stats(df, metric, group, a, b, keys)
-    w = welch_columns()
-    s = s.withColumn("t", w["t"]).withColumn("df", w["df"]).withColumn("cohen_d", w["d"])
-    return s.withColumn("p_valor", t_pvalue(F.col("t"), F.col("df"))).withColumn(
-        "diferencia", F.col("mean_b") - F.col("mean_a")
-    )
+    return _tested(_group_stats(df, metric, group, a, b, keys or []))
 
 
 def subject_tests(df: DataFrame, subjects: dict[str, str], group: str, a: str = PUBLIC, b: str = PRIVATE) -> DataFrame:
-    """Welch test per subject (one pass over the unpivoted subjects);
+    """Welch test per subject (one pass of conditional aggregates);
     means rounded 2, t and d rounded 4, sorted by gap descending."""
-    long = unpivot_metrics(df, [group], list(subjects.values()), "__col", "__v")
+    of = lambda side, fn: lambda v: fn(F.when(F.col(group) == side, v))
+    aggs = {f"{k}_{x}": of(side, fn) for x, side in (("a", a), ("b", b)) for k, fn in (("n", F.count), ("mean", F.avg), ("var", F.var_samp))}
+    long = aggregate_metrics(df, [], list(subjects.values()), aggs | {"values": F.count}, "__col").where(F.col("values") > 0)
     name = None
     for k, v in subjects.items():
         name = F.when(F.col("__col") == v, k) if name is None else name.when(F.col("__col") == v, k)
-    r = welch(long.withColumn("Materia", name), "__v", group, a, b, keys=["Materia"])
+    r = _tested(long.withColumn("Materia", name))
     return r.select(
         "Materia",
         F.bround("mean_a", 2).alias("Publico"),
