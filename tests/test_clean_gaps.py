@@ -157,3 +157,19 @@ def test_one_row_helpers_and_grid(spark):
     g = scenario_grid(spark.createDataFrame([("g",)], "target string"), spark.range(3).withColumnRenamed("id", "s"),
                       spark.range(2).withColumnRenamed("id", "k"), {"p": "x"})
     assert g.count() == 6 and set(g.columns) == {"target", "s", "k", "p"}
+
+
+def test_dedup_needs_an_order_and_keeps_null_orders(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, None, "c"), (None, 1, "d")], "k int, o int, v string")
+    assert sorted(r.v for r in C.dedup(df, "k", ["o"]).collect()) == ["b", "c", "d"]
+    with pytest.raises(ValueError):
+        C.dedup(df, "k")
+
+
+def test_audit_without_id_and_with_padded_keys(spark):
+    rows = [("1", 10.0, 100.0), ("1", 10.0, 100.0), ("2", 20.0, 200.0), ("3", None, 100.0), (" 4", 30.0, 300.0), ("4", 30.0, 300.0)]
+    df = spark.createDataFrame(rows, "estu_consecutivo string, punt_ingles double, punt_global double")
+    for frame, roles in ((df, Roles()), (df.drop("estu_consecutivo"), Roles())):
+        clean = C.clean_scores(frame, roles, ["punt_ingles"], ["punt_global"])
+        audit = C.clean_audit(frame, roles, ["punt_ingles"], ["punt_global"]).first()
+        assert tuple(audit) == (6, 5, clean.count())

@@ -155,3 +155,24 @@ def test_residence_frame(spark):
     df = spark.createDataFrame(rows, "cole_mcpio_ubicacion string, estu_areareside string, fami_estratovivienda string")
     out = residence_frame(df, Roles(residence="estu_areareside"))
     assert [tuple(r) for r in out.select("cole_mcpio_ubicacion", "Area").collect()] == [("CABECERA", "Urbano")]
+
+
+def test_ridge_and_lasso_as_closed_forms(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(1)
+    x, n = rng.normal(0, 1, 40), 40
+    y = 3 * x + rng.normal(0, 2, n)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, label double")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    xc, yc = x - x.mean(), y - y.mean()
+    models = labs.regression_catalogue(rows=n, deviation=float(y.std()))
+    assert models["Ridge"].fit(df).coefficients[0] == pytest.approx((xc @ yc) / (xc @ xc + 1.0), rel=1e-4)
+    assert models["Lasso"].fit(df).coefficients[0] == pytest.approx((xc @ yc - n * 0.001) / (xc @ xc), rel=1e-3)
+
+
+def test_stratified_split_is_exact(spark):
+    df = spark.range(1000).withColumn("c", F.when(F.col("id") % 10 == 0, "rare").otherwise("usual"))
+    got = {(r.c, r.is_train): r["count"] for r in split(df, ["id"], 0.8, strata="c").groupBy("c", "is_train").count().collect()}
+    assert got == {("rare", True): 80, ("rare", False): 20, ("usual", True): 720, ("usual", False): 180}

@@ -13,6 +13,7 @@ def test_region_dim_bom_padded_semicolon(spark, tmp_path):
     assert "" not in d.columns and "Municipio" in d.columns and "Poblacion" in d.columns
     rows = {r.Municipio: r for r in d.collect()}
     assert set(rows) == {"MEDELLÍN", "ABEJORRAL", "ANTIOQUIA"}
+    assert rows["MEDELLÍN"]["PIB miles de millones"] is None  # a decimal comma is no number
     assert rows["ABEJORRAL"]["Participacion %"] == 0.1 and rows["ABEJORRAL"]["PIB miles de millones"] == 0.2
 
 
@@ -41,3 +42,15 @@ def test_region_dim_comma_share_and_total_row(spark, tmp_path):
     r = {x.Municipio: x for x in d.collect()}
     assert r["CIUDAD A"]["Peso relativo municipal (%)"] == 40.34
     assert r["PUEBLO B"]["PIB miles de millones"] == 2429.08 and r["PUEBLO B"]["Poblacion"] == 21030.0
+
+
+def test_missing_result_is_unavailable_and_other_failures_raise(spark, tmp_path):
+    import pytest
+
+    FS.write_result(spark.range(3), str(tmp_path), "there")
+    got = FS.read_results(spark, str(tmp_path), ["there", "not_there"])
+    assert got["there"].count() == 3 and got["not_there"] is None
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        FS.read_results(spark, str(tmp_path), ["broken"], fmt="parquet")

@@ -106,3 +106,49 @@ def test_trend_matches_polyfit(spark):
     r = H.trend(df, "x", "y").first()
     slope, icpt = np.polyfit(x, y, 1)
     assert (r.slope, r.intercept) == pytest.approx((slope, icpt)) and r.n == 100
+
+
+def test_ols_wide_scales_dummy_and_dependent_column(spark):
+    """A 1e9 column, a dummy and a dependent column: rank, coefficients, R2 and
+    t as numpy gives them for the scaled design."""
+    from equigap.stats.ols import fit, moments
+
+    rng = np.random.default_rng(0)
+    n = 3000
+    a, g, b = rng.uniform(5.6e7, 9e8, n), rng.integers(0, 2, n), rng.integers(0, 3, n)
+    lev = np.array(["p", "q", "r"])[rng.integers(0, 3, n)]
+    y = 200 + 1e-8 * a + 32 * g + 5 * (lev == "r") + rng.normal(0, 20, n)
+    rows = [(float(p), int(q), int(r), int(q + r), str(s), float(t)) for p, q, r, s, t in zip(a, g, b, lev, y)]
+    df = spark.createDataFrame(rows, "a double, g int, b int, gb int, lev string, y double").repartition(5)
+    f = fit(moments(df, "y", ["a", "g", "b", "gb"], ["lev"])[0])
+    x = np.column_stack([np.ones(n), a, g, b, g + b, lev == "q", lev == "r"]).astype(float)
+    scale = np.abs(x).max(0)
+    want = np.linalg.lstsq(x / scale, y, rcond=1e-12)[0] / scale
+    null = np.array([0, 0, 1, 1, -1, 0, 0]) / math.sqrt(3)
+    want -= null * (null @ want)
+    rss = ((y - x @ want) ** 2).sum()
+    assert f.rank == 6 and f.beta == pytest.approx(want, rel=1e-6, abs=1e-9)
+    assert f.rss == pytest.approx(rss) and f.r2 == pytest.approx(1 - rss / ((y - y.mean()) ** 2).sum())
+    free = (x / scale)[:, [0, 1, 2, 3, 5, 6]]
+    se = math.sqrt(np.linalg.inv(free.T @ free)[1, 1] * rss / (n - 6)) / scale[1]
+    assert {r[0]: r[2] for r in f.t_table()}["a"] == pytest.approx(want[1] / se)
+
+
+def test_ols_categorical_is_anova(spark):
+    df, a, b = _groups(spark)
+    g = df.withColumn("s", F.when(F.col("g") == "OFICIAL", "Estrato 1").otherwise("Estrato 2"))
+    _, _, f = ols(spark, g, "v", [], ["s"], ["s"])
+    assert f.first().p_value == pytest.approx(H.anova(g, "v", "s").first().p_valor, rel=1e-6)
+
+
+def test_ols_many_levels(spark):
+    from equigap.stats.ols import fit, moments
+
+    df = spark.range(40_000).selectExpr("concat('l', id % 1000) as c", "id % 1000 + rand(1) as y", "rand(2) as x")
+    f = fit(moments(df, "y", ["x"], ["c"])[0])
+    assert f.rank == 1001 and f.r2 > 0.999
+
+
+def test_ols_no_rows(spark):
+    summary, t, f = ols(spark, spark.createDataFrame([], "y double, x double"), "y", ["x"], [], ["x"])
+    assert summary.first().n_obs == 0
