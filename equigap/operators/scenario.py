@@ -27,12 +27,12 @@ def score(model: PipelineModel, rows: DataFrame, kind: str = "regresion", lo: fl
 def score_scenarios(model: PipelineModel, scenarios: DataFrame, id_col: str = "scenario_id", side_col: str = "side",
                     kind: str = "regresion") -> DataFrame:
     """Score A and B rows of each scenario and report B - A deltas
-    (a self-join of the scored rows on the scenario id)."""
+    (the rows are scored once and paired by the scenario id)."""
     s = score(model, scenarios, kind)
     val = "score" if kind == "regresion" else "proba"
-    a = s.where(F.col(side_col) == "A").select(id_col, F.col(val).alias("a"))
-    b = s.where(F.col(side_col) == "B").select(id_col, F.col(val).alias("b"))
-    return a.join(b, id_col).withColumn("delta", F.bround(F.col("b") - F.col("a"), 4))
+    side = lambda x: F.max(F.when(F.col(side_col) == x, F.col(val)))
+    both = s.groupBy(id_col).agg(side("A").alias("a"), side("B").alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    return both.withColumn("delta", F.bround(F.col("b") - F.col("a"), 4))
 
 
 def scenario_inputs(form: DataFrame, gdp: DataFrame | None = None, region_col: str = "municipio") -> DataFrame:

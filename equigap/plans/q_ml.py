@@ -232,8 +232,7 @@ def x04(spark, sf):
     return X.zone_impact(model, d.select("punt_sociales_ciudadanas", "Area", "cole_naturaleza", "fami_estratovivienda"))
 
 
-@register("X05_tic_impact")
-def x05(spark, sf):
+def _tic_impact(spark: SparkSession, sf: str):
     from equigap.operators.clean import modeling_frame
     from equigap.roles import Roles
 
@@ -241,7 +240,12 @@ def x05(spark, sf):
                                                               "tic_score", "tic_interaccion")
     stages = fit_prep_stages(m, ["internet_flag", "computador_flag", "tic_score", "tic_interaccion"], [])
     model = Pipeline(stages=stages + [LinearRegression(labelCol="punt_ingles")]).fit(m)
-    return X.tic_impact(model, m)
+    return X.tic_impact(model, m, features=["internet_flag", "computador_flag", "tic_score", "tic_interaccion"])
+
+
+@register("X05_tic_impact")
+def x05(spark, sf):
+    return _tic_impact(spark, sf)
 
 
 @register("X06_adjusted_gap_table")
@@ -295,11 +299,13 @@ def x02(spark, sf):
 @register("X08_result_facts")
 def x08(spark, sf):
     from equigap.operators.runs import best_runs
+    from equigap.operators.util import one_row_frame
     from equigap.plans.q_runs import runs_table
 
     d, model = _fit_orders_model(spark, sf)
-    imp = X.zone_impact(model, d.select("punt_sociales_ciudadanas", "Area", "cole_naturaleza", "fami_estratovivienda"))
-    return X.result_facts(best_runs(runs_table(spark, sf)), imp)
+    zone = X.zone_impact(model, d.select("punt_sociales_ciudadanas", "Area", "cole_naturaleza", "fami_estratovivienda"))
+    impacts = [zone.select(F.col("impacto_medio").alias("impacto_zona")), _tic_impact(spark, sf).select(F.col("impacto_medio").alias("impacto_tic"))]
+    return X.result_facts(best_runs(runs_table(spark, sf)), one_row_frame(spark, impacts))
 
 
 @register("S12_S13_save_load_best", "SELECT CAST(count(*) AS BIGINT) AS n, 'punt_global' AS target FROM exam_orders")
