@@ -32,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Scratch, fresh, schema_with
+from .util import Scratch, fresh, plain_spaces, schema_with
 
 MIN_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 SYMBOLS = "[#*$%&|<>]"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -116,8 +116,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     rows = rows.withColumn("digest", F.unhex(F.md5("text")))
     base = scratch.write(with_counts(rows.withColumn("row", F.monotonically_increasing_id()), "text"), "base")
 
-    line = F.regexp_replace(F.regexp_replace(F.lower("line"), "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")
-    lines = rows.select("host", "digest", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.trim(line)).where("line != ''")
+    # Texts are normalised before they are cut into lines, once each.
+    folded = plain_spaces(F.regexp_replace(F.lower("text"), "[0-9]+", "0"))
+    lines = rows.select("host", "digest", folded.alias("text")).select("host", "digest", F.explode(F.split("text", "\n")).alias("line"))
+    lines = lines.select("host", "digest", F.trim("line").alias("line")).where("line != ''")
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     lines = scratch.write(lines.select("host", "digest", F.xxhash64("line").alias("line"), words.cast("long").alias("words"))
                           .groupBy("host", "digest", "line").agg(F.max("words").alias("words"), F.count("*").alias("times")), "lines")

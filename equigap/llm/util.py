@@ -68,6 +68,17 @@ def schema_with(df: DataFrame, **more: str) -> T.StructType:
     """``df``'s schema with more columns, given as name=type."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in more.items())).fields])
 
+
+def plain_spaces(text: Column) -> Column:
+    """``text`` with runs of white space other than line ends as one space.
+    Most texts have single spaces only, which costs a search less than a
+    regular expression."""
+    odd = F.lit(False)
+    for run in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains(text, F.lit(run))
+    return F.when(odd, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(text)
+
+
 #: Bytes that a table may take to be broadcast; beyond that it is shuffled.
 BROADCAST_BYTES = 32 << 20
 
