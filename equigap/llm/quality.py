@@ -36,7 +36,7 @@ from .util import Scratch, fresh, plain_spaces, schema_with
 
 MIN_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 SYMBOLS = "[#*$%&|<>]"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
