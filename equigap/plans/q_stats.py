@@ -129,6 +129,19 @@ def t08a(spark, sf):
     return r6(t.select("coef", "t_stat"), "coef", "t_stat")
 
 
+@register("T08_ols_two_predictors", """, s AS (SELECT count(*) AS n, covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(a, b) AS ab,
+  covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y, covar_pop(y, y) AS yy
+  FROM (SELECT punt_global AS y, punt_matematicas AS a, punt_ingles AS b FROM exam_lines)),
+f AS (SELECT *, aa * bb - ab * ab AS det, (bb * ay - ab * b_y) / (aa * bb - ab * ab) AS ca, (aa * b_y - ab * ay) / (aa * bb - ab * ab) AS cb FROM s),
+e AS (SELECT *, (yy - ca * ay - cb * b_y) / (n - 3) AS v FROM f)
+SELECT 'punt_matematicas' AS variable, round(ca, 6) AS coef, round(ca / sqrt(v * bb / det), 6) AS t_stat FROM e
+UNION ALL SELECT 'punt_ingles', round(cb, 6), round(cb / sqrt(v * aa / det), 6) FROM e""")
+def t08b(spark, sf):
+    x = ["punt_matematicas", "punt_ingles"]
+    _, t, _ = ols(spark, exam_lines(spark, sf), "punt_global", x, [], x)
+    return r6(t.select("variable", "coef", "t_stat"), "coef", "t_stat")
+
+
 # ------------------------------------------------ rows-only (p-values) ----
 
 @register("T09_welch_pvalues")
