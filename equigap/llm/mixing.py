@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import Scratch, fresh, word_count
+from .util import Scratch, fresh, small, word_count
 
 WEIGHTS, SHARE, MAX_COPIES, SEED = (3, 1, 2), 1.5, 2, "mix-1"
 #: Classes of the log rank: 64 to the unit between -32 and 32, then 4,096 in each.
@@ -147,6 +147,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     row, copies = fresh(docs, "mix_row", "mix_copies")
     taken = mix(docs, **options).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies))
     taken = Scratch(docs.sparkSession, "mixed").write(taken, "taken")
-    placed = docs.withColumn(row, F.monotonically_increasing_id()).join(taken, row)
+    placed = docs.withColumn(row, F.monotonically_increasing_id()).join(small(taken, 48), row)
     each = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copies)
     return placed.select(*[F.col(f"`{c}`") for c in docs.columns], each).drop(copies)

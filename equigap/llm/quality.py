@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import Scratch, fresh, plain_spaces, schema_with
+from .util import Scratch, fresh, plain_spaces, schema_with, small
 
 MIN_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -147,4 +147,4 @@ def clean(docs: DataFrame, **options) -> DataFrame:
     [row] = fresh(docs, "quality_row")
     kept = judge(docs, **options).where("kept").select(F.col("row").alias(row))
     kept = Scratch(docs.sparkSession, "quality-kept").write(kept, "kept")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").drop(row)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(small(kept, 32), row, "left_semi").drop(row)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .quality import slices
-from .util import Scratch, fresh, schema_with, shuffle_partitions
+from .util import Scratch, fresh, schema_with, shuffle_partitions, small
 
 SHINGLE, MAX_BITS, BLOCKS, HASH_SEED = 3, 3, 6, 42
 #: Reference fingerprints, and the largest cell compared as it is.
@@ -204,4 +204,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     found = linked(docs, id_col, **options)
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), "row")
     stay = scratch.write(found.groupBy("component").agg(F.min(order).alias("o")).select(F.col("o.row").alias(row)), "stay")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(stay, row, "left_semi").drop(row)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(small(stay, 32), row, "left_semi").drop(row)
