@@ -39,7 +39,7 @@ from .quality import slices
 from .tokens import encoder, with_end
 from .util import Scratch, fresh, schema_with
 
-CAPACITY, END_ID, SLICE = 2048, 0, 3 << 20
+CAPACITY, END_ID, SLICE = 2048, 0, 2 << 20
 STEPS = 4000
 
 Patterns = Counter  # of tuples of lengths, longest first

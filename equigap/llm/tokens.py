@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 300_000
+CACHE = 200_000
 #: Texts that a byte-level tokenizer gets whole: white space other than single
 #: spaces and line ends inside the text, by the widest definition.
 ODD = (r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}"
