@@ -5,7 +5,8 @@ A line that many documents of one host share is its furniture, not its
 content.  Lines are normalised (lower case, digit runs as 0, white space runs
 as one space) and hashed; per host the distinct documents that hold a line
 are counted; lines above the limit are removed, and a document left with less
-than ``min_left`` of its words is rejected.  The limit is the larger of
+than ``min_left`` of its words is rejected.  ``judge`` only counts what goes;
+``clean`` hands on the kept documents without these lines.  The limit is the larger of
 ``min_docs`` documents and ``max_share`` of the host's.  Exact copies count
 as one document: whether copies stay is for de-duplication to say, and their
 lines are no furniture.
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import Scratch, fresh, plain_spaces, schema_with, small
@@ -110,6 +111,17 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
           max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per input row: row (its place in the scan), ``id_col``, COUNTS,
     base_failed, removed_words, kept."""
+    return _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left)[0]
+
+
+def _folded(text: Column) -> Column:
+    """The text with its lines as they are compared, but for spaces at their ends."""
+    return plain_spaces(F.regexp_replace(F.lower(text), "[0-9]+", "0"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float,
+            min_left: float) -> tuple[DataFrame, DataFrame]:
+    """``judge``'s rows, and the lines above the limit of kept documents."""
     scratch = Scratch(docs.sparkSession, "quality")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), text.alias("text"))
@@ -117,8 +129,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     base = scratch.write(with_counts(rows.withColumn("row", F.monotonically_increasing_id()), "text"), "base")
 
     # Texts are normalised before they are cut into lines, once each.
-    folded = plain_spaces(F.regexp_replace(F.lower("text"), "[0-9]+", "0"))
-    lines = rows.select("host", "digest", folded.alias("text")).select("host", "digest", F.explode(F.split("text", "\n")).alias("line"))
+    lines = rows.select("host", "digest", _folded(F.col("text")).alias("text")).select("host", "digest", F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.select("host", "digest", F.trim("line").alias("line")).where("line != ''")
     words = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     lines = scratch.write(lines.select("host", "digest", F.xxhash64("line").alias("line"), words.cast("long").alias("words"))
@@ -137,14 +148,40 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce(F.col("removed"), F.lit(0))
-    return base.join(removed, F.expr("host <=> r_host and digest = r_digest"), "left").select(
+    judged = base.join(removed, F.expr("host <=> r_host and digest = r_digest"), "left").select(
         "row", F.col("id").alias(id_col), *COUNTS, failed.alias("base_failed"), gone.alias("removed_words"),
-        (~failed & (F.col("n_words") - gone >= min_left * F.col("n_words"))).alias("kept"))
-
-
-def clean(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the rules keep, with the input's columns."""
-    [row] = fresh(docs, "quality_row")
-    kept = judge(docs, **options).where("kept").select(F.col("row").alias(row))
-    kept = Scratch(docs.sparkSession, "quality-kept").write(kept, "kept")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(small(kept, 32), row, "left_semi").drop(row)
+        (~failed & (F.col("n_words") - gone >= min_left * F.col("n_words"))).alias("kept"), (gone > 0).alias("furnished"), "host", "digest")
+    holding = lines.join(often, F.expr("host <=> o_host and line = o_line")).select("host", "digest", "line")
+    return judged.drop("furnished", "host", "digest"), _furniture(judged, holding, scratch)
+
+
+def _furniture(judged: DataFrame, holding: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row per kept document with lines above the limit: f_row, f_lines (their
+    hashes)."""
+    of = holding.groupBy(F.col("host").alias("f_host"), F.col("digest").alias("f_digest")).agg(F.collect_set("line").alias("f_lines"))
+    kept = judged.where("kept and furnished").select(F.col("row").alias("f_row"), "host", "digest")
+    return kept.join(of, F.expr("host <=> f_host and digest = f_digest")).select("f_row", "f_lines")
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,
+          max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, chars_col: str = "n_chars") -> DataFrame:
+    """The documents that the rules keep, with the input's columns: texts without
+    the lines above the limit, in order, and ``chars_col``, if there is one,
+    following texts that lose lines."""
+    row, lines, f_row, f_lines = fresh(docs, "quality_row", "quality_lines", "quality_f_row", "quality_gone")
+    judged, furniture = _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left)
+    scratch = Scratch(docs.sparkSession, "quality-kept")
+    kept = scratch.write(judged.where("kept").select(F.col("row").alias(row)), "kept")
+    gone = scratch.write(furniture.select(F.col("f_row").alias(f_row), F.col("f_lines").alias(f_lines)), "furniture")
+    size = gone.agg(F.sum(F.size(f_lines) * 8 + 48)).first()[0] or 0
+    rows = docs.withColumn(row, F.monotonically_increasing_id()).join(small(kept, 32), row, "left_semi")
+    rows = rows.join(small(gone, size // max(1, gone.count()) + 1), F.col(row) == F.col(f_row), "left")
+    # Folding keeps line ends, so a line and its folded form have one number.
+    text = F.col(text_col).cast("string")
+    hashes = F.transform(F.split(_folded(text), "\n"), lambda x: F.xxhash64(F.trim(x)))
+    parted = F.arrays_zip(F.split(text, "\n").alias("line"), hashes.alias("hash"))
+    left = F.filter(parted, lambda x: ~F.array_contains(F.col(f_lines), x["hash"]))
+    rows = rows.withColumn(lines, F.when(F.col(f_lines).isNotNull(), F.array_join(F.transform(left, lambda x: x["line"]), "\n")))
+    out = {text_col: F.coalesce(lines, text_col), chars_col: F.coalesce(F.length(lines).cast(docs.schema[chars_col].dataType), chars_col)
+           if chars_col in docs.columns else None}
+    return rows.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns])
