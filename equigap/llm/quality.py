@@ -7,7 +7,9 @@ as one space) and hashed; per host the distinct documents that hold a line
 are counted; lines above the limit are removed, and a document left with less
 than ``min_left`` of its words is rejected.  ``judge`` only counts what goes;
 ``clean`` hands on the kept documents without these lines.  The limit is the larger of
-``min_docs`` documents and ``max_share`` of the host's.  Exact copies count
+``min_docs`` documents and ``max_share`` of the host's, this share being
+``max_docs`` documents at most, so that a line on many documents is furniture
+on a host of any size.  Exact copies count
 as one document: whether copies stay is for de-duplication to say, and their
 lines are no furniture.
 
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from .util import Scratch, fresh, plain_spaces, schema_with, small
 
 MIN_DOCS, MAX_SHARE, MIN_LEFT = 20, 0.01, 0.5
+#: Most documents that ``max_share`` of a host's may come to.
+MAX_DOCS = 100
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SLICE_BYTES = 1 << 20
 SYMBOLS = "[#*$%&|<>]"
@@ -108,10 +112,10 @@ def with_counts(rows: DataFrame, text: str) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,
-          max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+          max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS) -> DataFrame:
     """One row per input row: row (its place in the scan), ``id_col``, COUNTS,
     base_failed, removed_words, kept."""
-    return _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left)[0]
+    return _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)[0]
 
 
 def _folded(text: Column) -> Column:
@@ -120,7 +124,7 @@ def _folded(text: Column) -> Column:
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float,
-            min_left: float) -> tuple[DataFrame, DataFrame]:
+            min_left: float, max_docs: int) -> tuple[DataFrame, DataFrame]:
     """``judge``'s rows, and the lines above the limit of kept documents."""
     scratch = Scratch(docs.sparkSession, "quality")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -138,7 +142,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs
 
     hosts = copies.groupBy("host").agg(F.count("*").alias("host_docs")).withColumnRenamed("host", "h")
     often = lines.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
-    often = often.join(hosts, F.expr("host <=> h")).where(F.col("docs") > F.col("host_docs") * max_share)
+    often = often.join(hosts, F.expr("host <=> h")).where(F.col("docs") > F.least(F.col("host_docs") * max_share, F.lit(float(max_docs))))
     often = scratch.write(often.select(F.col("host").alias("o_host"), F.col("line").alias("o_line")), "often")
     removed = (lines.join(often, F.expr("host <=> o_host and line = o_line"))
                .groupBy("host", "digest").agg(F.sum(F.col("words") * F.col("times")).alias("removed")))
@@ -164,12 +168,12 @@ def _furniture(judged: DataFrame, holding: DataFrame, scratch: Scratch) -> DataF
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,
-          max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, chars_col: str = "n_chars") -> DataFrame:
+          max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS, chars_col: str = "n_chars") -> DataFrame:
     """The documents that the rules keep, with the input's columns: texts without
     the lines above the limit, in order, and ``chars_col``, if there is one,
     following texts that lose lines."""
     row, lines, f_row, f_lines = fresh(docs, "quality_row", "quality_lines", "quality_f_row", "quality_gone")
-    judged, furniture = _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left)
+    judged, furniture = _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)
     scratch = Scratch(docs.sparkSession, "quality-kept")
     kept = scratch.write(judged.where("kept").select(F.col("row").alias(row)), "kept")
     gone = scratch.write(furniture.select(F.col("f_row").alias(f_row), F.col("f_lines").alias(f_lines)), "furniture")

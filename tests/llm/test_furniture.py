@@ -20,3 +20,14 @@ def test_furniture_leaves_kept_texts(spark, tmp_path):
     assert {d: r.text for d, r in got.items()} == want
     assert all(r.n_chars == len(r.text) for r in got.values())
     assert quality.clean(docs).columns == docs.columns
+
+
+def test_limit_of_a_large_host_is_bounded(spark):
+    """A line on 150 of 16,000 documents, under 1 % of them, and one on 90."""
+    from pyspark.sql import functions as F
+
+    line = F.when(F.col("id") < 150, F.lit("home menu\n")).when(F.col("id") < 240, F.lit("some line\n")).otherwise(F.lit(""))
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), F.translate(F.md5(F.concat_ws("-", "id", k)), "0123456789", "ghijklmnop"))), " ")
+    docs = spark.range(16_000).select(F.col("id").alias("doc_id"), F.concat(line, words).alias("text"), F.lit("hot").alias("source"))
+    got = {r.removed_words: r.n for r in quality.judge(docs).groupBy("removed_words").agg(F.count("*").alias("n")).collect()}
+    assert got == {2: 150, 0: 15_850}
