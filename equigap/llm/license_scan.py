@@ -113,12 +113,23 @@ software in a product, an acknowledgment in the product documentation would be a
 }
 
 
+#: Lines that name the holder, in lower case: comment marks, then copyright, (c)
+#: or © and a year, another of these, or a holder; not wrapped lines of a licence
+#: that go on with "copyright notice" or the like, nor items "(c) you must".
+MARKS = r"[ \t]*(?:(?://+|/?\*+|#+|;+|--+|<!--|%+|!+)[ \t]*)*"
+NO_HOLDER = (r"(?:notices?|holders?|owners?|licen[sc]es?|laws?|statements?|interests?|claims?|rights?|disclaimers?|permissions?|protections?|treaty|"
+             r"and|or|in|on|of|to|for|is|are|as|that|which|with|under|from|may|shall|will|would|can)\b")
+NO_ITEM = r"(?:you|your|the|this|these|those|that|any|all|each|an?|if|to|in|on|for|no|not|such|or|and|of|by|must|prohibiting|accompany|convey)\b"
+HOLDER_LINE = (rf"(?m)^{MARKS}(?:copyright[ \t]*[:,]?[ \t]*(?!{NO_HOLDER})(?:\(c\)|©|[\p{{L}}\p{{N}}<\[{{])|"
+               rf"(?:\(c\)|©)[ \t]*(?:copyright[ \t]+)?(?!{NO_ITEM}|{NO_HOLDER})[\p{{L}}\p{{N}}<\[{{])[^\n]*$")
+
+
 def canonical_lines(text: Column) -> Column:
     """The canonical forms of the text's lines, without empty ones: lower case,
-    no copyright lines, words of letters and digits with one space between,
+    no lines that name the copyright holder, words of letters and digits with one space between,
     equivalent spellings as one."""
     text = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    text = F.regexp_replace(text, r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$", " ")
+    text = F.regexp_replace(text, HOLDER_LINE, " ")
     # Two spaces between words while spellings are replaced, so that neighbours share none.
     text = F.replace(F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", "  "), F.lit("\n"), F.lit("  \n  "))
     text = F.concat(F.lit("  "), text, F.lit("  "))
