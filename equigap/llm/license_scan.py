@@ -7,7 +7,8 @@ among those of known licence texts by a hash join, so only whole texts match,
 at the cost of 32 bytes a text whatever its length.
 
 The known texts are a frame of (license_id, text); ``known_texts`` makes one
-of short public licences and of the notices by which works name a licence.
+of short public licences, the standard headers of long ones, and the notices
+by which works name a licence; ``known_folder`` adds long texts from files.
 
 Defined cases: a null text is empty; a text whose canonical form is empty
 matches nothing; if two known texts have one canonical form, the first
@@ -69,6 +70,33 @@ ISC_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL
 IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
 CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
 NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+BSD_GRANT = """Copyright (c) the copyright holder
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution."""
+BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _gnu_header(name: str, version: str) -> str:
+    return f"""This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free
+Software Foundation, either version {version} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.
+
+You should have received a copy of the {name} along with this program. If not, see <https://www.gnu.org/licenses/>."""
+
+
 TEXTS = {
     "MIT": f"""MIT License
 
@@ -110,6 +138,61 @@ it freely, subject to the following restrictions:
 software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution.""",
+    "BSD-2-Clause": f"BSD 2-Clause License\n\n{BSD_GRANT}\n\n{BSD_WARRANTY}",
+    "BSD-3-Clause": f"""BSD 3-Clause License
+
+{BSD_GRANT}
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+
+{BSD_WARRANTY}""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE
+OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org/>""",
+    "BSL-1.0": """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying
+documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to
+prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the
+following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following
+disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such
+copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE
+DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    # The standard headers of long licences.
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions
+and limitations under the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "GPL-3.0": _gnu_header("GNU General Public License", "3"),
+    "LGPL-3.0": _gnu_header("GNU Lesser General Public License", "3"),
+    "AGPL-3.0": _gnu_header("GNU Affero General Public License", "3"),
+    "GPL-2.0": _gnu_header("GNU General Public License", "2"),
 }
 
 
@@ -149,6 +232,14 @@ def known_texts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "license_id string, text string")
 
 
+def known_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Known texts from a folder of whole licences, one file each, its name
+    without .txt or .md being the license_id; with ``known_texts``."""
+    files = spark.read.text(path, wholetext=True)
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.(?:txt|md)$", "")
+    return files.select(name.alias("license_id"), F.col("value").alias("text")).union(known_texts(spark))
+
+
 def known_digests(known: DataFrame) -> DataFrame:
     digests = known.select("license_id", canonical(F.col("text")).alias("c")).where("c != ''")
     return digests.groupBy(F.sha2("c", 256).alias("known_sha256")).agg(F.min("license_id").alias("license_id"))

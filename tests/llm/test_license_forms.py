@@ -12,7 +12,7 @@ def found(spark, texts):
 
 def wrapped(text, width):
     parts = [" ".join(p.split()) for p in text.split("\n\n")]
-    return "\n\n".join(p if p.startswith("Copyright") else textwrap.fill(p, width) for p in parts)
+    return "\n\n".join(p if p.startswith("Copyright") else textwrap.fill(p, width, break_long_words=False) for p in parts)
 
 
 def test_known_texts_wrapped_and_in_comments(spark):
@@ -35,3 +35,15 @@ def test_items_are_no_holder_lines(spark):
     c = license_scan.canonical
     [r] = spark.createDataFrame([("(c) You must retain\n(b) You must",)], "t string").select(c(license_scan.F.col("t")).alias("c")).collect()
     assert r.c == "c you must retain b you must"
+
+
+def test_short_licences_headers_and_a_folder(spark, tmp_path):
+    bsd = license_scan.TEXTS["BSD-3-Clause"].replace("the copyright holder\n", "2015, Somebody\n", 1)
+    header = "# Copyright 2020 X\n" + "\n".join("# " + x for x in license_scan.TEXTS["Apache-2.0"].split("\n"))
+    gpl = license_scan.TEXTS["GPL-3.0"].replace("https://", "http://")
+    assert found(spark, [bsd, license_scan.TEXTS["Unlicense"].upper(), license_scan.TEXTS["BSL-1.0"], header, gpl]) == [
+        "BSD-3-Clause", "Unlicense", "BSL-1.0", "Apache-2.0", "GPL-3.0"]
+    (tmp_path / "Long-1.0.txt").write_text("Long License\n\nTerms and conditions\n" * 50)
+    docs = spark.createDataFrame([(1, "LONG licence - terms and conditions. " * 50), (2, bsd)], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in license_scan.scan(docs, license_scan.known_folder(spark, str(tmp_path))).collect()}
+    assert got == {1: "Long-1.0", 2: "BSD-3-Clause"}
