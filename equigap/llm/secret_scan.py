@@ -126,11 +126,12 @@ def log_ratio(value: Column, model: list[float]) -> Column:
 
 
 def spans(rows: DataFrame, scratch: Scratch, odds: float = ODDS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``rows``: row, text.  All spans: row, kind, start, end, value."""
-    found = scratch.write(placed(matches(rows)), "found")
+    """``rows``: row, id, text.  All spans: row, kind, start, end, value."""
+    found = scratch.write(placed(matches(rows.select("row", "text"))), "found")
     base = F.col("kind") < 3
     n = max(1, rows.count())
-    chosen = rows.where(F.pmod(F.xxhash64("row"), F.lit(1 << 40)) < int(min(1.0, sample_docs / n) * (1 << 40)))
+    # By the data alone, not by the rows' places in files.
+    chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) < int(min(1.0, sample_docs / n) * (1 << 40)))
     words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(rf"[A-Za-z_]{{{MIN_WORD},}}"), F.lit(0))).alias("value")).distinct()
     model = train(found.where(base).select("value").distinct(), words)
 
@@ -149,7 +150,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, odd
     base_sha256, spans."""
     scratch = Scratch(docs.sparkSession, "secrets")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = spans(rows.select("row", "text"), scratch, odds, sample_docs)
+    found = spans(rows, scratch, odds, sample_docs)
     per = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"),
                                    *[F.count_if(F.col("kind") == i).alias(f"n_{k}") for i, k in enumerate(KINDS)])
 
