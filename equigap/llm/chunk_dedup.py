@@ -2,7 +2,10 @@
 
 A text is cut where its own content says so: a chunk ends at the first line
 end or sentence end after ``min_chars`` characters, at ``max_chars`` if there
-is none.  Equal passages therefore give equal chunks wherever they stand.
+is none.  Equal passages therefore give equal chunks wherever they stand; a
+text without line or sentence ends (code, scripts without spaces) is cut every
+``max_chars`` characters from where the last end was, so only its equal
+beginnings share chunks (the outcome is the same).
 Each document becomes a *recipe*, the ordered list of its chunks'
 identifiers, and documents are equal when their recipes are.  The long texts
 are read where they lie; what travels is 16 bytes a chunk, and each distinct
@@ -79,11 +82,11 @@ def _renamed(scratch: Scratch, rows: DataFrame, recipes: DataFrame, pairs: DataF
     ordinal of the text meant."""
     ordinal = Window.partitionBy("d").orderBy("chunk")
     named = scratch.write(pairs.join(clash, "d", "left_semi").select("d", "chunk", F.row_number().over(ordinal).alias("k")), "named")
-    # The same scan in the same order gives the same row ids as the recipes have.
-    placed = rows.withColumn("row", F.monotonically_increasing_id())  # numbered before rows become chunks
-    placed = placed.select("row", F.posexplode(cut).alias("pos", "chunk")).select("row", "pos", digest(F.col("chunk")).alias("d"), "chunk").join(named, ["d", "chunk"])
-    fixes = placed.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "k"))).alias("fix"))
+    # Equal texts have equal recipes, so a recipe is found again by its text's digest.
+    placed = rows.select(F.sha2("text", 256).alias("f_sha"), F.posexplode(cut).alias("pos", "chunk"))
+    placed = placed.select("f_sha", "pos", digest(F.col("chunk")).alias("d"), "chunk").join(named, ["d", "chunk"]).select("f_sha", "pos", "k").distinct()
+    fixes = placed.groupBy("f_sha").agg(F.map_from_entries(F.collect_list(F.struct("pos", "k"))).alias("fix"))
     fixed = F.transform("recipe", lambda d, i: F.concat(
         d, F.coalesce(F.concat(F.lit("#"), F.element_at("fix", i).cast("string")), F.lit("")).cast("binary")))
-    return scratch.write(recipes.join(fixes, "row", "left").select(
+    return scratch.write(recipes.join(fixes, F.expr("sha = f_sha"), "left").select(
         "row", "id", "sha", F.when(F.col("fix").isNull(), F.col("recipe")).otherwise(fixed).alias("recipe")), "renamed")

@@ -94,12 +94,13 @@ def _edge(classes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights=WEIGHTS,
-        share: float = SHARE, max_copies: int = MAX_COPIES, document_weight=document_weight, seed: str = SEED) -> DataFrame:
-    """One row per input row: row (its place in the scan), ``id_col``, size,
-    source_size, target, copies, taken."""
+        share: float = SHARE, max_copies: int = MAX_COPIES, document_weight=document_weight, seed: str = SEED, row_col: str | None = None) -> DataFrame:
+    """One row per input row: row (its number, ``row_col`` if there is one),
+    ``id_col``, size, source_size, target, copies, taken."""
     scratch = Scratch(docs.sparkSession, "mix")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        word_count(text).alias("size"), uniform(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text)).alias("u"))
     rows = scratch.write(rows.withColumn("weight", document_weight(F.col("size")).cast("int")), "rows")
 
@@ -144,9 +145,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, with the
     input's columns."""
-    row, copies = fresh(docs, "mix_row", "mix_copies")
-    taken = mix(docs, **options).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies))
-    taken = Scratch(docs.sparkSession, "mixed").write(taken, "taken")
-    placed = docs.withColumn(row, F.monotonically_increasing_id()).join(small(taken, 48), row)
+    row, t_row, copies = fresh(docs, "mix_row", "mix_t_row", "mix_copies")
+    scratch = Scratch(docs.sparkSession, "mixed")
+    placed = scratch.numbered(docs, row)
+    taken = mix(placed, row_col=row, **options).where("copies > 0").select(F.col("row").alias(t_row), F.col("copies").alias(copies))
+    placed = placed.join(small(scratch.write(taken, "taken"), 48), F.col(row) == F.col(t_row))
     each = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(copies)
     return placed.select(*[F.col(f"`{c}`") for c in docs.columns], each).drop(copies)

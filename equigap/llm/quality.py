@@ -113,9 +113,9 @@ def with_counts(rows: DataFrame, text: str) -> DataFrame:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,
           max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS) -> DataFrame:
-    """One row per input row: row (its place in the scan), ``id_col``, COUNTS,
-    base_failed, removed_words, kept."""
-    return _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)[0]
+    """One row per input row: ``id_col``, COUNTS, base_failed, removed_words, kept."""
+    judged, _ = _judged(Scratch(docs.sparkSession, "quality"), docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)
+    return judged.drop("furnished", "host", "digest")
 
 
 def _folded(text: Column) -> Column:
@@ -123,14 +123,14 @@ def _folded(text: Column) -> Column:
     return plain_spaces(F.regexp_replace(F.lower(text), "[0-9]+", "0"))
 
 
-def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float,
+def _judged(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float,
             min_left: float, max_docs: int) -> tuple[DataFrame, DataFrame]:
-    """``judge``'s rows, and the lines above the limit of kept documents."""
-    scratch = Scratch(docs.sparkSession, "quality")
+    """``judge``'s rows with furnished, host and digest, and (host, digest, line) of
+    the lines above the limit."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), text.alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.md5("text")))
-    base = scratch.write(with_counts(rows.withColumn("row", F.monotonically_increasing_id()), "text"), "base")
+    base = scratch.write(with_counts(rows, "text"), "base")
 
     # Texts are normalised before they are cut into lines, once each.
     lines = rows.select("host", "digest", _folded(F.col("text")).alias("text")).select("host", "digest", F.explode(F.split("text", "\n")).alias("line"))
@@ -153,18 +153,19 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, min_docs
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     gone = F.coalesce(F.col("removed"), F.lit(0))
     judged = base.join(removed, F.expr("host <=> r_host and digest = r_digest"), "left").select(
-        "row", F.col("id").alias(id_col), *COUNTS, failed.alias("base_failed"), gone.alias("removed_words"),
+        F.col("id").alias(id_col), *COUNTS, failed.alias("base_failed"), gone.alias("removed_words"),
         (~failed & (F.col("n_words") - gone >= min_left * F.col("n_words"))).alias("kept"), (gone > 0).alias("furnished"), "host", "digest")
     holding = lines.join(often, F.expr("host <=> o_host and line = o_line")).select("host", "digest", "line")
-    return judged.drop("furnished", "host", "digest"), _furniture(judged, holding, scratch)
+    return judged, holding
 
 
 def _furniture(judged: DataFrame, holding: DataFrame, scratch: Scratch) -> DataFrame:
-    """A row per kept document with lines above the limit: f_row, f_lines (their
-    hashes)."""
-    of = holding.groupBy(F.col("host").alias("f_host"), F.col("digest").alias("f_digest")).agg(F.collect_set("line").alias("f_lines"))
-    kept = judged.where("kept and furnished").select(F.col("row").alias("f_row"), "host", "digest")
-    return kept.join(of, F.expr("host <=> f_host and digest = f_digest")).select("f_row", "f_lines")
+    """A row per kept (host, text digest): host, digest, and lines, the hashes of its
+    lines above the limit (null if it has none).  Rows of one host and text
+    share one verdict, so no row needs a number."""
+    of = holding.groupBy(F.col("host").alias("f_host"), F.col("digest").alias("f_digest")).agg(F.collect_set("line").alias("lines"))
+    kept = judged.where("kept").select("host", "digest", "furnished").distinct()
+    return kept.join(scratch.write(of, "furniture"), F.expr("furnished and host <=> f_host and digest = f_digest"), "left").select("host", "digest", "lines")
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_docs: int = MIN_DOCS,
@@ -172,20 +173,21 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     """The documents that the rules keep, with the input's columns: texts without
     the lines above the limit, in order, and ``chars_col``, if there is one,
     following texts that lose lines."""
-    row, lines, f_row, f_lines = fresh(docs, "quality_row", "quality_lines", "quality_f_row", "quality_gone")
-    judged, furniture = _judged(docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)
-    scratch = Scratch(docs.sparkSession, "quality-kept")
-    kept = scratch.write(judged.where("kept").select(F.col("row").alias(row)), "kept")
-    gone = scratch.write(furniture.select(F.col("f_row").alias(f_row), F.col("f_lines").alias(f_lines)), "furniture")
-    size = gone.agg(F.sum(F.size(f_lines) * 8 + 48)).first()[0] or 0
-    rows = docs.withColumn(row, F.monotonically_increasing_id()).join(small(kept, 32), row, "left_semi")
-    rows = rows.join(small(gone, size // max(1, gone.count()) + 1), F.col(row) == F.col(f_row), "left")
+    lines, host, digest, k_host, k_digest, k_lines = fresh(docs, "quality_lines", "quality_host", "quality_digest", "quality_k_host", "quality_k_digest",
+                                                           "quality_gone")
+    scratch = Scratch(docs.sparkSession, "quality")
+    judged, holding = _judged(scratch, docs, id_col, text_col, host_col, min_docs, max_share, min_left, max_docs)
+    kept = _furniture(judged, holding, scratch).select(F.col("host").alias(k_host), F.col("digest").alias(k_digest), F.col("lines").alias(k_lines))
+    kept = scratch.write(kept, "kept")
+    size = kept.agg(F.sum(F.coalesce(F.size(k_lines), F.lit(0)) * 8 + 96)).first()[0] or 0
+    rows = docs.withColumns({host: F.col(host_col).cast("string"), digest: F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))})
+    rows = rows.join(small(kept, size // max(1, kept.count()) + 1), F.col(host).eqNullSafe(F.col(k_host)) & (F.col(digest) == F.col(k_digest)))
     # Folding keeps line ends, so a line and its folded form have one number.
     text = F.col(text_col).cast("string")
     hashes = F.transform(F.split(_folded(text), "\n"), lambda x: F.xxhash64(F.trim(x)))
     parted = F.arrays_zip(F.split(text, "\n").alias("line"), hashes.alias("hash"))
-    left = F.filter(parted, lambda x: ~F.array_contains(F.col(f_lines), x["hash"]))
-    rows = rows.withColumn(lines, F.when(F.col(f_lines).isNotNull(), F.array_join(F.transform(left, lambda x: x["line"]), "\n")))
+    left = F.filter(parted, lambda x: ~F.array_contains(F.col(k_lines), x["hash"]))
+    rows = rows.withColumn(lines, F.when(F.col(k_lines).isNotNull(), F.array_join(F.transform(left, lambda x: x["line"]), "\n")))
     out = {text_col: F.coalesce(lines, text_col), chars_col: F.coalesce(F.length(lines).cast(docs.schema[chars_col].dataType), chars_col)
            if chars_col in docs.columns else None}
     return rows.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns])

@@ -40,10 +40,17 @@ def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """The canonical form by the same rules, and the known texts as values."""
+    """The canonical form by the same rules, and the known texts as values.
+    Lines that name a holder are told line by line, as this engine's patterns
+    do not look ahead: what must follow, and what must not."""
+    after, not_holder, not_item = r"[\p{L}\p{N}<\[{]", license_scan.NO_HOLDER, license_scan.NO_ITEM
+    forms = [(r"copyright[ \t]*[:,]?[ \t]*", rf"(?:\(c\)|©|{after})", not_holder),
+             (r"(?:\(c\)|©)[ \t]*copyright[ \t]+", after, rf"(?:{not_item}|{not_holder})"), (r"(?:\(c\)|©)[ \t]*", after, rf"(?:{not_item}|{not_holder})")]
+    holder = " or ".join(rf"(regexp_matches(x, '^{license_scan.MARKS}{head}{yes}') and not regexp_matches(x, '^{license_scan.MARKS}{head}{no}'))"
+                         for head, yes, no in forms)
 
     def canonical(x: str) -> str:
-        x = rf"regexp_replace(lower(coalesce({x}, '')), '(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$', ' ', 'g')"
+        x = f"array_to_string([case when {holder} then ' ' else x end for x in string_split(lower(coalesce({x}, '')), chr(10))], chr(10))"
         x = rf"' ' || trim(regexp_replace({x}, '[^\p{{L}}\p{{N}}]+', '  ', 'g'), ' ') || ' '"
         for old, new in license_scan.SPELLINGS:
             x = f"replace({x}, ' {old} ', ' {new} ')"
@@ -84,7 +91,7 @@ lw as (select r, l, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0',
 dl as (select r, count(*) - count(distinct l) n from lw group by r),
 ht as (select source, count(distinct t) n from d group by source),
 often as (select d.source, k from lw join d using (r) group by d.source, k
-          having count(distinct t) > 20 and count(distinct t) > 0.01 * (select n from ht where ht.source is not distinct from d.source)),
+          having count(distinct t) > 20 and count(distinct t) > (select least(0.01 * n, 100) from ht where ht.source is not distinct from d.source)),
 gone as (select r, sum(length(k) - length(replace(k, ' ', '')) + 1) n from lw join d using (r)
          where exists (select 1 from often o where o.k = lw.k and o.source is not distinct from d.source) group by r),
 judged as (select d.r, d.doc_id, coalesce(n_words, 0) n_words, coalesce(word_chars, 0) word_chars,
@@ -99,7 +106,7 @@ select doc_id, n_words::bigint n_words, word_chars::bigint word_chars, n_symbols
   n_repeat_words::bigint n_repeat_words, base_failed, removed_words::bigint removed_words,
   not base_failed and n_words - removed_words >= 0.5 * n_words kept from judged""")
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(documents(spark, sf_dir)).drop("row")
+    return quality.judge(documents(spark, sf_dir))
 
 
 #: Targets of sources and what is taken; {docs} is a table expression.

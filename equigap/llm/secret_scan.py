@@ -11,7 +11,7 @@ secrets (``ODDS`` to 1) are added unless they overlap a base span.
 Both models are trained here.  Labelled random: the distinct values of the
 base spans of the whole table.  Labelled ordinary: the distinct words without
 digits in a sample of about ``SAMPLE_DOCS`` documents, chosen by a hash of
-their place (the sample's bound is the parameter).  Transitions are counted by
+their id and text (the sample's bound is the parameter).  Transitions are counted by
 Spark; what reaches the driver is one row per pair of ALPHABET's characters,
 and add-one smoothing makes the two tables one array of log ratios.
 
@@ -67,9 +67,9 @@ def _entry(number: int):
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """``rows``: row, text.  A row per match: row, kind (its place in KINDS), k
-    (its place among that kind's), gap (length of the text between it and the
-    one before), size, value."""
+    """``rows``: row, id, text.  Per row its row, id and matches, an array of: kind
+    (its place in KINDS), k (its place among that kind's), gap (length of the
+    text between it and the one before), size, value."""
     found = rows
     for kind, pattern, group, _ in SEARCHES:
         found = found.withColumn(f"{kind}_all", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
@@ -81,11 +81,11 @@ def matches(rows: DataFrame) -> DataFrame:
         zipped = F.arrays_zip(F.col(f"{kind}_all").alias("m"), F.col(f"{kind}_value" if group else f"{kind}_all").alias("v"),
                               F.slice(gaps, 1, F.size(f"{kind}_all")).alias("g"))
         entries.append(F.when(F.size(f"{kind}_all") > 0, F.transform(zipped, _entry(number))).otherwise(F.array().cast(ENTRY)))
-    return found.select("row", F.explode(F.concat(*entries)).alias("e")).select("row", "e.*")
+    return found.select("row", "id", F.concat(*entries).alias("matches"))
 
 
 def placed(found: DataFrame) -> DataFrame:
-    """``matches`` with start and end in place of gap and size; those too short
+    """Exploded ``matches`` with start and end in place of gap and size; those too short
     are dropped once they have counted."""
     upto = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap").cast("long") + F.col("size")).over(upto)
@@ -125,11 +125,12 @@ def log_ratio(value: Column, model: list[float]) -> Column:
     return step["sum"]
 
 
-def spans(rows: DataFrame, scratch: Scratch, odds: float = ODDS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``rows``: row, id, text.  All spans: row, kind, start, end, value."""
-    found = scratch.write(placed(matches(rows.select("row", "text"))), "found")
+def spans(texts: DataFrame, found: DataFrame, scratch: Scratch, odds: float = ODDS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """``texts``: id, text; ``found``: their written ``matches``.  All spans: row,
+    kind, start, end, value."""
+    rows, n = texts, max(1, found.count())
+    found = scratch.write(placed(found.select("row", F.explode("matches").alias("e")).select("row", "e.*")), "found")
     base = F.col("kind") < 3
-    n = max(1, rows.count())
     # By the data alone, not by the rows' places in files.
     chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) < int(min(1.0, sample_docs / n) * (1 << 40)))
     words = chosen.select(F.explode(F.regexp_extract_all("text", F.lit(rf"[A-Za-z_]{{{MIN_WORD},}}"), F.lit(0))).alias("value")).distinct()
@@ -149,8 +150,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, odd
     """One row per input row: ``id_col``, n_assign, n_access, n_hex, n_markov,
     base_sha256, spans."""
     scratch = Scratch(docs.sparkSession, "secrets")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = spans(rows, scratch, odds, sample_docs)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = scratch.write(matches(texts.withColumn("row", F.monotonically_increasing_id())), "rows")
+    found = spans(texts, rows, scratch, odds, sample_docs)
     per = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"),
                                    *[F.count_if(F.col("kind") == i).alias(f"n_{k}") for i, k in enumerate(KINDS)])
 

@@ -182,12 +182,13 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-           blocks: int = BLOCKS) -> DataFrame:
-    """One row per input row: row (its place in the scan), ``id_col``,
+           blocks: int = BLOCKS, row_col: str | None = None) -> DataFrame:
+    """One row per input row: row (its number, ``row_col`` if there is one), ``id_col``,
     fingerprint (16 hex digits), component (a fingerprint as a long),
     component_id (its least id)."""
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = scratch.write(with_fingerprints(rows, "text", shingle), "rows")
     distinct = scratch.write(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(scratch.write(fingerprint_links(distinct.select("fp"), max_bits, blocks), "edges"), scratch)
@@ -201,7 +202,8 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents with one of each group: the one with the least id."""
     scratch, [row] = Scratch(docs.sparkSession, "near-dedup"), fresh(docs, "simhash_row")
-    found = linked(docs, id_col, **options)
+    placed = scratch.numbered(docs, row)
+    found = linked(placed, id_col, row_col=row, **options)
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), "row")
     stay = scratch.write(found.groupBy("component").agg(F.min(order).alias("o")).select(F.col("o.row").alias(row)), "stay")
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(small(stay, 32), row, "left_semi").drop(row)
+    return placed.join(small(stay, 32), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

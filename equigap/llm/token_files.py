@@ -15,8 +15,10 @@ whole.  The folder must be one that pyarrow's file systems can read (local or
 mounted, HDFS, S3, GCS), as the scan reads byte ranges.
 
 Defined cases: a null text is empty: an end id alone, a document of 0
-tokens; ids after a file's last end id are a document marked as not ended;
-empty files hold nothing; an empty table gives an empty result.
+tokens; a text of any length is scanned block by block; rows that repeat an id
+(or have none) are documents of their own; ids after a file's last end id are
+a document marked as not ended; empty files hold nothing; an empty table
+gives an empty result.  Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .quality import slices
 from .tokens import encoder
-from .util import Scratch, shuffle_partitions
+from .util import Scratch, in_file_order, shuffle_partitions
 
 BLOCK_IDS, RUN, SLICE = 1 << 20, 1024, 4 << 20
 
@@ -121,11 +123,18 @@ def scan_documents(spark: SparkSession, path: str, end_id: int, block_ids: int =
 def document_counts(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the documents to flat files, scan these, and name the documents
     found by file and place: doc_id, part, start, n_tokens."""
-    spark, path = docs.sparkSession, Scratch(docs.sparkSession, "flat").path("files")
-    write_flat(docs, path, tokenizer, end_id, text_col)
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "flat")
+    rows, path = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), scratch.path("files")
+    if not in_file_order(rows):
+        rows = scratch.write(rows, "rows")
+    write_flat(rows, path, tokenizer, end_id)
     found = scan_documents(spark, path, end_id).withColumn("part", F.regexp_extract("path", r"part-(\d+)", 1).cast("long"))
     # The n-th row of partition p is the n-th document of file p.
     row = F.monotonically_increasing_id()
-    names = docs.select(F.col(id_col).alias("doc_id"), F.shiftright(row, 33).alias("d_part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("d_place"))
-    found = Scratch(spark, "flat-found").write(found, "found")
+    names = rows.select("doc_id", F.shiftright(row, 33).alias("d_part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("d_place"))
+    found, names = scratch.write(found, "found"), scratch.write(names, "names")
+    per_file = found.groupBy("part").agg(F.count("*").alias("n")).join(
+        names.groupBy("d_part").agg(F.count("*").alias("d_n")), F.expr("part = d_part"), "full")
+    if not per_file.where("not (n <=> d_n)").isEmpty():
+        raise RuntimeError("the rows were dealt otherwise when they were read again: Spark sizes splits by its cores, which changed; run again")
     return names.join(found, F.expr("d_part = part and d_place = place")).select("doc_id", "part", "start", "n_tokens")

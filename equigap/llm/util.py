@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,13 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def numbered(self, df: DataFrame, row: str) -> DataFrame:
+        """``df`` written once with a number ``row`` for each of its rows.  Two
+        passes over a plan may deal its rows differently (adaptive execution
+        sizes a shuffle by the columns read, Spark sizes splits by the cores it
+        has); rows that are numbered and written are the same in all passes."""
+        return self.write(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing will read again."""
         jvm = self.spark._jvm
@@ -45,6 +53,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def in_file_order(df: DataFrame) -> bool:
+    """Whether ``df`` only reads files, computes columns and filters, so that its
+    rows come in the files' order whatever columns are read."""
+    steps = re.findall(r"^[\s:+\-]*(?:\*\(\d+\) ?)?(\w+)", df._jdf.queryExecution().executedPlan().toString(), re.M)
+    return set(steps) <= {"Project", "Filter", "FileScan", "ColumnarToRow"}
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -145,7 +145,7 @@ def quality(rows) -> list[tuple]:
     for host, text in rows:
         c = counts(text)
         failed = c[0] < 50 or 100 * c[4] > 50 * c[0]
-        gone = sum(len(x.split(" ")) for x in lines(text) if len(holders[host, x]) > max(20, 0.01 * len(hosts[host])))
+        gone = sum(len(x.split(" ")) for x in lines(text) if len(holders[host, x]) > max(20, min(100, 0.01 * len(hosts[host]))))
         out.append((*c, failed, not failed and c[0] - gone >= 0.5 * c[0]))
     return out
 
