@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, chunk_dedup, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, token_files
+from . import bitpack, chunk_dedup, concat_cut, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, token_files
 from .util import documents
 
 #: Vocabulary files of public tokenizers, and the end id of flat token files.
@@ -174,3 +174,8 @@ select doc_id, max(doc_id) over g keep_id, count(*) over g group_size, doc_id =
 from documents window g as (partition by coalesce(text, ''))""")
 def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.dedup_exact(documents(spark, sf_dir)).drop("n_chunks")
+
+
+@query()
+def op12_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return concat_cut.packed(documents(spark, sf_dir), vocabulary(WORD_BPE))

@@ -83,4 +83,4 @@ def test_empty(spark, nothing, tmp_path):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
