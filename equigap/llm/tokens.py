@@ -14,33 +14,33 @@ A piece that is a plain word, with at most a punctuation mark behind it,
 skips the library's splitting rules, which would leave it as it is: its word
 goes straight to the library's model.  Other pieces go through all of it.
 
-The pieces kept are bounded by ``CACHE``; beyond it the worker starts afresh.
+The pieces kept are bounded by ``CACHE``; beyond it those that came once leave,
+and the rarer ones of the others down to half of it.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 200_000
+CACHE = 300_000
 #: Texts that a byte-level tokenizer gets whole: white space other than single
 #: spaces and line ends inside the text, by the widest definition.
 ODD = (r"[ \n][ \n]|\A[ \n]|[ \n]\z|[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}"
        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]")
-#: Pieces of one word (a line end or HEAD before it, a mark behind it).
+#: Plain pieces are one word of these (a line end or HEAD before it, a mark behind it).
+WORD = "A-Za-zÀ-ÖØ-öø-ÿ"
 HEAD = "\r"  # stands before a text's first piece, which no space precedes
-PLAIN = re.compile(r"([\n\r]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
 
 
 def byte_letters() -> dict[int, str]:
     """Byte-level tokenizers write a byte as a letter: itself if it prints in
-    Latin-1, else the next one from 256 on.  Here of the letters that PLAIN has."""
+    Latin-1, else the next one from 256 on.  Here of the letters that WORD has."""
     prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     rest = [b for b in range(256) if b not in prints]
     letter = {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -72,59 +72,93 @@ class Encoder:
         self.cuts = self.drops_space or (before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
                                          and kind["normalizer"] is None)
         one = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.marks, self.line_end = {m: one(m) for m in ".,;:!?"}, one("\n")
+        self.marks = {m: one(m)[0] for m in ".,;:!?" if len(one(m)) == 1}
+        self.mark_ids, self.line_end = np.full(256, -1, np.int32), one("\n")
+        for m, found in self.marks.items():
+            self.mark_ids[ord(m)] = found
+        self.plain = rf"\A[\n\r]?[{WORD}]+[{''.join(self.marks)}]?\z"
         self._empty()
 
     def _empty(self) -> None:
         self.index: dict[str, int] = {}
         self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.pool, self.used, self.slots = np.zeros(1 << 16, np.int32), 0, 0
+        self.hits = np.zeros(1024, np.int64)
+
+    def _forget(self) -> None:
+        """Rare pieces leave; what stays counts half from here on."""
+        hits = self.hits[:self.slots]
+        stay = np.flatnonzero(hits > 1)
+        if len(stay) > self.cache // 2:
+            stay = np.sort(stay[np.argpartition(hits[stay], -(self.cache // 2))[-(self.cache // 2):]])
+        ids, size = self._gather(stay)
+        kept, pieces = hits[stay] >> 1, list(compress(self.index, np.isin(np.arange(self.slots), stay).tolist()))  # the index is in slot order
+        self._empty()
+        self._add(pieces, ids, size)
+        self.hits[:self.slots] = kept
 
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        """Each piece's ids."""
-        model, out, other = self.tokenizer.model.tokenize, [], []
-        for k, piece in enumerate(pieces):
-            plain = PLAIN(piece)
-            if not plain:
-                other.append(k)
-                out.append(None)
-                continue
-            lead, word, mark = plain.groups()
-            if self.drops_space:
-                word = word.lower()
-                found = [t.id for t in model(word if word.isascii() else word.translate(LETTERS))]
-            else:
-                word = word if word.isascii() else word.translate(LETTERS)
-                found = [t.id for t in model(word if lead else SPACE + word)]
-                if lead == "\n":
-                    found = self.line_end + found
-            out.append(found + self.marks[mark] if mark else found)
-        for a in range(0, len(other), 20_000):
-            part = other[a:a + 20_000]
-            texts = [p if self.drops_space or p[:1] == "\n" else p[1:] if p[:1] == HEAD else " " + p for p in map(pieces.__getitem__, part)]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                out[k] = e.ids
-        return out
-
-    def _known(self, pieces: list[str]) -> np.ndarray:
+    def _add(self, pieces: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n, m, total = self.slots, len(pieces), len(ids)
+        while n + m > len(self.start):
+            self.start, self.length, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.hits))
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + total] = ids
+        self.start[n:n + m] = self.used + np.cumsum(size) - size
+        self.length[n:n + m] = size
+        self.used, self.slots = self.used + total, n + m
+        self.index.update(zip(pieces, range(n, self.slots)))
+
+    def _words(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of plain pieces in a row, and each one's number.  Each word is
+        encoded once, whatever marks are behind it."""
+        offsets, data = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset:][:len(pieces) + 1], np.frombuffer(pieces.buffers()[2], np.uint8)
+        mark = self.mark_ids[data[offsets[1:] - 1]]
+        words = pc.utf8_rtrim(pieces, "".join(self.marks))
+        if self.drops_space:
+            words = pc.utf8_lower(pc.utf8_ltrim(words, "\n\r"))
+        coded, model = words.dictionary_encode(), self.tokenizer.model.tokenize
+        inner = [w if w.isascii() else w.translate(LETTERS) for w in coded.dictionary.to_pylist()]
+        if self.drops_space:
+            found = [[t.id for t in model(w)] for w in inner]
+        else:
+            found = [self.line_end + [t.id for t in model(w[1:])] if w[0] == "\n" else [t.id for t in model(w[1:] if w[0] == HEAD else SPACE + w)] for w in inner]
+        own = np.fromiter(map(len, found), np.int64, len(found))
+        flat, first = np.fromiter(chain.from_iterable(found), np.int32, int(own.sum())), np.cumsum(own) - own
+        at = np.asarray(coded.indices)
+        size = own[at] + (mark >= 0)
+        out = np.empty(int(size.sum()), np.int32)
+        ends = np.cumsum(size)
+        out[ends[mark >= 0] - 1] = mark[mark >= 0]
+        n = own[at]
+        run = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(ends - size, n) + run] = flat[np.repeat(first[at], n) + run]
+        return out, size
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in a row, and each one's number."""
+        plain = np.asarray(pc.match_substring_regex(pieces, self.plain))
+        if plain.all():
+            return self._words(pieces) if len(pieces) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        other = pieces.filter(pa.array(~plain)).to_pylist()
+        texts = other if self.drops_space else [p if p[:1] == "\n" else p[1:] if p[:1] == HEAD else " " + p for p in other]
+        found = [e.ids for a in range(0, len(texts), 20_000) for e in self.tokenizer.encode_batch_fast(texts[a:a + 20_000], add_special_tokens=False)]
+        size = np.empty(len(pieces), np.int64)
+        size[~plain] = np.fromiter(map(len, found), np.int64, len(found))
+        words, size[plain] = self._words(pa.concat_arrays([pieces.filter(pa.array(plain))])) if plain.any() else (np.zeros(0, np.int32), 0)
+        out, of = np.empty(int(size.sum()), np.int32), np.repeat(plain, size)
+        out[of], out[~of] = words, np.fromiter(chain.from_iterable(found), np.int32)
+        return out, size
+
+    def _known(self, pieces: pa.Array) -> np.ndarray:
         """The place of each piece, encoded now if it is new."""
         if self.slots > self.cache:
-            self._empty()
-        at = np.array(list(map(self.index.get, pieces, repeat(-1))), np.int64)
+            self._forget()
+        names = pieces.to_pylist()
+        at = np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(at < 0)
-        ids = self._ids([pieces[i] for i in new])
-        size = np.array(list(map(len, ids)), np.int64)
-        n, total = self.slots, int(size.sum())
-        while n + len(ids) > len(self.start):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
-        self.start[n:n + len(ids)] = self.used + np.cumsum(size) - size
-        self.length[n:n + len(ids)] = size
-        self.used, self.slots = self.used + total, n + len(ids)
-        at[new] = np.arange(n, self.slots)
-        self.index.update(zip((pieces[i] for i in new), range(n, self.slots)))
+        at[new] = self.slots + np.arange(len(new))
+        self._add([names[i] for i in new.tolist()], *self._ids(pieces.take(pa.array(new))))
         return at
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,13 +183,16 @@ class Encoder:
         lists = pc.split_pattern(pc.replace_substring(cut, "\n", " " if self.drops_space else " \n"), " ")
         offsets = np.asarray(lists.offsets)
         coded = lists.flatten().dictionary_encode()
-        place, pieces = np.asarray(coded.indices), coded.dictionary.to_pylist()
+        place, pieces = np.asarray(coded.indices), coded.dictionary
         if self.drops_space:
             at = self._known(pieces)[place]
         else:
-            known = self._known(pieces + [HEAD + p for p in pc.list_element(lists, 0).to_pylist()])
+            head, none = (pa.scalar(x, pa.large_string()) for x in (HEAD, ""))
+            heads = pc.binary_join_element_wise(head, pc.list_element(lists, 0), none)
+            known = self._known(pa.concat_arrays([pieces, heads]))
             at = known[:len(pieces)][place]
             at[offsets[:-1]] = known[len(pieces):]
+        self.hits += np.bincount(at, minlength=len(self.hits))
         ids, size = self._gather(at)
         upto = np.concatenate([[0], np.cumsum(size)])[offsets]
         counts = np.diff(upto)
