@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, chunk_dedup, concat_cut, license_scan, line_dedup, mixing, packing, quality, secret_scan, simhash, token_files
+from . import bitpack, chunk_dedup, concat_cut, license_scan, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_files
 from .util import documents
 
 #: Vocabulary files of public tokenizers, and the end id of flat token files.
@@ -179,3 +179,16 @@ def op10_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return concat_cut.packed(documents(spark, sf_dir), vocabulary(WORD_BPE))
+
+
+def without_line_ends(text, doc_id):
+    """The tampering that the query of op11 detects: line ends gone from texts whose
+    id has an even CRC-32."""
+    even = F.crc32(doc_id.cast("string").cast("binary")) % 2 == 0
+    return F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+
+
+@query()
+def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = {"text": without_line_ends(F.col("text"), F.col("doc_id"))}
+    return merkle.verified(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], found)

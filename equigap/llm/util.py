@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,28 @@ class Scratch:
         has); rows that are numbered and written are the same in all passes."""
         return self.write(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
 
+    def ordinals(self, df: DataFrame, name: str, group: list[str], order: list[str]) -> DataFrame:
+        """``df`` written in order of ``group`` and ``order`` (nulls first), with
+        ordinal (from 0, within the group) and members (of the group).  Rows are
+        range-partitioned by both, so a group of any size is spread over tasks;
+        its rows in the partitions before are added up per (partition, group).
+        The groups' names must not be those of new columns."""
+        keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+        n = shuffle_partitions(self.spark)
+        sorted_ = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
+        placed = self.write(sorted_, name)
+        part = F.shiftright("place", 33).alias("part")
+        slices = placed.groupBy(part, *group).agg(F.count("*").alias("n"), F.min("place").alias("first"))
+        of = Window.partitionBy(*group)
+        before = F.coalesce(F.sum("n").over(of.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        slices = slices.select(F.col("part").alias("o_part"), *[F.col(g).alias(f"o_{g}") for g in group],
+                               (before - F.col("first")).alias("o_shift"), F.sum("n").over(of).alias("members"))
+        slices = self.write(slices, f"{name}-slices")
+        same = F.shiftright("place", 33) == F.col("o_part")
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"o_{g}"))
+        return placed.join(small(slices, 256), same).select(*df.columns, (F.col("place") + F.col("o_shift")).alias("ordinal"), "members")
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing will read again."""
         jvm = self.spark._jvm
