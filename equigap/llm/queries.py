@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, chunk_dedup, concat_cut, license_scan, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_files
+from . import bitpack, chunk_dedup, concat_cut, conversation_repair, license_scan, line_dedup, merkle, mixing, packing, quality, secret_scan, simhash, token_files
 from .util import documents
 
 #: Vocabulary files of public tokenizers, and the end id of flat token files.
@@ -192,3 +192,20 @@ def without_line_ends(text, doc_id):
 def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = {"text": without_line_ends(F.col("text"), F.col("doc_id"))}
     return merkle.verified(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], found)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The damage that the query of op13 repairs, by the CRC-32 of ``conv_id:turn``: a
+    row is dropped, emptied, robbed of its sentence ends, repeated, or the user's."""
+    told = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    rows = conversations.withColumn("kind", F.crc32(F.concat(told["conv_id"], F.lit(":"), told["turn"]).cast("binary")) % 20).where("kind != 0")
+    kind = F.col("kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(told["text"], "[.!?]", "")).otherwise(told["text"])
+    times = F.explode(F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))).alias("copy")
+    return rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(told["role"]).alias("role"), text.alias("text"), times).drop("copy")
+
+
+@query()
+def op13_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.Repair(damaged(rows)).report(rows)
