@@ -72,31 +72,31 @@ def levenshtein(a: str, b: str) -> int:
     return int(last[-1])
 
 
-def similar(a: str, b: str) -> bool:
-    if max(len(a), len(b)) > 512:  # word by word; what stands for a word does not matter
-        letters = {}
-        a, b = ("".join(chr(0x3400 + letters.setdefault(w, len(letters))) for w in x.split(" ")) for x in (a, b))
-    most = int(max(len(a), len(b)) * (1 - 0.8) + 1e-9)
-    return abs(len(a) - len(b)) <= most and levenshtein(a, b) <= most
-
-
-def line_hash(line: str) -> int:
-    """SimHash of the 12 distinct words with the least hashes, as signed numbers."""
-    hashes = {xxhash.xxh64_intdigest(w.encode(), seed=42) for w in line.split(" ")}
-    return majority(sorted(hashes, key=lambda h: h - (h >> 63 << 64))[:12])
+def similarity(a: str, b: str) -> float:
+    return 1 - levenshtein(a, b) / max(len(a), len(b), 1)
 
 
 def line_dedup(rows) -> list[tuple[int, int, str]]:
-    """(lines, removed lines, text left) of each row."""
+    """(lines, removed lines, text left) of each row, by the edit similarity of all
+    pairs of lines."""
     occurrences = []
     for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)):
         for k, line in enumerate((rows[i][1] or "").split("\n")):
             line = re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
-            if len(line.split(" ")) >= 5:
+            if len(line.split(" ")) >= 5 or len(line) >= 30:
                 occurrences.append((i, k, line))
     texts = list(dict.fromkeys(line for *_, line in occurrences))
-    fps = [line_hash(t) for t in texts]
-    group = groups(len(texts), ((a, b) for a, b in near(fps, 2) if similar(texts[a], texts[b])))
+    sizes = np.array([len(t) for t in texts])
+    bags = [Counter(t) for t in texts]
+
+    def near():
+        for i, a in enumerate(texts):
+            for j in np.flatnonzero(np.abs(sizes[i + 1:] - sizes[i]) <= 0.2 * np.maximum(sizes[i + 1:], sizes[i]) + 1e-9) + i + 1:
+                most = int(0.2 * max(sizes[i], sizes[j]) + 1e-9)  # the letters that differ are a lower bound
+                if max((bags[i] - bags[j]).total(), (bags[j] - bags[i]).total()) <= most and levenshtein(a, texts[j]) <= most:
+                    yield i, int(j)
+
+    group = groups(len(texts), near())
     place, seen, gone = {t: group[i] for i, t in enumerate(texts)}, set(), defaultdict(set)
     for i, k, line in occurrences:
         if place[line] in seen:

@@ -70,7 +70,7 @@ def test_awkward_rows(spark, rows, tmp_path):
     assert Counter(map(tuple, got.collect())) == expected(values(rows))
 
 
-@pytest.mark.parametrize("sizes", [[1], [2], [3], [4], [1, 1], [81], [82], [243, 244], [81 * 9 + 1, 1, 27, 28], [1] * 100])
+@pytest.mark.parametrize("sizes", [[1], [2], [3], [4], [1, 1], [81], [82], [243, 244], [729, 730, 1, 27, 28], [1] * 100, [5000]])
 def test_shapes(spark, tmp_path, sizes):
     rng = random.Random(sum(sizes))
     rows = [(k * 10_000 + i, rng.choice(["a\nb", "c", None, "", "x\n" * 40]), f"s{k:03d}") for k, n in enumerate(sizes) for i in range(n)]
