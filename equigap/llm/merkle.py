@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .util import Scratch
 
-FAN, STRIDE = 3, 4
+FAN, STRIDE = 3, 6
 #: The group number of the tree over the groups' subroots.
 TOP = -1
 NODE = ("g", "t", "i")
