@@ -153,13 +153,18 @@ class Manifest:
               select {"".join(f"c.{c}, " for c in carried)}c.g, c.hash, {fold.format("n.levels", "c.folded")}, {told.format("n.levels", "c.proof")}, n.pg, n.pt, n.pi
               from climb c join {{nodes}} n on c.pg = n.g and c.pt = n.t and c.pi = n.i)
             select {own}g, lower(hex(hash)) leaf, proof, lower(hex(folded)) folded_root from climb where pg is null"""
-        limit = "spark.sql.cteRecursionRowLimit"  # a guard against endless recursion; this one ends at the root
-        before = self.spark.conf.get(limit)
-        self.spark.conf.set(limit, "-1")
+        settings = {
+            "spark.sql.cteRecursionRowLimit": "-1",  # a guard against endless recursion; this one ends at the root
+            # Spark deals each step's rows evenly; small partitions need no further cut.
+            "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "false"}
+        before = {k: self.spark.conf.get(k) for k in settings}
+        for k, v in settings.items():
+            self.spark.conf.set(k, v)
         try:
             return self.scratch.write(self.spark.sql(climb, leaves=self.leaves, nodes=self.nodes), f"climbed-{check}")
         finally:
-            self.spark.conf.set(limit, before)
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
 
 
 def verified(docs: DataFrame, fields: list[str], found: dict[str, Column] | None = None, key: str = "doc_id", group: str = "source") -> DataFrame:
