@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.functions.text import fold_text, py_strip
 from equigap.roles import Roles
+from equigap.sources.files import RECORD
 
 # Text sentinels turned into null after folding.
 SENTINELS = ["", "nan", "None", "SIN INFORMACION"]
@@ -69,30 +70,41 @@ def dedup(df: DataFrame, key: str | None = None, order: list[Column | str] | Non
     return df.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
 
 
-def _prepared(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None,
-              text_cols: list[str] | None) -> tuple[DataFrame, list[str]]:
-    """Folded, coerced and range-checked rows, and the score columns."""
+def _ranges(roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None) -> dict[str, int]:
+    """Score columns and their upper bounds."""
     subjects_100 = subjects_100 if subjects_100 is not None else [
         c for c in [roles.english, roles.math, roles.social, roles.science, roles.reading] if c
     ]
     global_500 = global_500 if global_500 is not None else [c for c in [roles.score] if c]
-    scores = [c for c in subjects_100 + global_500 if c in df.columns]
-    text_cols = text_cols if text_cols is not None else [
-        f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name not in scores
-    ]
-    out = fold_columns(df, text_cols)
-    out = null_sentinels(out, text_cols)
-    if roles.bilingual:
-        out = fill_default(out, roles.bilingual, "N")
-    proj = []
-    for c in out.columns:
-        if c in subjects_100:
-            proj.append(guard_range(to_number(c), 0, 100).alias(c))
-        elif c in global_500:
-            proj.append(guard_range(to_number(c), 0, 500).alias(c))
-        else:
-            proj.append(F.col(c))
-    return out.select(*proj), scores
+    return dict.fromkeys(subjects_100, 100) | dict.fromkeys(global_500, 500)
+
+
+def _columns(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None,
+             text_cols: list[str] | None) -> tuple[list[str], list[str]]:
+    """The text columns and the score columns that ``df`` has."""
+    scores = [c for c in _ranges(roles, subjects_100, global_500) if c in df.columns]
+    if text_cols is None:
+        text_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name not in scores]
+    return text_cols, scores
+
+
+def _scored(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None) -> DataFrame:
+    """Coerced and range-checked scores."""
+    top = _ranges(roles, subjects_100, global_500)
+    return df.select(*[guard_range(to_number(c), 0, top[c]).alias(c) if c in top else F.col(c) for c in df.columns])
+
+
+def _folded(df: DataFrame, roles: Roles, text_cols: list[str]) -> DataFrame:
+    """Folded texts, sentinels as nulls, the bilingual default."""
+    out = null_sentinels(fold_columns(df, text_cols), text_cols)
+    return fill_default(out, roles.bilingual, "N") if roles.bilingual else out
+
+
+def _prepared(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None,
+              text_cols: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """Folded, coerced and range-checked rows, and the score columns."""
+    text_cols, scores = _columns(df, roles, subjects_100, global_500, text_cols)
+    return _scored(_folded(df, roles, text_cols), roles, subjects_100, global_500), scores
 
 
 def clean_scores(
@@ -104,9 +116,20 @@ def clean_scores(
     order: list[Column | str] | None = None,
 ) -> DataFrame:
     """Fold text, sentinels, default, coerce, range, drop, de-dup.  The
-    first row of a key is by ``order``, by default all columns in turn."""
-    out, scores = _prepared(df, roles, subjects_100, global_500, text_cols)
-    return dedup(drop_incomplete(out, scores), roles.student_id, order or out.columns)
+    first row of a key is by ``order``, by default the record's place in its
+    files where the reader has added it (``read_scores(..., record=True)``), else
+    all columns in turn: tables without files have no first row of their own.
+    Rows of a key are told apart before their texts are folded, so only kept
+    rows are folded."""
+    key = roles.student_id
+    order = order or ([RECORD] if RECORD in df.columns else df.columns)
+    text_cols, scores = _columns(df, roles, subjects_100, global_500, text_cols)
+    scored = drop_incomplete(_scored(df, roles, subjects_100, global_500), scores)
+    if key not in df.columns:
+        return dedup(_folded(scored, roles, text_cols))
+    if key in text_cols:  # keys are compared as they are cleaned
+        scored = null_sentinels(fold_columns(scored, [key]), [key])
+    return _folded(dedup(scored, key, order), roles, [c for c in text_cols if c != key])
 
 
 def clean_audit(df: DataFrame, roles: Roles, subjects_100: list[str], global_500: list[str],

@@ -1,9 +1,9 @@
 """Insight batch (E2): cut points, risk, stratum-adjusted gaps, region
 priorities and the KPI record (A11-A13, A16-A22, A33-A34).
 
-Fact rows are only ever aggregated; thresholds are one-row aggregates
-cross-joined back (broadcast of a single row), region tables are bounded by
-the number of regions.
+Fact rows are only ever aggregated; thresholds are one-row aggregates read as
+one row and applied as literals, region tables are bounded by the number of
+regions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
 from equigap.functions.text import normalize_key
-from equigap.operators.quantiles import quantile_row
+from equigap.operators.quantiles import quantile_row, quantiles_of, ranked_cells
 from equigap.operators.util import aggregate_metrics, metric_order, one_row, one_row_frame
 
 # Default cut points of the insight batch.
@@ -96,10 +96,10 @@ def adjusted_gaps(df: DataFrame, metrics: list[str], group: str, strat: str, a:
 
 
 def display_name(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Most frequent raw name per normalised key, smallest on ties."""
-    return df.where(F.col(key).isNotNull() & F.col(name).isNotNull()).groupBy(key).agg(
-        F.mode(name, deterministic=True).alias("municipio_display")
-    )
+    """Most frequent raw name per normalised key, smallest on ties: names are
+    counted first, and the first of a key's counts is kept as they are read."""
+    counts = df.where(F.col(key).isNotNull() & F.col(name).isNotNull()).groupBy(key, F.col(name).alias("__name")).agg(F.count("*").alias("__n"))
+    return counts.groupBy(key).agg(F.min_by("__name", F.struct(-F.col("__n"), F.col("__name"))).alias("municipio_display"))
 
 
 def _by_normalised_region(base: DataFrame, region: str, sums: dict[str, Column], counts: dict[str, Column]) -> DataFrame:
@@ -204,35 +204,43 @@ def kpis(df: DataFrame, roles, gdp: DataFrame | None = None, region_priority_tab
     median gap, largest stratum-adjusted private - public gap and its metric,
     digital English median gap, number of priority regions.  Each part is a
     one-row aggregate; a missing role gives a null KPI."""
-    from equigap.operators.gaps import median_gap
     from equigap.session import materialize
 
-    # the KPI record takes several passes (cut points, risk, medians,
-    # adjusted gaps): write the needed columns once instead of recomputing
-    # the joins under ``df`` for every pass
+    # several passes read the facts: write the needed columns once instead of
+    # recomputing the joins under ``df`` for every pass
     needed = [c for c in dict.fromkeys([roles.score, roles.zone, roles.school_type, roles.stratum, roles.english,
                                         roles.internet, roles.computer, *roles.subjects]) if c and c in df.columns]
     df = materialize(df.select(*needed), "kpi_fact")
-    parts = []
+    # quartile, medians and risk all come from one table of counts per cell and value
+    cells, gaps, kpi = {}, {}, {}
     if roles.score:
-        cuts = cut_points(df, roles.score)
-        # one row: compute it once and reuse the values in both parts
-        cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
-        parts.append(risk_rate(with_risk(df, roles.score, cuts)).withColumnRenamed("tasa_riesgo", "tasa_riesgo_departamental"))
-        parts.append(cuts.select("umbral_riesgo"))
+        cells["all"] = (None, roles.score)
     if roles.score and roles.zone:
-        z = df.withColumn("__z", L.zone_strict(roles.zone))
-        parts.append(median_gap(z, roles.score, "__z", "URBANO", "RURAL", "brecha_rural_urbana_p50")
-                     .select("brecha_rural_urbana_p50"))
+        zone = L.zone_strict(roles.zone)
+        cells |= {side: (zone == side, roles.score) for side in ("URBANO", "RURAL")}
+        gaps["brecha_rural_urbana_p50"] = ("URBANO", "RURAL")
+    if roles.english and roles.internet and roles.computer:
+        access = L.access2(L.yes_no_flag(roles.internet), L.yes_no_flag(roles.computer))
+        cells |= {side: (access == side, roles.english) for side in ("CON_ACCESO", "SIN_ACCESO")}
+        gaps["impacto_digital_ingles_gap"] = ("CON_ACCESO", "SIN_ACCESO")
+    if cells:
+        ranked = ranked_cells(df, cells)
+        found = {r["cell"]: r for r in quantiles_of(ranked, ["cell"], [0.25, 0.5]).collect()}  # a row per cell
+        for name, sides in gaps.items():
+            kpi[name] = found[sides[0]]["q50"] - found[sides[1]]["q50"] if all(x in found for x in sides) else None
+        if roles.score:
+            cut = found["all"]["q25"] if "all" in found else RISK_FALLBACK
+            below = ranked.where("cell = 'all'").agg(F.sum(F.when(L.at_risk("v", cut) == 1, F.col("n")).otherwise(0)).alias("n")).first()["n"] or 0
+            rows = df.count()
+            kpi |= {"tasa_riesgo_departamental": below / rows * 100 if rows else None, "umbral_riesgo": float(cut)}
+    parts = []
+    if kpi:
+        parts.append(df.sparkSession.createDataFrame([tuple(kpi.values())], ", ".join(f"{k} double" for k in kpi)))
     if roles.school_type and roles.stratum and roles.subjects:
         t = df.withColumn("__t", L.school_type(roles.school_type))
         g = adjusted_gaps(t, roles.subjects, "__t", roles.stratum).where("is_max")
         parts.append(g.select(F.col("gap_privado_menos_publico").alias("impacto_estimado_publico_privado_max"),
                               F.col("metric").alias("impacto_estimado_publico_privado_metric")))
-    if roles.english and roles.internet and roles.computer:
-        a = df.withColumn("__a", L.access2(L.yes_no_flag(roles.internet), L.yes_no_flag(roles.computer)))
-        parts.append(median_gap(a, roles.english, "__a", "CON_ACCESO", "SIN_ACCESO", "impacto_digital_ingles_gap")
-                     .select("impacto_digital_ingles_gap"))
     if region_priority_table is not None:
         parts.append(region_priority_table.agg(
             F.sum(F.col("prioridad_alta").cast("long")).alias("municipios_prioridad_alta")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions.text import normalize_key, upper_key
+from equigap.operators.quantiles import quantiles_of, ranked_counts
 from equigap.operators.util import one_row
 from equigap.session import materialize
 
@@ -74,14 +75,18 @@ def gdp_lookup(df: DataFrame, regions: DataFrame, region_col: str, gdp_col: str,
     rows of that region; when the region has no GDP, the medians over all rows.
     Per-capita stays null when the region has GDP but no per-capita."""
     pc = F.col(per_cap_col) if per_cap_col else F.lit(None).cast("double")
-    # GDP values are few per region: count them once; both the regions' and
-    # the overall medians come from the counts.
-    counts = df.groupBy(F.col(region_col).alias(out_region), F.col(gdp_col).try_cast("double").alias("__x"), pc.try_cast("double").alias("__y")).agg(
-        F.count("*").alias("__n"))
-    counts = materialize(counts, "gdp_counts")
-    by_region = counts.groupBy(out_region).agg(F.percentile("__x", 0.5, F.col("__n")).alias("__g"), F.percentile("__y", 0.5, F.col("__n")).alias("__pc"))
-    o = one_row(counts.groupBy("__x", "__y").agg(F.sum("__n").alias("__n")).agg(
-        F.percentile("__x", 0.5, F.col("__n")).alias("g"), F.percentile("__y", 0.5, F.col("__n")).alias("pc")))
+    # Values are counted first; the regions' and the overall medians are then read
+    # off one table of counts, which is range-partitioned within a region, too.
+    counts = df.groupBy(F.col(region_col).alias("__r"), F.col(gdp_col).try_cast("double").alias("g"), pc.try_cast("double").alias("pc")).agg(F.count("*").alias("__n"))
+    long = counts.unpivot(["__r", "__n"], ["g", "pc"], "__measure", "__v")
+    scoped = long.select(F.explode(F.array(F.struct(F.lit(True).alias("__all"), F.lit(None).cast(counts.schema["__r"].dataType).alias(out_region)),
+                                           F.struct(F.lit(False).alias("__all"), F.col("__r").alias(out_region)))).alias("s"), "__measure", "__v", "__n")
+    keys = ["__all", out_region, "__measure"]
+    medians = quantiles_of(ranked_counts(scoped.select("s.*", "__measure", "__v", "__n"), keys, "__v", "__n"), keys, [0.5])
+    medians = materialize(medians, "gdp_medians")  # a row per region and measure
+    of = lambda m: F.max(F.when(F.col("__measure") == m, F.col("q50")))
+    by_region = medians.where("not __all").groupBy(out_region).agg(of("g").alias("__g"), of("pc").alias("__pc"))
+    o = one_row(medians.where("__all").agg(of("g").alias("g"), of("pc").alias("pc")))
     req = regions.select(F.col(out_region)).join(by_region, out_region, "left")
     found = F.col("__g").isNotNull()
     return req.select(

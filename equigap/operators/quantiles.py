@@ -25,11 +25,12 @@ def quantile_name(q: float) -> str:
     return f"q{int(round(q * 100))}"
 
 
-def ranked_counts(df: DataFrame, keys: list[str], value: Column | str) -> DataFrame:
+def ranked_counts(df: DataFrame, keys: list[str], value: Column | str, times: Column | str | None = None) -> DataFrame:
     """``keys``, v, n (rows with it), before (rows of the cell below it), total
-    (rows of the cell)."""
+    (rows of the cell).  A row stands for ``times`` rows, if given."""
     v = F.col(value) if isinstance(value, str) else value
-    counts = df.select(*keys, v.try_cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.count("*").alias("n"))
+    times = F.lit(1).cast("long") if times is None else F.col(times) if isinstance(times, str) else times
+    counts = df.select(*keys, v.try_cast("double").alias("v"), times.alias("n")).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = materialize(counts.repartitionByRange(parts, *keys, "v").withColumn("__part", F.spark_partition_id()), "value_counts")
     of_cell = Window.partitionBy(*keys)
@@ -63,6 +64,18 @@ def cell_quantiles(df: DataFrame, keys: list[str], value: Column | str, qs) -> D
     return quantiles_of(ranked_counts(df, keys, value), keys, qs)
 
 
+def ranked_cells(df: DataFrame, cells: dict[str, tuple[Column | None, Column | str]]) -> DataFrame:
+    """``ranked_counts`` by ``cell`` for named cells that overlap as they like: a row
+    counts in each cell whose condition (None: always) holds, with the cell's
+    value.  All cells come from one scan and one table of counts."""
+    parts = []
+    for name, (when, value) in cells.items():
+        v = (F.col(value) if isinstance(value, str) else value).try_cast("double")
+        parts.append(F.struct(F.lit(name).alias("cell"), (v if when is None else F.when(when, v)).alias("value")))
+    each = df.select(F.explode(F.array(*parts)).alias("c")).select("c.*").where("value is not null")
+    return ranked_counts(each, ["cell"], "value")
+
+
 def quantile_row(df: DataFrame, metric: str, qs) -> DataFrame:
     """One row with a column qNN per quantile over all rows."""
     return cell_quantiles(df, [], metric, qs)

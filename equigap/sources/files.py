@@ -3,18 +3,42 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from equigap.functions.text import py_strip, upper_key
+from equigap.session import materialize
 
 # Columns read as text even when they look numeric.
 STRING_OVERRIDES = ["cole_cod_mcpio_ubicacion"]
-
-
-def read_scores(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Fact CSV with a header; the code column stays a string.
+#: Name of the column with a record's place in its files.
+RECORD = "record"
+
+
+def with_record_ordinal(df: DataFrame, out: str = RECORD) -> DataFrame:
+    """``df``, read from text files, with each record's place in the files (from 0;
+    files by path).
+
+    A reading task sees a split's records in order, so (file, split's start,
+    place in the task) orders them.  The rows are written once with these;
+    records before a split are then a prefix sum over the splits of its file
+    and over the files, and the place in the split is the place in the task less
+    that of the split's first record.  No rows are sorted or sent to one task."""
+    placed = materialize(df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+                                   F.monotonically_increasing_id().alias("__at")), "records")
+    splits = placed.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__at").alias("first"))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = splits.groupBy("__file").agg(F.sum("n").alias("n")).select(F.col("__file").alias("f_file"), before(Window.orderBy("__file")).alias("f_base"))
+    splits = splits.select("__file", "__block", (before(Window.partitionBy("__file").orderBy("__block")) - F.col("first")).alias("s_shift"))
+    splits = splits.join(files, F.expr("__file = f_file")).select(F.col("__file").alias("s_file"), F.col("__block").alias("s_block"), (F.col("f_base") + F.col("s_shift")).alias("s_shift"))
+    return placed.join(splits, F.expr("__file = s_file and __block = s_block")).select(*df.columns, (F.col("__at") + F.col("s_shift")).alias(out))
+
+
+def read_scores(spark: SparkSession, path: str, schema: StructType | None = None, record: bool = False) -> DataFrame:
+    """Fact CSV with a header; the code column stays a string.  With
+    ``record`` a column RECORD holds each row's place in the files, by which
+    cleaning keeps the first row of a key.
 
     With an explicit schema there is no inference pass; without one every
     column is read as text (the cleaning pipeline coerces scores with
@@ -22,8 +46,10 @@ def read_scores(spark: SparkSession, path: str, schema: StructType | None = None
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", False)
     if schema is not None:
         fields = [StructField(f.name, StringType(), True) if f.name in STRING_OVERRIDES else f for f in schema.fields]
-        return reader.schema(StructType(fields)).csv(path)
-    return reader.option("inferSchema", False).csv(path)
+        df = reader.schema(StructType(fields)).csv(path)
+    else:
+        df = reader.option("inferSchema", False).csv(path)
+    return with_record_ordinal(df) if record else df
 
 
 def _clean_header(df: DataFrame) -> DataFrame:

@@ -54,3 +54,39 @@ def test_missing_result_is_unavailable_and_other_failures_raise(spark, tmp_path)
     (tmp_path / "broken" / "part.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         FS.read_results(spark, str(tmp_path), ["broken"], fmt="parquet")
+
+
+def test_first_row_of_the_file_stays(spark, tmp_path):
+    """Shuffled keys over several files and many splits, as pandas keeps them."""
+    import random
+
+    import pandas as pd
+
+    from equigap.operators import clean as C
+    from equigap.roles import Roles
+    from equigap.sources.files import RECORD, read_scores
+
+    rng = random.Random(2)
+    frames = []
+    for name in ("a.csv", "b.csv", "c.csv"):
+        ids = [f" K{rng.randrange(400)}" for _ in range(3000)]
+        frames.append(pd.DataFrame({"estu_consecutivo": ids, "punt_ingles": [rng.randrange(130) for _ in ids], "punt_global": [rng.randrange(500) for _ in ids],
+                                    "cole_mcpio_ubicacion": [f"Medell\u00edn {k}" for k in range(len(ids))]}))
+        frames[-1].to_csv(tmp_path / name, index=False)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "9k")
+    try:
+        read = read_scores(spark, str(tmp_path), record=True)
+        place = [r[0] for r in read.orderBy(RECORD).select("cole_mcpio_ubicacion").collect()]
+        got = C.clean_scores(read, Roles(), subjects_100=["punt_ingles"], global_500=["punt_global"])
+        got = {tuple(r) for r in got.select("estu_consecutivo", "punt_ingles", "punt_global", "cole_mcpio_ubicacion", RECORD).collect()}
+    finally:
+        spark.conf.set(size, before)
+    whole = pd.concat(frames, ignore_index=True)
+    assert place == list(whole["cole_mcpio_ubicacion"])  # ordinals are the places in the files
+    whole["record"] = range(len(whole))
+    whole["estu_consecutivo"] = whole["estu_consecutivo"].str.strip().str.upper()
+    kept = whole[whole["punt_ingles"] <= 100].drop_duplicates("estu_consecutivo", keep="first")
+    assert {(r[0], r[1], r[2], r[4]) for r in got} == {(r.estu_consecutivo, float(r.punt_ingles), float(r.punt_global), r.record) for r in kept.itertuples()}
+    assert all(r[3].startswith("MEDELLIN ") or r[3].startswith("Medellin ") for r in got)
