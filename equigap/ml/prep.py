@@ -14,7 +14,7 @@ Fitted statistics are computed in one aggregation and frozen into a
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigap.operators.util import one_row
@@ -91,7 +91,7 @@ def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], f
     return stages
 
 
-def _unit_hash(key_cols: list[str], seed: int):
+def unit_hash(key_cols: list[str], seed: int):
     """Uniform [0, 1) from the first 8 hex digits of the key's md5:
     independent of partitioning, and of the engine."""
     digits = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed)))), 1, 8)
@@ -105,7 +105,7 @@ def split(df: DataFrame, key: list[str], frac: float = 0.8, seed: int = 42, col:
     With ``strata`` each class is cut at its own threshold: the hash below
     which ``frac`` of its rows lie (exact to one row; from counts per class
     and thousandth of the hash, then from the rows of one thousandth)."""
-    u = _unit_hash(key, seed)
+    u = unit_hash(key, seed)
     if strata is None:
         return df.withColumn(col, u < frac)
     counts = df.groupBy(F.col(strata).alias("__s"), F.floor(u * 1000).alias("__b")).agg(F.count("*").alias("__n"))
@@ -123,13 +123,16 @@ def split(df: DataFrame, key: list[str], frac: float = 0.8, seed: int = 42, col:
 
 def validation_flag(df: DataFrame, key: list[str], frac: float = 0.2, seed: int = 7, col: str = "is_val") -> DataFrame:
     """Validation tail inside the training part (second hash, other seed)."""
-    return df.withColumn(col, _unit_hash(key, seed) < frac)
+    return df.withColumn(col, unit_hash(key, seed) < frac)
 
 
-def class_weights(df: DataFrame, label: str, col: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, label: str, col: str = "weight", of: Column | None = None) -> DataFrame:
     """Balanced weights n / (k * n_class) attached by a join with the
-    per-class counts (one row per class)."""
-    counts = df.groupBy(label).agg(F.count("*").alias("__nc"))
+    per-class counts (one row per class); counted over the rows where ``of``
+    (the training rows) holds, by default over all.  A class that has none of
+    them weighs 1."""
+    counted = df if of is None else df.where(of)
+    counts = counted.groupBy(label).agg(F.count("*").alias("__nc"))
     tot = one_row(counts.agg(F.sum("__nc").alias("n"), F.count("*").alias("k")))
     w = counts.select(label, (F.lit(tot["n"]) / (F.lit(tot["k"]) * F.col("__nc"))).alias(col))
-    return df.join(w, label, "left")
+    return df.join(w, label, "left").fillna(1.0, [col])

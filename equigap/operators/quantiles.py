@@ -25,13 +25,17 @@ def quantile_name(q: float) -> str:
     return f"q{int(round(q * 100))}"
 
 
-def ranked_counts(df: DataFrame, keys: list[str], value: Column | str, times: Column | str | None = None) -> DataFrame:
+def ranked_counts(df: DataFrame, keys: list[str], value: Column | str, times: Column | str | None = None,
+                  extra: dict[str, Column] | None = None, partitions: int | None = None) -> DataFrame:
     """``keys``, v, n (rows with it), before (rows of the cell below it), total
-    (rows of the cell).  A row stands for ``times`` rows, if given."""
+    (rows of the cell), and sums of ``extra`` per value.  A row stands for ``times`` rows,
+    if given."""
+    extra = extra or {}
     v = F.col(value) if isinstance(value, str) else value
     times = F.lit(1).cast("long") if times is None else F.col(times) if isinstance(times, str) else times
-    counts = df.select(*keys, v.try_cast("double").alias("v"), times.alias("n")).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.select(*keys, v.try_cast("double").alias("v"), times.alias("n"), *[c.alias(k) for k, c in extra.items()])
+    counts = counts.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*keys, "v").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in extra])
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = materialize(counts.repartitionByRange(parts, *keys, "v").withColumn("__part", F.spark_partition_id()), "value_counts")
     of_cell = Window.partitionBy(*keys)
     earlier = of_cell.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,7 +47,7 @@ def ranked_counts(df: DataFrame, keys: list[str], value: Column | str, times: Co
         same &= F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     own = Window.partitionBy("__part", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("__own", F.coalesce(F.sum("n").over(own), F.lit(0))).join(sums, same)
-    return placed.select(*keys, "v", "n", (F.col("__base") + F.col("__own")).alias("before"), "total")
+    return placed.select(*keys, "v", "n", *extra, (F.col("__base") + F.col("__own")).alias("before"), "total")
 
 
 def quantiles_of(ranked: DataFrame, keys: list[str], qs) -> DataFrame:

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigap.functions import labels as L
+from equigap.ml.training import detached
 from equigap.operators.util import one_row
 
 
 def score(model: PipelineModel, rows: DataFrame, kind: str = "regresion", lo: float = 0.0, hi: float = 500.0) -> DataFrame:
     """Score rows: regression -> clipped, rounded score; binary -> clipped
     probability + label (C33, C34)."""
-    out = model.transform(rows)
+    out = detached(model).transform(rows)
     if kind == "regresion":
         return out.withColumn("score", L.clip_pred("prediction", lo, hi, 1))
     proba = vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction")
@@ -68,7 +69,7 @@ def mean_impact(model: PipelineModel, df: DataFrame, set_a: dict, set_b: dict, k
     variant = lambda side, own: F.struct(F.lit(side).alias("side"), *[value(own.get(c), c).cast(df.schema[c].dataType).alias(c) for c in changed])
     both = df.withColumn("__v", F.explode(F.array(variant(0, set_a), variant(1, set_b))))
     both = both.select(*[F.col(f"__v.{c}").alias(c) if c in changed else F.col(c) for c in df.columns], F.col("__v.side").alias("__side"))
-    out = model.transform(both)
+    out = detached(model).transform(both)
     p = F.col("prediction") if kind == "regresion" else vector_to_array("probability")[1]
     mean = lambda side: F.avg(F.when(F.col("__side") == side, p))
     return out.agg((mean(1) - mean(0)).alias("impacto_medio"), F.count_if(F.col("__side") == 0).alias("n"))
@@ -100,7 +101,7 @@ def adjusted_gap_table(models: dict[str, PipelineModel], grid: DataFrame, target
     parts = []
     for target, model in models.items():
         g = grid.where(F.col(target_col) == target)
-        p = model.transform(g).select(target_col, stratum, group, F.bround("prediction", 2).alias("pred"))
+        p = detached(model).transform(g).select(target_col, stratum, group, F.bround("prediction", 2).alias("pred"))
         parts.append(p)
     allp = parts[0]
     for p in parts[1:]:

@@ -26,10 +26,11 @@ LID = ["estu_consecutivo", "line_number"]
 
 def _proj(name: str, grain: str, cols, sql_cols: dict[str, str],
           where=None, sql_where: str | None = None, pre=None,
-          sql_pre: dict[str, str] | None = None):
+          sql_pre: dict[str, str] | None = None, apply=None):
     """Register a row-wise projection over a bound grain: Spark selects the
     id columns plus ``cols``; DuckDB does the same with ``sql_cols``.
-    ``pre`` adds derived input columns first (the edge-case generators)."""
+    ``pre`` adds derived input columns first (the edge-case generators), which
+    ``apply``, an operator on frames, then works on."""
     ids = [OID] if grain == "exam_orders" else LID
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,6 +38,8 @@ def _proj(name: str, grain: str, cols, sql_cols: dict[str, str],
         # Column specs are built lazily: no SparkContext is needed to list queries
         if pre:
             df = df.select("*", *[c.alias(k) for k, c in pre().items()])
+        if apply is not None:
+            df = apply(df)
         if where is not None:
             df = df.where(where())
         return df.select(*ids, *[c.alias(k) for k, c in cols().items()])
@@ -92,15 +95,15 @@ _area_raw = lambda: F.when(F.col("order_key") % 4 == 0, F.lit("")).when(F.col("o
 _area_raw_sql = "CASE order_key % 4 WHEN 0 THEN '' WHEN 1 THEN 'nan' ELSE cole_area_ubicacion END"
 
 _proj("C02_null_sentinels", "exam_orders",
-      lambda: {"area": F.when(F.col("raw").isin(*C.SENTINELS), F.lit(None)).otherwise(F.col("raw"))},
+      lambda: {"area": F.col("raw")},
       {"area": "CASE WHEN raw IN ('', 'nan', 'None', 'SIN INFORMACION') THEN NULL ELSE raw END"},
-      pre=lambda: {"raw": _area_raw()}, sql_pre={"raw": _area_raw_sql})
+      pre=lambda: {"raw": _area_raw()}, sql_pre={"raw": _area_raw_sql}, apply=lambda df: C.null_sentinels(df, ["raw"]))
 
 _bil_raw = lambda: F.when(F.col("order_key") % 3 == 0, F.lit(None).cast("string")).otherwise(
     F.when(F.col("order_key") % 3 == 1, F.lit("S")).otherwise(F.lit("N")))
 _bil_sql = "CASE order_key % 3 WHEN 0 THEN NULL WHEN 1 THEN 'S' ELSE 'N' END"
-_proj("C03_fill_default", "exam_orders", lambda: {"cole_bilingue": F.coalesce(F.col("raw"), F.lit("N"))},
-      {"cole_bilingue": "coalesce(raw, 'N')"}, pre=lambda: {"raw": _bil_raw()}, sql_pre={"raw": _bil_sql})
+_proj("C03_fill_default", "exam_orders", lambda: {"cole_bilingue": F.col("raw")},
+      {"cole_bilingue": "coalesce(raw, 'N')"}, pre=lambda: {"raw": _bil_raw()}, sql_pre={"raw": _bil_sql}, apply=lambda df: C.fill_default(df, "raw"))
 
 # text score: every 11th row 'abc', every 13th padded, else integer text
 _txt = lambda: (F.when(F.col("order_key") % 11 == 0, F.lit("abc"))

@@ -64,12 +64,31 @@ tp AS (SELECT y AS k, c AS tp FROM conf WHERE y = yh),
 lab AS (SELECT coalesce(pt.k, pp.k) AS k, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted FROM pt FULL JOIN pp ON pt.k = pp.k),
 l2 AS (SELECT lab.*, coalesce(tp.tp, 0) AS tp FROM lab LEFT JOIN tp ON lab.k = tp.k)
 SELECT round(sum(tp) / sum(support), 6) AS accuracy,
-  round(avg(CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0.0 END), 6) AS f1_macro FROM l2""")
+  round(avg(CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0.0 END), 6) AS f1_macro,
+  (SELECT round(-avg(ln(least(greatest(punt_matematicas / 100, 1e-15), 1 - 1e-15))), 6) FROM exam_lines) AS log_loss FROM l2""")
 def m16(spark, sf):
     e = F.col("punt_ingles")
     yh = F.when(e < 20, "A-").when(e < 40, "A1").when(e < 60, "A2").when(e < 80, "B1").otherwise("B+")
-    p = exam_lines(spark, sf).select(F.col("desemp_ingles").alias("label"), yh.alias("prediction"))
-    return r6(multiclass_metrics(p), "accuracy", "f1_macro")
+    p = exam_lines(spark, sf).select(F.col("desemp_ingles").alias("label"), yh.alias("prediction"), (F.col("punt_matematicas") / 100).alias("p_true"))
+    return r6(multiclass_metrics(p, p_true="p_true"), "accuracy", "f1_macro", "log_loss")
+
+
+@register("M15_M16_metrics_by_run", """, p AS (SELECT cole_naturaleza AS run_name, CAST(punt_global < 250 AS INT) AS y, round(punt_matematicas / 100, 2) AS s,
+  CAST(round(punt_matematicas / 100, 2) >= 0.5 AS INT) AS yh FROM exam_lines),
+d AS (SELECT run_name, s, sum(y) AS pos, sum(1 - y) AS neg FROM p GROUP BY 1, 2),
+r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY run_name ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM d),
+a AS (SELECT run_name, sum(pos * (below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc FROM r GROUP BY 1),
+c AS (SELECT run_name, avg(CAST(y = yh AS INT)) AS accuracy, 2 * sum(y * yh) / nullif(sum(y) + sum(yh), 0) AS f1,
+  -avg(ln(least(greatest(CASE WHEN y = 1 THEN s ELSE 1 - s END, 1e-15), 1 - 1e-15))) AS log_loss FROM p GROUP BY 1)
+SELECT run_name, round(accuracy, 6) AS accuracy, round(coalesce(f1, 0.0), 6) AS f1, round(roc_auc, 6) AS roc_auc, round(log_loss, 6) AS log_loss FROM c JOIN a USING (run_name)""")
+def m15_by_run(spark, sf):
+    """Metrics of several runs (here one per school type) from shared aggregates."""
+    s = F.round(F.col("punt_matematicas") / 100, 2)
+    label = L.low_performance("punt_global")
+    p = exam_lines(spark, sf).select(F.col("cole_naturaleza").alias("run_name"), label.alias("label"), s.alias("score"),
+                                     (s >= 0.5).cast("int").alias("prediction"), F.when(label == 1, s).otherwise(1 - s).alias("p_true"))
+    two = binary_metrics(p, by=["run_name"]).join(multiclass_metrics(p, p_true="p_true", by=["run_name"]).select("run_name", "log_loss"), "run_name")
+    return r6(two.select("run_name", "accuracy", "f1", "roc_auc", "log_loss"), "accuracy", "f1", "roc_auc", "log_loss")
 
 
 @register("M06_class_weights", """SELECT y AS label, round(n_total / (k * n), 6) AS weight FROM
@@ -114,24 +133,52 @@ def m10(spark, sf):
     return runs
 
 
+@register("M10_train_six_targets")
+def m10b(spark, sf):
+    """Six targets on one preparation, the best by r2; the registered configurations are the linear ones."""
+    cat = ["cole_naturaleza", "fami_estratovivienda", "fami_tieneinternet"]
+    d = exam_lines(spark, sf).withColumn("edad", F.col("line_number").cast("double"))
+    runs, best, _ = labs.run_lab(spark, d, "regresion", _TARGETS, ["estu_consecutivo", "line_number"], {"contexto": (["edad"], cat)},
+                                 configs={k: v for k, v in labs.regression_catalogue().items() if k in ("LinearRegression", "Lasso")}
+                                 | {"huber": labs.HuberRegression(delta=10.0, maxIter=8)}, run_prefix="p2", selection=("r2", True))
+    return runs.withColumn("is_best", F.col("run_name").isin(*[r["run_name"] for r in best.values()]))
+
+
 @register("M11_train_binary")
 def m11(spark, sf):
-    d = exam_lines(spark, sf).withColumn("bajo", L.low_performance("punt_global"))
-    runs, _, _ = labs.run_lab(spark, d, "clasificacion_binaria", "bajo", ["estu_consecutivo", "line_number"],
-                              {"contexto": _FS["contexto"]}, run_prefix="p2_clf")
-    return runs
+    """The three binary targets: low performance, below the first quartile, high
+    English level."""
+    from equigap.operators.insights import cut_points
+    from equigap.operators.util import one_row
+
+    d, key = exam_lines(spark, sf), ["estu_consecutivo", "line_number"]
+    p25 = one_row(cut_points(split(d, key).where("is_train"), "punt_global").select("umbral_riesgo"))["umbral_riesgo"]  # of training rows
+    d = d.withColumns({"bajo": L.low_performance("punt_global"), "riesgo": L.priority_label("punt_global", p25),
+                       "ingles": L.level_binary("desemp_ingles")})
+    out = None
+    for target in ("bajo", "riesgo", "ingles"):
+        runs, _, _ = labs.run_lab(spark, d, "clasificacion_binaria", target, key,
+                                  {"contexto": _FS["contexto"]}, run_prefix=f"p2_clf_{target}",
+                                  configs=None if target == "bajo" else {"LogisticRegression": labs.classifier_catalogue()["LogisticRegression"]})
+        out = runs if out is None else out.unionByName(runs)
+    return out
 
 
 @register("M12_train_multiclass")
 def m12(spark, sf):
-    from pyspark.ml.classification import LogisticRegression
+    """Five English levels: logistic, forest, boosting one against the rest, and a
+    network, with the lab's class weights."""
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
     from pyspark.ml.feature import StringIndexer
 
     d = exam_lines(spark, sf).where(L.level_keep("desemp_ingles"))
     d = StringIndexer(inputCol="desemp_ingles", outputCol="nivel", stringOrderType="alphabetAsc").fit(d).transform(d)
-    runs, _, _ = labs.run_lab(spark, d, "clasificacion_multiclase", "nivel", ["estu_consecutivo", "line_number"],
-                              {"tic": (["punt_ingles"], ["fami_tieneinternet", "fami_tienecomputador"])},
-                              configs={"LogisticRegression": LogisticRegression(maxIter=100)}, run_prefix="p3_multi")
+    fs = (["punt_ingles"], ["fami_tieneinternet", "fami_tienecomputador"])
+    width = labs.feature_size(d.withColumnRenamed("nivel", "label"), fit_prep_stages(d, *fs))
+    runs, _, _ = labs.run_lab(spark, d, "clasificacion_multiclase", "nivel", ["estu_consecutivo", "line_number"], {"tic": fs},
+                              configs={"LogisticRegression": LogisticRegression(maxIter=100), "RandomForestClassifier": RandomForestClassifier(numTrees=20, maxDepth=6, seed=42),
+                                       "GradientBoostingClassifier": OneVsRest(classifier=GBTClassifier(maxIter=5, maxDepth=3, seed=42)),
+                                       "mlp_64_32": labs.network_catalogue("clasificacion_multiclase", width, 5)["mlp_64_32"]}, run_prefix="p3_multi")
     return runs
 
 
@@ -248,6 +295,20 @@ def x05(spark, sf):
     return _tic_impact(spark, sf)
 
 
+@register("X05_tic_impact_means", """, f AS (SELECT punt_ingles AS y, CASE upper(trim(fami_tieneinternet)) WHEN 'SI' THEN 1 WHEN 'NO' THEN 0 END AS i FROM exam_lines),
+m AS (SELECT avg(y) FILTER (i = 1) AS one, avg(y) FILTER (i = 0) AS zero FROM f)
+SELECT round((SELECT avg(one - CASE i WHEN 1 THEN one ELSE zero END) FROM f, m WHERE i IS NOT NULL), 6) AS impacto_medio,
+  (SELECT CAST(count(*) AS BIGINT) FROM f WHERE i IS NOT NULL) AS n""")
+def x05a(spark, sf):
+    """By a model on the one flag, which predicts the flag's means."""
+    from equigap.operators.clean import modeling_frame
+    from equigap.roles import Roles
+
+    m = modeling_frame(exam_lines(spark, sf), Roles()).select("punt_ingles", "internet_flag").where("internet_flag is not null")
+    model = Pipeline(stages=[*fit_prep_stages(m, ["internet_flag"], []), LinearRegression(labelCol="punt_ingles")]).fit(m)
+    return r6(X.tic_impact(model, m, features=["internet_flag"]), "impacto_medio")
+
+
 @register("X06_adjusted_gap_table")
 def x06(spark, sf):
     from equigap.operators import joins as J
@@ -277,6 +338,22 @@ def x07(spark, sf):
     return X.predicted_level(model.transform(d), list(idx.labels)).groupBy("nivel_predicho").count()
 
 
+@register("X07_predicted_level_means", """, c AS (SELECT cole_naturaleza AS k, desemp_ingles AS l, count(*) AS n FROM exam_orders
+  WHERE desemp_ingles IN ('A-', 'A1', 'A2', 'B1', 'B+') GROUP BY 1, 2),
+b AS (SELECT k, l FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, l) AS rn FROM c) WHERE rn = 1)
+SELECT estu_consecutivo, l AS nivel_predicho FROM exam_orders o JOIN b ON b.k = o.cole_naturaleza WHERE desemp_ingles IN ('A-', 'A1', 'A2', 'B1', 'B+')""")
+def x07a(spark, sf):
+    """By a tree on the one categorical, which predicts the most frequent level of each category."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import StringIndexer
+
+    d = exam_orders(spark, sf).where(L.level_keep("desemp_ingles"))
+    idx = StringIndexer(inputCol="desemp_ingles", outputCol="label", stringOrderType="alphabetAsc").fit(d)
+    d = idx.transform(d)
+    model = Pipeline(stages=[*fit_prep_stages(d, [], ["cole_naturaleza"]), DecisionTreeClassifier(maxDepth=10)]).fit(d)
+    return X.predicted_level(model.transform(d), list(idx.labels)).select("estu_consecutivo", "nivel_predicho")
+
+
 @register("X02_scenario_inputs", """, p AS (SELECT municipio, pib_miles_millones AS pib FROM region_gdp),
 a AS (SELECT quantile_cont(p.pib, 0.5) AS pib FROM exam_lines l JOIN p ON l.cole_mcpio_ubicacion = p.municipio)
 SELECT l.cole_mcpio_ubicacion AS municipio,
@@ -412,13 +489,13 @@ def m17(spark, sf):
     # An older log: the weaker configuration alone.  The gate compares with it
     # before the new runs are logged, and guards the save.
     path = scratch_path(spark, f"run_log-{uuid.uuid4().hex[:8]}")
-    labs.log_runs(runs.where(F.col("run_name") != best["run_name"]), f"{path}/runs")
-    old = spark.read.parquet(f"{path}/runs").agg(F.max("f1")).first()[0]
+    labs.log_runs(runs.where(F.col("run_name") != best["run_name"]), path)
+    old = labs.read_run_log(spark, path).agg(F.max("f1")).first()[0]
     accepted = labs.accept_update(best["f1"], old)
     if accepted:
         labs.save_best(models[best["run_name"]], labs.run_metadata(best, "bajo", threshold=0.5), f"{path}/model")
-    labs.log_runs(runs.where(F.col("run_name") == best["run_name"]), f"{path}/runs")
-    return spark.read.parquet(f"{path}/runs").select("run_name", "f1", (F.col("run_name") == best["run_name"]).alias("is_best"),
+    labs.log_runs(runs, path)  # all runs; what is logged already is replaced
+    return labs.read_run_log(spark, path).select("run_name", "f1", (F.col("run_name") == best["run_name"]).alias("is_best"),
                                                      F.lit(old).alias("f1_before"), F.lit(accepted).alias("accept_update"))
 
 

@@ -162,6 +162,29 @@ def w01(spark, sf):
     return R.best_runs(runs_table(spark, sf))
 
 
+@register("M17_best_by", _RUNS_SQL + """SELECT config_id, best, run_id FROM (SELECT *, 'f1' AS best, row_number() OVER (PARTITION BY feature_set ORDER BY f1 DESC, start_time, run_id) AS rn
+  FROM runs""" + _RUNS_FILTER.replace("WHERE ", "WHERE (") + """) AND f1 IS NOT NULL) WHERE rn = 1
+UNION ALL SELECT config_id, 'rmse', run_id FROM (SELECT *, row_number() OVER (PARTITION BY feature_set ORDER BY rmse, start_time, run_id) AS rn
+  FROM runs""" + _RUNS_FILTER.replace("WHERE ", "WHERE (") + """) AND rmse IS NOT NULL) WHERE rn = 1""")
+def m17_best(spark, sf):
+    """The best run of each feature set, by f1 (higher) and by rmse (lower)."""
+    from equigap.ml.labs import best_by
+
+    runs = runs_table(spark, sf)
+    parts = [best_by(runs, "feature_set", m, higher, ["start_time", "run_id"]).select("config_id", F.lit(m).alias("best"), "run_id")
+             for m, higher in (("f1", True), ("rmse", False))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("M18_accept_update", _RUNS_SQL + "SELECT run_id, f1_macro IS NULL OR f1 - f1_macro >= -0.005 AS accepted FROM runs WHERE f1 IS NOT NULL")
+def m18_gate(spark, sf):
+    """Each run's f1 against a stored one."""
+    from equigap.ml.labs import accepted
+
+    facts, meta = _facts(spark, sf)
+    return pivot_runs(facts, meta).where("f1 is not null").select("run_id", accepted(F.col("f1"), F.col("f1_macro")).alias("accepted"))
+
+
 @register("W02_top_runs", _RANK_SQL + """SELECT task, CAST(rank AS INT) AS rank, model, feature_set, selected_vars,
   CASE m WHEN 'rmse' THEN 'RMSE' WHEN 'f1_macro' THEN 'F1 macro' ELSE 'F1' END AS metric, round_even(v, 4) AS metric_value,
   config_id, run_id FROM rk2 WHERE rank <= 2""")
