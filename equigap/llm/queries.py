@@ -188,7 +188,41 @@ def without_line_ends(text, doc_id):
     return F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
 
 
-@query()
+def _crc32_sql(x: str) -> str:
+    """CRC-32 of a text's ASCII characters, bit by bit."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, [ord(y)::bigint for y in string_split({x}, '')]), lambda c, b: {step}), 4294967295::bigint)"
+
+
+def _merkle_sql() -> str:
+    """The levels by one recursion per tree, their siblings, and the climb by another."""
+    def leaf(text: str) -> str:
+        told = [f"case when {c} is null then '-' else strlen({c}::varchar)::varchar || ':' || {c}::varchar end" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(told)})"
+
+    def siblings(levels: str) -> str:
+        return f"""select a.g, a.k, a.i, a.n, coalesce(string_agg(b.h, '' order by b.i) filter (b.i < a.i), '') l, coalesce(string_agg(b.h, '' order by b.i) filter (b.i > a.i), '') r
+  from {levels} a left join {levels} b on a.g = b.g and a.k = b.k and a.i // 3 = b.i // 3 and a.i != b.i where a.n > 1 group by all"""
+
+    return f"""
+with recursive d as (select *, case when {_crc32_sql("coalesce(doc_id::varchar, '-')")} % 2 = 0 and doc_id is not null then replace(text, chr(10), '') else text end now from documents),
+f as (select row_number() over () r, doc_id, source, {leaf("text")} leaf, {leaf("now")} now from d),
+o as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 i, count(*) over (partition by source) n,
+  dense_rank() over (order by source nulls first) - 1 g from f),
+lv as (select g, 0 k, i, n, leaf h from o union all select g, k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from lv where n > 1 group by g, k, i // 3, n),
+s as (select g, h subroot from lv where n = 1),
+tv as (select -1::bigint g, 0 k, g i, count(*) over () n, subroot h from s
+  union all select g, k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i)) from tv where n > 1 group by g, k, i // 3, n),
+sb as (select g, k, i, l, r, case when n <= 3 then -1 else g end pg, case when n <= 3 then 0 else k + 1 end pk, case when n <= 3 then g else i // 3 end pi from ({siblings("lv")})
+  union all select g, k, i, l, r, g, k + 1, i // 3 from ({siblings("tv")})),
+c as (select r, 0 step, now folded, '' proof, case when n = 1 then -1 else g end g, 0 k, case when n = 1 then g else i end i from o
+  union all select c.r, step + 1, sha256(sb.l || folded || sb.r), proof || sb.l || sb.r, pg, pk, pi from c join sb on c.g = sb.g and c.k = sb.k and c.i = sb.i),
+t as (select r, arg_max(folded, step) folded, arg_max(proof, step) proof from c group by r),
+root as (select h from tv where n = 1)
+select doc_id, leaf, subroot, h root, sha256(proof) proof_sha256, folded folded_root, folded = h verified from o join s using (g) join t using (r), root"""
+
+
+@query(_merkle_sql())
 def op11_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = {"text": without_line_ends(F.col("text"), F.col("doc_id"))}
     return merkle.verified(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], found)
@@ -205,7 +239,41 @@ def damaged(conversations: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(told["role"]).alias("role"), text.alias("text"), times).drop("copy")
 
 
-@query()
+def _repair_sql() -> str:
+    """The damage, the faults, and the cheapest audit-least edits by a recursion that
+    keeps the best (cost, audit) of each row and role-string end."""
+    key = _crc32_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")
+    return f"""
+with recursive k as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text, {key} % 20 kind from conversations),
+dam as (select conv_id, turn, case when kind = 4 then 'user' else role end role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text, unnest(range(case when kind = 3 then 2 else 1 end)) copy from k where kind != 0),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, substr(text, 1, 32), md5(text)) pos, left(role, 1) ini,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) final from dam),
+r as (select *, case when final = '' then 'blank' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+    when final not in ('.', '!', '?') then 'truncated' end fault, lag(ini) over (partition by conv_id order by pos) before from o),
+ins(p, n, q, put) as (values ('', 0, '', []::varchar[]), ('', 1, 'u', ['user:']), ('', 2, 'a', ['user:', 'assistant:']), ('s', 0, 's', []), ('s', 1, 'u', ['user:']),
+    ('s', 2, 'a', ['user:', 'assistant:']), ('u', 0, 'u', []), ('u', 1, 'a', ['assistant:']), ('u', 2, 'u', ['assistant:', 'user:']), ('a', 0, 'a', []),
+    ('a', 1, 'u', ['user:']), ('a', 2, 'a', ['user:', 'assistant:'])),
+ops(q, op, next) as (values ('', 'D', ''), ('s', 'D', 's'), ('u', 'D', 'u'), ('a', 'D', 'a'), ('', 'K', 's'), ('', 'K', 'u'), ('s', 'K', 'u'), ('u', 'K', 'a'), ('a', 'K', 'u'),
+    ('', 'R', 'u'), ('s', 'R', 'u'), ('u', 'R', 'a'), ('a', 'R', 'u')),
+step as (select p, n, put, op, next from ins join ops using (q)),
+dp as (select distinct conv_id, 0 m, '' q, {{'c': 0, 'a': '', 'r': []::varchar[]}} b from r
+  union all select dp.conv_id, m + 1, next, min({{'c': b.c + 2 * n + case op when 'D' then 3 else 2 * (op = 'R')::int + coalesce((fault = 'truncated')::int, 0) end,
+      'a': b.a || repeat('I', n) || op, 'r': b.r || put || case op when 'D' then []::varchar[] when 'K' then [role || ':' || text]
+        else [case next when 'u' then 'user:' else 'assistant:' end || text] end}})
+    from dp join r on r.conv_id is not distinct from dp.conv_id and pos = m + 1 join step on p = q
+    where op = 'D' or (coalesce(fault, '') not in ('blank', 'duplicate') and (op = 'R' or next = ini)) group by dp.conv_id, m, next),
+e as (select conv_id, min({{'c': b.c + case q when 's' then 4 when 'u' then 2 else 0 end, 'a': b.a || case q when 's' then 'II' when 'u' then 'I' else '' end,
+    'r': b.r || case q when 's' then ['user:', 'assistant:'] when 'u' then ['assistant:'] else []::varchar[] end}}) b
+  from dp where m = (select count(*) from r where r.conv_id is not distinct from dp.conv_id) group by conv_id),
+n as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+    count(*) filter (fault = 'truncated') truncated, count(*) filter (before is not null and before || ini not in ('su', 'ua', 'au')) illegal from r group by conv_id)
+select i.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate, coalesce(truncated, 0)::bigint truncated,
+  coalesce(illegal, 0)::bigint illegal, coalesce(b.c, 0)::bigint cost, coalesce(b.a, '') audit, sha256(coalesce(array_to_string(b.r, chr(10)), '')) repaired_sha256
+from (select distinct conv_id from conversations) i left join n on n.conv_id is not distinct from i.conv_id left join e on e.conv_id is not distinct from i.conv_id"""
+
+
+@query(_repair_sql())
 def op13_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return conversation_repair.Repair(damaged(rows)).report(rows)

@@ -146,3 +146,14 @@ def test_repaired_rows_are_in_order(spark):
 
 def test_empty_table(spark):
     assert report(spark, []) == Counter()
+
+
+def test_oracle_on_awkward_rows(spark, tmp_path):
+    import duckdb
+
+    from equigap.llm.queries import ORACLE
+
+    rows, path = conversations(60, 12), str(tmp_path / "conversations.parquet")
+    frame(spark, rows).write.parquet(path)
+    sql = ORACLE["op13_hirschberg_repair"].replace("from conversations", f"from '{path}/*.parquet'")
+    assert Counter(duckdb.sql(sql).fetchall()) == expected(rows)

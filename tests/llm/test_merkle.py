@@ -93,3 +93,14 @@ def test_order_of_input_does_not_matter(docs):
 
 def test_empty_table(nothing):
     assert merkle.verified(nothing, FIELDS).collect() == []
+
+
+def test_oracle_on_awkward_rows(spark, rows, tmp_path):
+    import duckdb
+
+    from equigap.llm.queries import ORACLE
+
+    path = str(tmp_path / "documents.parquet")
+    table(spark, rows, path)
+    sql = ORACLE["op11_merkle_climb"].replace("from documents", f"from '{path}/*.parquet'")
+    assert Counter(duckdb.sql(sql).fetchall()) == expected(values(rows))
