@@ -21,7 +21,8 @@ the place within the file.  Memory per task is one file's ids
 (``FILE_IDS``, or one document if that is longer) and a slice of texts.
 
 Defined cases: a null text is empty and holds the end id alone; null ids come
-first; rows that repeat an id keep a record each; an empty table gives no
+first; rows that repeat an id keep a record each, in the order of their texts'
+hashes; texts of any length are one record; an empty table gives no
 file with documents and an empty result.
 """
 
@@ -125,7 +126,10 @@ def write_documents(docs: DataFrame, path: str, tokenizer: str, id_col: str = "d
                     file_ids: int = FILE_IDS) -> None:
     """Encode the documents and write them to ``path`` in id order."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
+    # Rows that share an id (null ids, say) may be spread over partitions, in the order of their texts' digests.
+    order = [F.col("id").asc_nulls_first(), F.col("digest")]
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
 
     def files(batches):
         code, part, seq = encoder(tokenizer, CACHE), TaskContext.get().partitionId(), 0
