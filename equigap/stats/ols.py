@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigap.operators.quantiles import column_medians
+from equigap.session import materialize
 from equigap.stats.tails import f_sf, t_sf2
 
 NO_VALUE = "SIN_INFO"
@@ -102,7 +103,9 @@ class Moments:
 def moments(df: DataFrame, y: str, numeric: list[str], categorical: list[str]) -> tuple[Moments, dict[str, list[str]]]:
     """Moments of the design (numeric columns with their medians for nulls,
     drop-first dummies in lexicographic order), and each variable's columns."""
-    base = df.where(F.col(y).try_cast("double").isNotNull())
+    used = list(dict.fromkeys([y, *numeric, *categorical]))
+    # four passes follow: write the columns once instead of the joins below them each time
+    base = materialize(df.where(F.col(y).try_cast("double").isNotNull()).select(*used), "ols")
     medians = column_medians(base, numeric)
     filled = [F.coalesce(F.col(c).try_cast("double"), F.lit(medians[c]).cast("double"), F.lit(0.0)) for c in numeric]
     level = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in categorical]
