@@ -8,6 +8,8 @@ and exercise the name-based inference.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from equigap.functions import labels as L
 from equigap.operators import runs as R
 from equigap.plans.catalog import register
 from equigap.plans.tpch import load
-from equigap.sources.runs import infer_run_tags, pivot_runs, run_variables
+from equigap.session import scratch_path
+from equigap.sources.runs import infer_run_tags, pivot_runs, read_runs, run_variables, write_run_tree
 
 # Event type -> metric key of the derived run log.
 EVENT_METRIC = {"view": "rmse", "click": "r2", "signup": "f1", "purchase": "f1_macro", "error": "mae"}
@@ -30,13 +33,17 @@ _NAME_SQL = ("CASE run_key % 6 WHEN 0 THEN 'p3_reg_tic_basico_' WHEN 1 THEN 'p3_
              "ELSE 'reg_global_mlp_' END || CAST(run_key AS VARCHAR)")
 
 
-def _facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    ev = load(spark, sf, "events")
-    key = F.col("user_id")
+def _metric_key():
     km = None
     for k, v in EVENT_METRIC.items():
         km = F.when(F.col("event_type") == k, v) if km is None else km.when(F.col("event_type") == k, v)
-    metrics = ev.groupBy(key.alias("run_key"), km.alias("key")).agg(F.max_by("value", "ts").alias("value"))
+    return km
+
+
+def _facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    ev = load(spark, sf, "events")
+    key = F.col("user_id")
+    metrics = ev.groupBy(key.alias("run_key"), _metric_key().alias("key")).agg(F.max_by("value", "ts").alias("value"))
     facts = metrics.select(F.lit("derived").alias("experiment_id"), F.col("run_key").cast("string").alias("run_id"),
                            F.lit("metrics").alias("kind"), "key", F.col("value").cast("string").alias("value"))
     rk = F.col("run_key")
@@ -96,9 +103,16 @@ _RUNS_FILTER = " WHERE task IS NOT NULL OR starts_with(run_name, 'p3_')"
 
 @register("S04_read_runs", _RUNS_SQL + "SELECT run_id, run_name, start_time, end_time, rmse, mae, r2, f1, f1_macro FROM runs")
 def s04(spark, sf):
+    """The run log as a tree of files (every event a line of its metric's file, in
+    no order), read back."""
     facts, meta = _facts(spark, sf)
-    return pivot_runs(facts, meta).select("run_id", "run_name", "start_time", "end_time", "rmse", "mae", "r2", "f1",
-                                          "f1_macro")
+    ev = load(spark, sf, "events")
+    line = F.concat_ws(" ", F.unix_micros(F.col("ts").cast("timestamp")).cast("string"), F.col("value").cast("string"), F.lit("0"))
+    files = ev.groupBy(F.lit("derived").alias("experiment_id"), F.col("user_id").cast("string").alias("run_id"), F.lit("metrics").alias("kind"),
+                       _metric_key().alias("key")).agg(F.array_join(F.collect_list(line), "\n").alias("value"))
+    path = scratch_path(spark, f"run_tree-{uuid.uuid4().hex[:8]}")
+    write_run_tree(files.unionByName(facts.where("kind = 'tags'")), meta, path)
+    return read_runs(spark, path, tree=True).select("run_id", "run_name", "start_time", "end_time", "rmse", "mae", "r2", "f1", "f1_macro")
 
 
 @register("S05_infer_run_tags", _RUNS_SQL + "SELECT run_id, task, feature_set FROM runs" + _RUNS_FILTER)

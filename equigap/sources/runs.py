@@ -21,18 +21,33 @@ TAG_KEYS = ["task", "feature_set", "model_name", "selected_vars"]
 _PATH_RE = r"/([^/]+)/([^/]+)/(metrics|params|tags)/([^/]+)$"
 
 
-def read_run_facts(spark: SparkSession, root: str) -> DataFrame:
+#: A run tree as Spark writes it: folders name their level, and a key's file is a part file.
+TREE = {"facts": ("*/*/*/*/part-*", r"/experiment_id=([^/]+)/run_id=([^/]+)/kind=([^/]+)/key=([^/]+)/[^/]+$"),
+        "meta": ("*/*/part-*", r"/experiment_id=([^/]+)/run_id=([^/]+)/[^/]+$")}
+
+
+def write_run_tree(facts: DataFrame, meta: DataFrame, root: str) -> None:
+    """The tree that ``read_runs(..., tree=True)`` reads: facts (experiment_id, run_id,
+    kind, key, value: a file's content), meta (experiment_id, run_id, run_name,
+    start_time, end_time).  A run's files are written by one task."""
+    by = ["experiment_id", "run_id", "kind", "key"]
+    facts.select(*by, "value").repartition("run_id").write.mode("overwrite").partitionBy(*by).text(f"{root}/facts")
+    yaml = F.concat_ws("\n", *[F.concat(F.lit(f"{k}: "), F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in ("run_name", "start_time", "end_time")])
+    meta.select(*by[:2], yaml.alias("value")).repartition("run_id").write.mode("overwrite").partitionBy(*by[:2]).text(f"{root}/meta")
+
+
+def read_run_facts(spark: SparkSession, root: str, pattern: str = "*/*/{metrics,params,tags}/*", path_regex: str = _PATH_RE) -> DataFrame:
     """Long table of every metric / param / tag file.  A metric file holds
     ``timestamp value step`` lines; its latest value wins: by timestamp, then
     step, then place in the file."""
-    raw = spark.read.text(f"{root.rstrip('/')}/*/*/{{metrics,params,tags}}/*", wholetext=True).select(
+    raw = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True).select(
         F.col("value").alias("content"), F.col("_metadata.file_path").alias("path")
     )
     parts = raw.select(
-        F.regexp_extract("path", _PATH_RE, 1).alias("experiment_id"),
-        F.regexp_extract("path", _PATH_RE, 2).alias("run_id"),
-        F.regexp_extract("path", _PATH_RE, 3).alias("kind"),
-        F.regexp_extract("path", _PATH_RE, 4).alias("key"),
+        F.regexp_extract("path", path_regex, 1).alias("experiment_id"),
+        F.regexp_extract("path", path_regex, 2).alias("run_id"),
+        F.regexp_extract("path", path_regex, 3).alias("kind"),
+        F.regexp_extract("path", path_regex, 4).alias("key"),
         "content",
     )
     lines = F.filter(F.split(F.col("content"), "\n"), lambda x: F.trim(x) != "")
@@ -48,19 +63,18 @@ def read_run_facts(spark: SparkSession, root: str) -> DataFrame:
     return parts.select("experiment_id", "run_id", "kind", "key", value.alias("value"))
 
 
-def read_run_meta(spark: SparkSession, root: str) -> DataFrame:
+def read_run_meta(spark: SparkSession, root: str, pattern: str = "*/*/meta.yaml", path_regex: str = r"/([^/]+)/([^/]+)/meta\.yaml$") -> DataFrame:
     """One row per run from its meta.yaml (name, start / end epoch ms)."""
-    raw = spark.read.text(f"{root.rstrip('/')}/*/*/meta.yaml", wholetext=True).select(
+    raw = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True).select(
         F.col("value").alias("y"), F.col("_metadata.file_path").alias("path")
     )
 
     def field(name: str) -> Column:
         return F.nullif(F.trim(F.regexp_extract("y", rf"(?m)^{name}:\s*(.*)$", 1)), F.lit(""))
 
-    rx = r"/([^/]+)/([^/]+)/meta\.yaml$"
     return raw.select(
-        F.regexp_extract("path", rx, 1).alias("experiment_id"),
-        F.regexp_extract("path", rx, 2).alias("run_id"),
+        F.regexp_extract("path", path_regex, 1).alias("experiment_id"),
+        F.regexp_extract("path", path_regex, 2).alias("run_id"),
         F.regexp_replace(field("run_name"), "^['\"]|['\"]$", "").alias("run_name"),
         field("start_time").try_cast("long").alias("start_time"),
         field("end_time").try_cast("long").alias("end_time"),
@@ -84,9 +98,14 @@ def pivot_runs(facts: DataFrame, meta: DataFrame, metric_keys: list[str] = METRI
     return meta.join(wide, ["experiment_id", "run_id"], "left")
 
 
-def read_runs(spark: SparkSession, root: str, max_runs: int | None = None, experiment_id: str | None = None) -> DataFrame:
-    """Run table, newest first; of the ``max_runs`` latest if given."""
-    runs = pivot_runs(read_run_facts(spark, root), read_run_meta(spark, root))
+def read_runs(spark: SparkSession, root: str, max_runs: int | None = None, experiment_id: str | None = None, tree: bool = False) -> DataFrame:
+    """Run table, newest first; of the ``max_runs`` latest if given.  ``tree``: of
+    a tree that ``write_run_tree`` has written."""
+    if tree:
+        facts, meta = read_run_facts(spark, f"{root}/facts", *TREE["facts"]), read_run_meta(spark, f"{root}/meta", *TREE["meta"])
+    else:
+        facts, meta = read_run_facts(spark, root), read_run_meta(spark, root)
+    runs = pivot_runs(facts, meta)
     if experiment_id is not None:
         runs = runs.where(F.col("experiment_id") == experiment_id)
     runs = runs.orderBy(F.desc_nulls_last("start_time"), "run_id")
