@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from equigap.functions import labels as L
 from equigap.functions.text import fold_text, py_strip
@@ -89,9 +90,10 @@ def _columns(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global
 
 
 def _scored(df: DataFrame, roles: Roles, subjects_100: list[str] | None, global_500: list[str] | None) -> DataFrame:
-    """Coerced and range-checked scores."""
+    """Coerced and range-checked scores; numbers need no parsing."""
     top = _ranges(roles, subjects_100, global_500)
-    return df.select(*[guard_range(to_number(c), 0, top[c]).alias(c) if c in top else F.col(c) for c in df.columns])
+    number = lambda f: F.col(f.name).cast("double") if isinstance(f.dataType, NumericType) else to_number(f.name)
+    return df.select(*[guard_range(number(f), 0, top[f.name]).alias(f.name) if f.name in top else F.col(f.name) for f in df.schema.fields])
 
 
 def _folded(df: DataFrame, roles: Roles, text_cols: list[str]) -> DataFrame:
