@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import chain, compress, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,11 +88,13 @@ class Encoder:
     def _forget(self) -> None:
         """Rare pieces leave; what stays counts half from here on."""
         hits = self.hits[:self.slots]
+        piece_at = dict(zip(self.index.values(), self.index))  # a slot whose piece has a later one goes
         stay = np.flatnonzero(hits > 1)
+        stay = stay[[k in piece_at for k in stay.tolist()]] if len(piece_at) < self.slots else stay
         if len(stay) > self.cache // 2:
             stay = np.sort(stay[np.argpartition(hits[stay], -(self.cache // 2))[-(self.cache // 2):]])
         ids, size = self._gather(stay)
-        kept, pieces = hits[stay] >> 1, list(compress(self.index, np.isin(np.arange(self.slots), stay).tolist()))  # the index is in slot order
+        kept, pieces = hits[stay] >> 1, [piece_at[k] for k in stay.tolist()]
         self._empty()
         self._add(pieces, ids, size)
         self.hits[:self.slots] = kept
@@ -189,9 +191,10 @@ class Encoder:
         else:
             head, none = (pa.scalar(x, pa.large_string()) for x in (HEAD, ""))
             heads = pc.binary_join_element_wise(head, pc.list_element(lists, 0), none)
-            known = self._known(pa.concat_arrays([pieces, heads]))
+            heads = heads.dictionary_encode()
+            known = self._known(pa.concat_arrays([pieces, heads.dictionary]))
             at = known[:len(pieces)][place]
-            at[offsets[:-1]] = known[len(pieces):]
+            at[offsets[:-1]] = known[len(pieces):][np.asarray(heads.indices)]
         self.hits += np.bincount(at, minlength=len(self.hits))
         ids, size = self._gather(at)
         upto = np.concatenate([[0], np.cumsum(size)])[offsets]
