@@ -24,7 +24,7 @@ from equigap.operators.util import one_row
 #: Rounds without a better validation loss before training ends.
 PATIENCE = 5
 #: Iterations of a network's step.
-STEP = 10
+STEP = 20
 
 
 def patience_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, int]:
@@ -101,7 +101,7 @@ class HuberRegression:
     """Linear regression by the Huber loss: squares up to ``delta`` (in units of the
     label), absolute beyond."""
 
-    def __init__(self, labelCol: str = "label", delta: float = 1.0, maxIter: int = 50, tol: float = 1e-7):
+    def __init__(self, labelCol: str = "label", delta: float = 1.0, maxIter: int = 20, tol: float = 1e-4):
         self.label, self.delta, self.rounds, self.tol = labelCol, delta, maxIter, tol
 
     def params(self) -> dict:
