@@ -38,7 +38,7 @@ from .quality import slices
 from .tokens import encoder, with_end
 from .util import Scratch, schema_with, small
 
-CAPACITY, END_ID, SLICE, RUN = 4096, 2, 4 << 20, 1024
+CAPACITY, END_ID, SLICE, CACHE, RUN = 4096, 2, 8 << 20, 400_000, 1024
 
 
 def encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -48,7 +48,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
     schema = schema_with(rows.select("doc_id"), task="int", at="long", n="long", ids="binary")
 
     def encode(batches):
-        code, upto, task = encoder(tokenizer), 0, TaskContext.get().partitionId()
+        code, upto, task = encoder(tokenizer, CACHE), 0, TaskContext.get().partitionId()
         kind = np.dtype(id_type(max(code.tokenizer.get_vocab_size(), end_id + 1)))
         for batch in slices(batches, "text", SLICE):
             ids, n = with_end(*code.encode(batch.column("text")), end_id)
