@@ -42,7 +42,7 @@ from .quality import slices
 from .tokens import encoder, with_end
 from .util import Scratch, shuffle_partitions
 
-END_ID, FILE_IDS, BLOCK_IDS, SLICE, CACHE = 0, 4 << 20, 1 << 16, 4 << 20, 400_000
+END_ID, FILE_IDS, BLOCK_IDS, SLICE, CACHE = 0, 4 << 20, 1 << 16, 7 << 20, 500_000
 HEAD = struct.Struct("<4sHHIIQQII")
 MAGIC, VERSION = b"IDPK", 1
 
