@@ -103,7 +103,7 @@ _RUNS_FILTER = " WHERE task IS NOT NULL OR starts_with(run_name, 'p3_')"
 
 @register("S04_read_runs", _RUNS_SQL + "SELECT run_id, run_name, start_time, end_time, rmse, mae, r2, f1, f1_macro FROM runs")
 def s04(spark, sf):
-    """The run log as a tree of files (every event a line of its metric's file, in
+    """The run log as a tree of packed files (every event a line of its metric's file, in
     no order), read back."""
     facts, meta = _facts(spark, sf)
     ev = load(spark, sf, "events")
@@ -112,7 +112,7 @@ def s04(spark, sf):
                        _metric_key().alias("key")).agg(F.array_join(F.collect_list(line), "\n").alias("value"))
     path = scratch_path(spark, f"run_tree-{uuid.uuid4().hex[:8]}")
     write_run_tree(files.unionByName(facts.where("kind = 'tags'")), meta, path)
-    return read_runs(spark, path, tree=True).select("run_id", "run_name", "start_time", "end_time", "rmse", "mae", "r2", "f1", "f1_macro")
+    return read_runs(spark, path, packed=True).select("run_id", "run_name", "start_time", "end_time", "rmse", "mae", "r2", "f1", "f1_macro")
 
 
 @register("S05_infer_run_tags", _RUNS_SQL + "SELECT run_id, task, feature_set FROM runs" + _RUNS_FILTER)
