@@ -40,17 +40,27 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def prep_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
+def level_means(df: DataFrame, categorical: list[str], targets: list[str], rows: str = "rows") -> DataFrame:
+    """A row per combination of levels: its number of ``rows`` and each target's mean,
+    null where a target is null.  Least squares on these, weighed by ``rows``, has the
+    solution of least squares on all rows."""
+    mean = lambda t: F.when(F.count(t) == F.count("*"), F.avg(t)).alias(t)
+    return df.groupBy(*categorical).agg(*[mean(t) for t in targets], F.count("*").cast("double").alias(rows))
+
+
+def prep_statistics(df: DataFrame, numeric: list[str], categorical: list[str], rows: str | None = None) -> dict:
     """med_, mu_, sd_ (of the median-imputed values) per numeric column
-    and mode_ per categorical one."""
+    and mode_ per categorical one.  ``rows``: how many rows a row stands for, in
+    a table of ``level_means``, which has no numeric columns."""
     from equigap.operators.quantiles import column_medians
 
     # exact medians (interpolated, like the reference's imputer), one job
     st = {f"med_{c}": v for c, v in column_medians(df, numeric).items()}
     if categorical:
         # most frequent value, ties to the least: counts first, then one row per column
-        long = df.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], categorical, "name", "value")
-        counts = long.where("value is not null").groupBy("name", "value").agg(F.count("*").alias("n"))
+        times = F.col(rows) if rows else F.lit(1)
+        long = df.select(times.alias("__rows"), *[F.col(c).cast("string").alias(c) for c in categorical]).unpivot("__rows", categorical, "name", "value")
+        counts = long.where("value is not null").groupBy("name", "value").agg(F.sum("__rows").alias("n"))
         modes = counts.groupBy("name").agg(F.min_by("value", F.struct((-F.col("n")).alias("k"), "value")).alias("mode"))
         st.update({f"mode_{c}": None for c in categorical} | {f"mode_{r['name']}": r["mode"] for r in modes.collect()})
     # mean / std_pop of the imputed numeric values (second small aggregate)
@@ -63,10 +73,10 @@ def prep_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -
     return st | (mom.asDict() if mom else {})
 
 
-def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], features_col: str = "features"):
+def fit_prep_stages(df: DataFrame, numeric: list[str], categorical: list[str], features_col: str = "features", rows: str | None = None):
     """Fit the preprocessing; returns pipeline stages (fitted stats are
     literals of the SQL stage, indexers are fitted with the model)."""
-    st = mom = prep_statistics(df, numeric, categorical)
+    st = mom = prep_statistics(df, numeric, categorical, rows)
     exprs = []
     for c in numeric:
         med = float(st[f"med_{c}"]) if st[f"med_{c}"] is not None else 0.0

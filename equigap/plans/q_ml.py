@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from equigap.functions import labels as L
 from equigap.ml import labs
 from equigap.ml.metrics import binary_metrics, multiclass_metrics, regression_metrics
-from equigap.ml.prep import class_weights, fit_prep_stages, prep_statistics, split
+from equigap.ml.prep import class_weights, fit_prep_stages, level_means, prep_statistics, split
 from equigap.operators import scenario as X
 from equigap.plans.catalog import register
 from equigap.plans.q_aggregates import r6
 from equigap.plans.tpch import exam_lines, exam_orders
-from equigap.session import scratch_path
+from equigap.session import materialize, scratch_path
 
 _YHAT = "punt_matematicas * 2.5 + 120"
 
@@ -202,14 +202,17 @@ def _fit_orders_model(spark: SparkSession, sf: str):
     d = exam_orders(spark, sf).withColumn("Area", F.when(F.col("cole_area_ubicacion") == "URBANO", "Urbano")
                                           .otherwise("Rural"))
     num, cat = ["punt_sociales_ciudadanas"], ["Area", "cole_naturaleza", "fami_estratovivienda"]
+    d = materialize(d.select("estu_consecutivo", *num, *cat, "punt_global"), "orders_model")  # the fit reads it many times
     stages = fit_prep_stages(d, num, cat)
     model = Pipeline(stages=stages + [LinearRegression(labelCol="punt_global")]).fit(d)
     return d, model
 
 
-def _fit_means(d, label: str, by: str):
-    """A linear model on one categorical, which predicts the category's mean."""
-    return Pipeline(stages=[*fit_prep_stages(d, [], [by]), LinearRegression(labelCol=label)]).fit(d)
+def _fit_means(d, label: str, by: str, rows: str | None = None):
+    """A linear model on one categorical, which predicts the category's mean; ``rows``: as
+    many rows a row stands for."""
+    weight = {"weightCol": rows} if rows else {}
+    return Pipeline(stages=[*fit_prep_stages(d, [], [by], rows=rows), LinearRegression(labelCol=label, **weight)]).fit(d)
 
 
 @register("X01_score_by_type", """, m AS (SELECT cole_naturaleza AS k, round_even(least(500, greatest(0, avg(punt_global))), 1) AS m FROM exam_orders GROUP BY 1)
@@ -247,10 +250,10 @@ def x06a(spark, sf):
     """The six targets' gaps by school type on the scenario grid."""
     from equigap.operators import joins as J
 
-    d = exam_lines(spark, sf)
+    d = materialize(level_means(exam_lines(spark, sf), ["cole_naturaleza", "fami_estratovivienda"], _TARGETS), "level_means")
     grid = J.scenario_grid(spark.createDataFrame([(t,) for t in _TARGETS], "target string"), d.select("fami_estratovivienda").distinct(),
                            d.select("cole_naturaleza").distinct(), {})
-    return X.adjusted_gap_table({t: _fit_means(d, t, "cole_naturaleza") for t in _TARGETS}, grid)
+    return X.adjusted_gap_table({t: _fit_means(d, t, "cole_naturaleza", "rows") for t in _TARGETS}, grid)
 
 
 @register("X01_score_scenarios")
@@ -313,12 +316,10 @@ def x05a(spark, sf):
 def x06(spark, sf):
     from equigap.operators import joins as J
 
-    d = exam_lines(spark, sf)
-    targets = _TARGETS
-    models = {}
-    for t in targets:
-        stages = fit_prep_stages(d, [], ["cole_naturaleza", "fami_estratovivienda", "estu_genero"])
-        models[t] = Pipeline(stages=stages + [LinearRegression(labelCol=t)]).fit(d)
+    targets, cat = _TARGETS, ["cole_naturaleza", "fami_estratovivienda", "estu_genero"]
+    d = materialize(level_means(exam_lines(spark, sf), cat, targets), "level_means")
+    stages = fit_prep_stages(d, [], cat, rows="rows")
+    models = {t: Pipeline(stages=stages + [LinearRegression(labelCol=t, weightCol="rows")]).fit(d) for t in targets}
     grid = J.scenario_grid(spark.createDataFrame([(t,) for t in targets], "target string"),
                            d.select("fami_estratovivienda").distinct(), d.select("cole_naturaleza").distinct(),
                            {"estu_genero": "F"})
