@@ -288,6 +288,7 @@ def _tic_impact(spark: SparkSession, sf: str):
 
     m = modeling_frame(exam_lines(spark, sf), Roles()).select("punt_ingles", "internet_flag", "computador_flag",
                                                               "tic_score", "tic_interaccion")
+    m = materialize(m, "tic_model")  # the fit reads it many times
     stages = fit_prep_stages(m, ["internet_flag", "computador_flag", "tic_score", "tic_interaccion"], [])
     model = Pipeline(stages=stages + [LinearRegression(labelCol="punt_ingles")]).fit(m)
     return X.tic_impact(model, m, features=["internet_flag", "computador_flag", "tic_score", "tic_interaccion"])

@@ -53,3 +53,12 @@ def test_adjusted_gaps_read_the_lines_once(spark, monkeypatch, query):
     monkeypatch.setattr(q_ml, "exam_lines", lambda *_: df)
     assert getattr(q_ml, query)(spark, "").count() == 6 * 4
     assert seen.value == 400
+
+
+def test_impacts_read_their_rows_once(spark, monkeypatch):
+    orders, seen = counted(spark, exam(spark))
+    lines, seen_too = counted(spark, exam(spark))
+    monkeypatch.setattr(q_ml, "exam_orders", lambda *_: orders)
+    monkeypatch.setattr(q_ml, "exam_lines", lambda *_: lines)
+    assert q_ml.x04(spark, "").first()["n"] > 200 and q_ml.x05(spark, "").first()["n"] > 200
+    assert (seen.value, seen_too.value) == (400, 400)
