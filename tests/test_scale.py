@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from equigap.ml.prep import fit_prep_stages, level_means
+from equigap.ml.prep import class_weights, fit_prep_stages, level_means, split
 from equigap.plans import q_ml
 
 
@@ -62,3 +62,14 @@ def test_impacts_read_their_rows_once(spark, monkeypatch):
     monkeypatch.setattr(q_ml, "exam_lines", lambda *_: lines)
     assert q_ml.x04(spark, "").first()["n"] > 200 and q_ml.x05(spark, "").first()["n"] > 200
     assert (seen.value, seen_too.value) == (400, 400)
+
+
+def test_classes_do_not_deal_rows(spark):
+    """Neither the split nor the weights join rows by their class."""
+    df = spark.createDataFrame([(k, None if k % 10 == 9 else k % 3) for k in range(1000)], "id int, label int").cache()
+    flagged = class_weights(split(df, ["id"], 0.8, 42, strata="label"), "label", of=F.col("is_train"))
+    assert "Join" not in flagged._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.label: (r.n, r.train, r.weight) for r in flagged.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_train").alias("train"), F.max("weight").alias("weight")).collect()}
+    assert all(abs(train - 0.8 * n) <= 1 for n, train, _ in found.values())
+    total = sum(train for _, train, _ in found.values())
+    assert {k: w for k, (_, _, w) in found.items()} == {None: 1.0} | {k: total / (4 * found[k][1]) for k in range(3)}
