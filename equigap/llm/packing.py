@@ -210,15 +210,16 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
 
 
 def cut(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *, capacity: int = CAPACITY, end_id: int = END_ID,
-        keep_ids: bool = False) -> DataFrame:
+        keep_ids: bool = False, slice_bytes: int = SLICE) -> DataFrame:
     """The documents' ids, ended by ``end_id``, in pieces of at most
-    ``capacity``: doc_id, piece, start, length, ids_crc32, and ids if kept."""
+    ``capacity``: doc_id, piece, start, length, ids_crc32, and ids if kept.
+    A worker encodes ``slice_bytes`` of text at a time."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = schema_with(rows.select("doc_id"), piece="int", start="long", length="long", ids_crc32="long", **({"ids": "binary"} if keep_ids else {}))
 
     def pieces(batches):
         code = encoder(tokenizer)
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(batches, "text", slice_bytes):
             ids, counts = with_end(*code.encode(batch.column("text")), end_id)
             data = memoryview(ids.astype("<u4").tobytes())
             n = -(-counts // capacity)
@@ -236,10 +237,11 @@ def cut(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *, capacity: int = CAPACITY,
-                     end_id: int = END_ID, steps: int = STEPS, keep_ids: bool = False) -> DataFrame:
+                     end_id: int = END_ID, steps: int = STEPS, keep_ids: bool = False, slice_bytes: int = SLICE) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset (and ids)."""
-    return pack(cut(docs, tokenizer, id_col, text_col, capacity=capacity, end_id=end_id, keep_ids=keep_ids), "length", capacity, steps)
+    pieces = cut(docs, tokenizer, id_col, text_col, capacity=capacity, end_id=end_id, keep_ids=keep_ids, slice_bytes=slice_bytes)
+    return pack(pieces, "length", capacity, steps)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
