@@ -1,14 +1,15 @@
-"""Networks on weighted rows against Spark's on the rows."""
+"""Networks and logistic models on weighted rows against Spark's on the rows."""
 
 import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from equigap.ml import training
+from equigap.ml import cells, labs, training
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +48,13 @@ def test_a_network_on_equal_rows_is_as_good_as_sparks(spark, data, monkeypatch):
     assert np.allclose(again.weights.toArray(), model.weights.toArray(), rtol=0.05, atol=0.05)
     start = est.copy({est.initialWeights: Vectors.dense(np.full(6 * 3 + 3 * 7, 0.1))})
     assert training.fit_network(start, rows, data.where("is_val"), patience=1, step=100)[1][0] < 1
+
+
+def test_logistic_models_on_equal_rows_are_those_on_rows(data):
+    est = LogisticRegression(maxIter=200)
+    model, _, curve = labs.fit_run(est, data, "clasificacion_multiclase")
+    every = est.copy({est.weightCol: "weight"}).fit(data)
+    p = lambda m: np.array([r.probability.toArray() for r in m.transform(data).orderBy("id").collect()])
+    assert np.abs(p(model) - p(every)).max() < 2e-3 and curve
+    table = cells.equal_rows(data)
+    assert table.count() <= 17 * 3 * 3 and table.agg(F.sum("weight")).first()[0] == data.agg(F.sum("weight")).first()[0]
